@@ -123,7 +123,7 @@ def trip_label(
     """Three lines: amount, miles, passengers. Null when any part is null."""
     return F.concat(
         F.lit("$"),
-        F.format_number(_col(total), AMOUNT_FORMAT),
+        F.call_function("format_number", _col(total), F.lit(AMOUNT_FORMAT)),
         F.lit("\n"),
         _col(distance).cast("string"),
         F.lit(" mi\n"),

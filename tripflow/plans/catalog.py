@@ -21,7 +21,7 @@ from ..sources.trips import typed_trips
 from ..streaming.ingest import IngestConfig, run_once
 from ..streaming.ledger import pending_files
 from ..streaming.trips import stream_trips, windowed_counts
-from .testbed import KEYS, ledger, raw_trips, table, zones
+from .testbed import KEYS, ledger, raw_trips, table, trip_files, zones
 
 AS_OF = datetime(1998, 12, 1)
 TABLES = (
@@ -493,7 +493,7 @@ def ingest_directory(spark, sf_dir):
     """Trip files of both kinds through the ingestion stream: ledger against loaded tables."""
     root = scratch_dir(spark, "ingest")
     for kind in ("yellow", "green"):
-        raw_trips(spark, sf_dir, kind).write.mode("append").parquet(f"{root}/in")
+        trip_files(spark, sf_dir, kind).write.mode("append").parquet(f"{root}/in")
     tables = TripTables(f"{root}/tables")
     cfg = IngestConfig(
         input_dir=f"{root}/in",
@@ -518,7 +518,7 @@ def ingest_directory(spark, sf_dir):
 def stream_valid_trips(spark, sf_dir):
     """Trip files through the continuous reader, the validity filter and a Parquet sink."""
     root = scratch_dir(spark, "stream")
-    raw_trips(spark, sf_dir, "green").write.parquet(f"{root}/in")
+    trip_files(spark, sf_dir, "green").write.parquet(f"{root}/in")
     valid = selection.keep_valid(stream_trips(spark, f"{root}/in", "green"), "green")
     query = (
         valid.writeStream.format("parquet")

@@ -113,7 +113,7 @@ _SEGMENT = (
 _ROUTE_POINTS = f"""pts as (select l_orderkey, l_linenumber as seq, p.lon, p.lat,
     row_number() over (partition by l_orderkey, l_linenumber order by p.lon, p.lat) as rn
   from {_ZONED.format(kind='yellow')}),
-  route as (select l_orderkey, seq, concat(cast(lon as varchar), ' ', cast(lat as varchar)) as at from pts where rn = 1)"""
+  route as (select l_orderkey, seq, concat(cast(lon as varchar), ' ', cast(lat as varchar)) as xy from pts where rn = 1)"""
 _MESSY = "concat(p_name, '@', p_brand, '.\"v\"', p_partkey)"
 _PATH = f"concat({_MESSY}, case when p_partkey % 3 > 0 then '.parquet' else '' end)"
 
@@ -290,14 +290,14 @@ _SQL["footer_counts"] = _SQL["row_counts"]
 ORACLE: dict[str, str] = {name: with_ctes(sql) for name, sql in _SQL.items()}
 ORACLE["route_lines"] = _with_routes(
     """select l_orderkey, count(*)::integer as n_points,
-      case when count(*) > 1 then concat('LINESTRING (', string_agg(at, ', ' order by seq), ')') end as geom
+      case when count(*) > 1 then concat('LINESTRING (', string_agg(xy, ', ' order by seq), ')') end as geom
     from route group by l_orderkey"""
 )
 ORACLE["route_line_parts"] = _with_routes(
     """select l_orderkey, part_no, count(*)::integer as n_points,
-      case when count(*) > 1 then concat('LINESTRING (', string_agg(at, ', ' order by seq), ')') end as geom
-    from (select l_orderkey, seq, at, cast(seq // 4 as bigint) as part_no, true as own from route
+      case when count(*) > 1 then concat('LINESTRING (', string_agg(xy, ', ' order by seq), ')') end as geom
+    from (select l_orderkey, seq, xy, cast(seq // 4 as bigint) as part_no, true as own from route
           union all
-          select l_orderkey, seq, at, cast(seq // 4 - 1 as bigint), false from route where seq % 4 = 0) r
+          select l_orderkey, seq, xy, cast(seq // 4 - 1 as bigint), false from route where seq % 4 = 0) r
     group by l_orderkey, part_no having bool_or(own)"""
 )

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import KINDS
+
 YELLOW_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 GREEN_KEYS = ("o_orderkey",)
 KEYS = {"yellow": YELLOW_KEYS, "green": GREEN_KEYS}
@@ -107,6 +109,15 @@ def raw_trips(spark: SparkSession, sf_dir: str, kind: str, keys: bool = False) -
     return table(spark, sf_dir, SOURCE[kind]).selectExpr(*(KEYS[kind] if keys else ()), *columns)
 
 
+def trip_files(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Trips to be written as trip files, whose columns are all nullable.
+
+    Literal columns are not nullable and would be written so; the union with an empty frame of
+    the file schema lifts that.
+    """
+    return raw_trips(spark, sf_dir, kind).unionByName(spark.createDataFrame([], KINDS[kind].file_schema))
+
+
 def zones(spark: SparkSession) -> DataFrame:
     zone = F.col("id")
     return spark.range(1, N_ZONES + 1).select(

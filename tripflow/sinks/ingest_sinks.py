@@ -33,13 +33,16 @@ def _reset(spark: SparkSession, root: str, ingest_id: str) -> None:
 
 @dataclass(frozen=True)
 class TripTables:
-    """One Parquet table per kind, partitioned by micro-batch and pickup date.
+    """One Parquet table per kind, in one folder per micro-batch.
 
-    ``typed`` stores typed trips; otherwise the file columns as they are.
+    ``typed`` stores typed trips; otherwise the file columns as they are. Rows are written by
+    the tasks that read them, without a shuffle. ``by_date`` partitions further by pickup date,
+    which costs one: it pays for large files whose trips are looked up by day.
     """
 
     path: str
     typed: bool = False
+    by_date: bool = False
 
     def reset(self, spark: SparkSession, ingest_id: str) -> None:
         _reset(spark, self.path, ingest_id)
@@ -50,16 +53,14 @@ class TripTables:
             frame = normalize(frame, kind)
         else:
             frame = frame.drop(*ORIGIN)
-        (
-            with_pickup_date(frame, kind)
-            .hint("rebalance", "pickup_date")
-            .write.mode("overwrite")
-            .partitionBy("pickup_date")
-            .parquet(_part_dir(self.path, kind, ingest_id, part))
-        )
+        target = _part_dir(self.path, kind, ingest_id, part)
+        if self.by_date:
+            dated = with_pickup_date(frame, kind).hint("rebalance", "pickup_date")
+            dated.write.mode("overwrite").partitionBy("pickup_date").parquet(target)
+        else:
+            frame.write.mode("overwrite").parquet(target)
 
     def read(self, spark: SparkSession, kind: str) -> DataFrame:
-        """The table, with ``pickup_date`` for partition pruning."""
         return spark.read.parquet(f"{self.path.rstrip('/')}/{kind}").drop("ingest_id", "part")
 
 
