@@ -51,9 +51,22 @@ def from_epoch_micros(c: Column | str) -> Column:
     return F.expr(_EPOCH) + _col(c).cast("bigint") * F.expr("INTERVAL '0.000001' SECOND")
 
 
+def seconds_between(start: Column | str, end: Column | str) -> Column:
+    """Exact seconds between two wall-clock datetimes, as a decimal.
+
+    Subtraction stays in wall-clock time; the timestamp functions would go through the session
+    zone and stumble over its clock changes.
+    """
+    return (_col(end) - _col(start)).cast("decimal(20,6)")
+
+
+def micros_between(start: Column | str, end: Column | str) -> Column:
+    return (seconds_between(start, end) * F.lit(1_000_000)).cast("bigint")
+
+
 def epoch_micros(ts: Column | str) -> Column:
     """Wall-clock datetime to microseconds since the epoch."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _col(ts))
+    return micros_between(F.expr(_EPOCH), ts)
 
 
 def to_millis_precision(ts: Column | str) -> Column:
@@ -72,7 +85,7 @@ def parse_datetime_text(c: Column | str) -> Column:
     month_end = F.last_day(F.try_to_date(F.concat(F.substring(c, 1, 8), F.lit("01"))))
     day = F.substring(c, 9, 2)
     clamped = F.when(
-        day.between("29", "31"), F.concat(F.substring(c, 1, 8), F.least(day, F.date_format(month_end, "dd")))
+        day.between("29", "31"), F.concat(F.substring(c, 1, 8), F.least(day, F.day(month_end).cast("string")))
     ).otherwise(F.substring(c, 1, 10))
     time = F.substring(c, 12, 8)
     midnight = time == "24:00:00"
@@ -106,6 +119,4 @@ def to_datetime(c: Column | str, dtype: T.DataType, strict: bool = True) -> Colu
 
 def duration_minutes(pickup: Column | str, dropoff: Column | str) -> Column:
     """Whole minutes from pickup to drop-off: floor to seconds, then truncate toward zero."""
-    micros = F.timestamp_diff("MICROSECOND", _col(pickup), _col(dropoff))
-    seconds = F.call_function("div", micros - F.pmod(micros, F.lit(1_000_000)), F.lit(1_000_000))
-    return F.call_function("div", seconds, F.lit(60))
+    return F.call_function("div", F.floor(seconds_between(pickup, dropoff)).cast("bigint"), F.lit(60))

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.coerce import micros_between
+
 PROCESSED = "processed"
 TOTAL = "total"
 
@@ -53,7 +55,7 @@ def ledger_rates(ledger: DataFrame, window: str = "1 minute") -> DataFrame:
     windowed = ledger.groupBy(F.window("finished_at", window).alias("w"), "kind").agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("records"), F.lit(0)).alias("records")
     )
-    seconds = F.timestamp_diff("SECOND", F.col("w.start"), F.col("w.end"))
+    seconds = (F.col("w.end") - F.col("w.start")).cast("bigint")
     return windowed.select(
         F.col("w.start").alias("window_start"),
         "kind",
@@ -65,9 +67,8 @@ def ledger_rates(ledger: DataFrame, window: str = "1 minute") -> DataFrame:
 
 def timer_stats(ledger: DataFrame) -> DataFrame:
     """Processing time by kind: count, total and longest, in seconds."""
-    micros = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("finished_at"))
     return (
-        ledger.select("kind", micros.alias("us"))
+        ledger.select("kind", micros_between("started_at", "finished_at").alias("us"))
         .groupBy("kind")
         .agg(
             F.count("us").alias("timed"),

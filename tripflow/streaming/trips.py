@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.coerce import epoch_micros, from_epoch_micros
 from ..operators.normalize import normalize
 from ..operators.selection import RETENTION_DAYS
 from ..schemas import TripKind, kind_of
@@ -25,10 +26,15 @@ def windowed_counts(
     trips: DataFrame, time_col: str, window: str = "1 hour", late_days: int = RETENTION_DAYS, by: tuple[str, ...] = ()
 ) -> DataFrame:
     """Trips per tumbling window. On a stream, trips later than ``late_days`` are dropped and
-    the state of closed windows is released."""
+    the state of closed windows is released.
+
+    Watermarks need an instant: the wall clock is read as UTC and turned back afterwards.
+    """
+    instant = F.timestamp_micros(epoch_micros(time_col))
     return (
-        trips.withWatermark(time_col, f"{late_days} days")
-        .groupBy(F.window(time_col, window).alias("w"), *by)
+        trips.withColumn("__at", instant)
+        .withWatermark("__at", f"{late_days} days")
+        .groupBy(F.window("__at", window).alias("w"), *by)
         .agg(F.count(F.lit(1)).alias("trips"))
-        .select(F.col("w.start").alias("window_start"), *by, "trips")
+        .select(from_epoch_micros(F.unix_micros("w.start")).alias("window_start"), *by, "trips")
     )
