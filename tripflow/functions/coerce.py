@@ -19,15 +19,22 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _fits_int(c: Column) -> Column:
+    return (c > F.lit(-(2**31) - 1)) & (c < F.lit(2**31))
+
+
 def to_int(c: Column | str) -> Column:
-    """32-bit integer; null when the value does not fit (see ``is_narrowed``)."""
-    return _col(c).try_cast("int")
+    """32-bit integer from a number; null when it does not fit (see ``is_narrowed``).
+
+    A range test instead of ``try_cast``, which raises and catches an error per overflow.
+    """
+    c = _col(c)
+    return F.when(_fits_int(c), c.cast("int"))
 
 
 def is_narrowed(c: Column | str) -> Column:
     """True where ``to_int`` loses a value."""
-    c = _col(c)
-    return c.isNotNull() & c.try_cast("int").isNull()
+    return F.coalesce(~_fits_int(_col(c)), F.lit(False))
 
 
 def to_double(c: Column | str) -> Column:
@@ -93,7 +100,7 @@ def parse_datetime_text(c: Column | str) -> Column:
         "timestamp_ntz"
     )
     standard_value = resolved + F.when(midnight, F.expr("INTERVAL '1' DAY")).otherwise(F.expr("INTERVAL '0' DAY"))
-    return F.when(standard, standard_value).when(c.rlike(ISO_DATETIME), c.try_cast("timestamp_ntz"))
+    return F.when(c.rlike(ISO_DATETIME), c.try_cast("timestamp_ntz")).when(standard, standard_value)
 
 
 def to_datetime(c: Column | str, dtype: T.DataType, strict: bool = True) -> Column:
@@ -113,10 +120,17 @@ def to_datetime(c: Column | str, dtype: T.DataType, strict: bool = True) -> Colu
         if not strict:
             return parsed
         failed = F.raise_error(F.concat(F.lit("Cannot parse datetime: "), c)).cast("timestamp_ntz")
-        return F.when(c.isNotNull() & parsed.isNull(), failed).otherwise(parsed)
+        return F.coalesce(parsed, F.when(c.isNotNull(), failed))
     raise SchemaValidationError(f"cannot read a datetime from {dtype.simpleString()}")
 
 
 def duration_minutes(pickup: Column | str, dropoff: Column | str) -> Column:
-    """Whole minutes from pickup to drop-off: floor to seconds, then truncate toward zero."""
-    return F.call_function("div", F.floor(seconds_between(pickup, dropoff)).cast("bigint"), F.lit(60))
+    """Whole minutes from pickup to drop-off: floor to seconds, then truncate toward zero.
+
+    Casting an interval to whole seconds truncates, which is the floor unless it is negative.
+    """
+    pickup, dropoff = _col(pickup), _col(dropoff)
+    forward = (dropoff - pickup).cast("bigint")
+    backward = F.floor(seconds_between(pickup, dropoff)).cast("bigint")
+    seconds = F.when(dropoff >= pickup, forward).otherwise(backward)
+    return F.call_function("div", seconds, F.lit(60))

@@ -14,7 +14,7 @@ from ..sources.trips import ORIGIN, read_any
 log = logging.getLogger(__name__)
 
 SEED = 42
-_DIGITS = 4  # hex digits resolved per counting pass: at most 65,536 groups
+_DIGITS = 3  # hex digits resolved per counting pass: at most 4,096 groups
 _HASH_DIGITS = 32
 _SMALL = 100_000
 
@@ -59,8 +59,8 @@ def _cutoff(hashed: DataFrame, n: int, small: int) -> tuple[str, int, int] | Non
     """The n-th smallest hash, the rows that carry it, and how many of those are wanted.
 
     Each pass counts the rows per next few hex digits below the prefix found so far, which
-    narrows the range 65,536-fold, until few enough rows are left to count them by whole hash.
-    The driver receives counts only, at most ``max(65536, small)``. None when no row is left out.
+    narrows the range 4,096-fold, until few enough rows are left to count them by whole hash.
+    The driver receives counts only, at most ``max(4096, small)``. None when no row is left out.
     """
     prefix, wanted, end = "", n, _DIGITS
     while True:
@@ -75,7 +75,7 @@ def _cutoff(hashed: DataFrame, n: int, small: int) -> tuple[str, int, int] | Non
             wanted -= c
         if end == _HASH_DIGITS:
             return prefix, c, wanted
-        end = _HASH_DIGITS if c <= small else end + _DIGITS
+        end = _HASH_DIGITS if c <= small else min(end + _DIGITS, _HASH_DIGITS)
 
 
 def sample_parquet(spark: SparkSession, source: str, target: str, n: int, seed: int = SEED) -> None:

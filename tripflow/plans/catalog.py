@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions import codes, coerce, names, rules, style
 from ..functions.geometry import point_wkt, segment_wkt
 from ..operators import documents, features, metrics, quality, sampling, selection
+from ..operators.layout import spread
 from ..schemas import GREEN, YELLOW
 from ..session import scratch_dir
 from ..sinks.bulk import bulk_chunks
@@ -34,9 +35,11 @@ STATS_YELLOW = (
 ).split()
 
 
-def trips(spark: SparkSession, sf_dir: str, kind: str, keys: bool = False) -> DataFrame:
+def trips(spark: SparkSession, sf_dir: str, kind: str, keys: bool = False, costly: bool = False) -> DataFrame:
+    """Typed trips. ``costly`` asks for a task on every core."""
     keep = KEYS[kind] if keys else ()
-    return typed_trips(raw_trips(spark, sf_dir, kind, keys), kind, keep=keep)
+    raw = raw_trips(spark, sf_dir, kind, keys)
+    return typed_trips(spread(raw) if costly else raw, kind, keep=keep)
 
 
 def vendor_fare_summary(spark, sf_dir):
@@ -336,7 +339,7 @@ def footer_counts(spark, sf_dir):
 
 def doc_json_fields(spark, sf_dir):
     docs = documents.to_documents(
-        trips(spark, sf_dir, "green", keys=True), "green", include_derived=True, keep=("o_orderkey",)
+        trips(spark, sf_dir, "green", keys=True, costly=True), "green", include_derived=True, keep=("o_orderkey",)
     )
     paths = {
         "vendor": "$.VendorID",
@@ -350,19 +353,19 @@ def doc_json_fields(spark, sf_dir):
 
 
 def doc_read(spark, sf_dir):
-    return documents.from_documents(documents.to_documents(trips(spark, sf_dir, "yellow"), "yellow"), "yellow")
+    return documents.from_documents(documents.to_documents(trips(spark, sf_dir, "yellow", costly=True), "yellow"), "yellow")
 
 
 def json_round_trip(spark, sf_dir):
     results = [
-        documents.round_trip_mismatches(trips(spark, sf_dir, kind), kind).select(F.lit(kind).alias("kind"), "*")
+        documents.round_trip_mismatches(trips(spark, sf_dir, kind, costly=True), kind).select(F.lit(kind).alias("kind"), "*")
         for kind in ("yellow", "green")
     ]
     return results[0].unionByName(results[1])
 
 
 def serialization_rate(spark, sf_dir):
-    return documents.serialization_rate(trips(spark, sf_dir, "yellow"), "yellow")
+    return documents.serialization_rate(trips(spark, sf_dir, "yellow", costly=True), "yellow")
 
 
 def sample_exact(spark, sf_dir):
@@ -469,7 +472,7 @@ def hourly_trips(spark, sf_dir):
 def bulk_requests(spark, sf_dir):
     chunks = None
     for kind, spec in (("yellow", YELLOW), ("green", GREEN)):
-        part = bulk_chunks(documents.to_documents(trips(spark, sf_dir, kind), kind), spec.index)
+        part = bulk_chunks(documents.to_documents(trips(spark, sf_dir, kind, costly=True), kind), spec.index)
         chunks = part if chunks is None else chunks.unionByName(part)
     lines = F.length("body") - F.length(F.replace("body", F.lit("\n"), F.lit("")))
     return chunks.groupBy("index").agg(

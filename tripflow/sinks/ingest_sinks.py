@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.documents import to_documents
 from ..operators.features import with_pickup_date
+from ..operators.layout import spread
 from ..operators.normalize import check_schema, normalize
 from ..schemas import KINDS, kind_of
 from ..sources import files
@@ -83,7 +84,7 @@ class SearchIndex:
 
     def write(self, frame: DataFrame, kind: str, ingest_id: str, part: str) -> None:
         check_schema(frame, kind)
-        trips = normalize(frame, kind, keep=ORIGIN).withColumn("doc_id", document_id(*ORIGIN))
+        trips = normalize(spread(frame), kind, keep=ORIGIN).withColumn("doc_id", document_id(*ORIGIN))
         docs = to_documents(trips, kind, self.include_derived, keep=("doc_id",))
         chunks = bulk_chunks(docs, kind_of(kind).index, self.docs_per_request, id_col="doc_id")
         folder = _part_dir(self.outbox, kind, ingest_id, part)
