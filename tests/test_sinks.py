@@ -28,7 +28,14 @@ def test_catalog_table_sanitises_columns(spark):
 
 def test_jdbc_options():
     options = tables.jdbc_options("public.yellow", "jdbc:x", properties={"user": "u", "ssl": "true"})
-    assert options == {"user": "u", "ssl": "true", "url": "jdbc:x", "dbtable": "public.yellow", "batchsize": "1000"}
+    assert options == {
+        "user": "u",
+        "ssl": "true",
+        "url": "jdbc:x",
+        "dbtable": "public.yellow",
+        "batchsize": "1000",
+        "numPartitions": "5",
+    }
 
 
 def test_bulk_bodies(make_trips):

@@ -497,7 +497,7 @@ def ingest_directory(spark, sf_dir):
     root = scratch_dir(spark, "ingest")
     for kind in ("yellow", "green"):
         trip_files(spark, sf_dir, kind).write.mode("append").parquet(f"{root}/in")
-    tables = TripTables(f"{root}/tables")
+    tables = TripTables(f"{root}/tables", typed=False)
     cfg = IngestConfig(
         input_dir=f"{root}/in",
         processed_dir=f"{root}/processed",

@@ -36,13 +36,14 @@ def _reset(spark: SparkSession, root: str, ingest_id: str) -> None:
 class TripTables:
     """One Parquet table per kind, in one folder per micro-batch.
 
-    ``typed`` stores typed trips; otherwise the file columns as they are. Rows are written by
-    the tasks that read them, without a shuffle. ``by_date`` partitions further by pickup date,
-    which costs one: it pays for large files whose trips are looked up by day.
+    Stores typed trips, or with ``typed=False`` the file columns as they are, which suits strict
+    detection: there all files of a kind have one schema. Rows are written by the tasks that
+    read them, without a shuffle. ``by_date`` partitions further by pickup date, which costs
+    one: it pays for large files whose trips are looked up by day.
     """
 
     path: str
-    typed: bool = False
+    typed: bool = True
     by_date: bool = False
 
     def reset(self, spark: SparkSession, ingest_id: str) -> None:

@@ -10,12 +10,28 @@ from ..operators.schema_ops import sanitize_columns
 BATCH_SIZE = 1000
 
 
-def jdbc_options(table: str, url: str, batch_size: int = BATCH_SIZE, properties: dict | None = None) -> dict[str, str]:
+MAX_CONNECTIONS = 5
+
+
+def jdbc_options(
+    table: str,
+    url: str,
+    batch_size: int = BATCH_SIZE,
+    max_connections: int = MAX_CONNECTIONS,
+    properties: dict | None = None,
+) -> dict[str, str]:
     """Options of the JDBC writer. ``properties`` pass driver settings (user, ssl, ...) through.
 
     Column types come from Spark's dialect for the database, which also marks non-null columns.
+    Every task opens a connection, so their number is limited for the database's sake.
     """
-    return {**(properties or {}), "url": url, "dbtable": table, "batchsize": str(batch_size)}
+    return {
+        **(properties or {}),
+        "url": url,
+        "dbtable": table,
+        "batchsize": str(batch_size),
+        "numPartitions": str(max_connections),
+    }
 
 
 def _written(df: DataFrame, write) -> int:
@@ -32,6 +48,7 @@ def load_table(
     *,
     drop_if_exists: bool = False,
     batch_size: int = BATCH_SIZE,
+    max_connections: int = MAX_CONNECTIONS,
     properties: dict | None = None,
 ) -> int:
     """Append to a database table, creating it when missing; returns the number of rows.
@@ -40,7 +57,7 @@ def load_table(
     and commits once, so a task that fails leaves nothing; a task that is retried after its
     commit would insert twice, which a staging table and a swap in the database avoid.
     """
-    options = jdbc_options(table, url, batch_size, properties)
+    options = jdbc_options(table, url, batch_size, max_connections, properties)
     mode = "overwrite" if drop_if_exists else "append"
     return _written(
         sanitize_columns(df), lambda out: out.write.format("jdbc").options(**options).mode(mode).save()

@@ -22,17 +22,22 @@ def _as_list(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_any(spark: SparkSession, path: str | Sequence[str], with_origin: bool = False) -> DataFrame:
-    """Parquet with the schema of the files themselves. A file set without rows is an error.
+def scan(spark: SparkSession, paths: str | Sequence[str], with_origin: bool = False) -> DataFrame:
+    """Parquet with the schema of the files themselves.
 
     ``with_origin`` adds file path and row position, a row identity that no shuffle, retry or
     repartitioning changes.
     """
-    df = spark.read.parquet(*_as_list(path))
+    df = spark.read.parquet(*_as_list(paths))
     if with_origin:
-        df = df.select(
-            "*", F.col("_metadata.file_path").alias(ORIGIN[0]), F.col("_metadata.row_index").alias(ORIGIN[1])
-        )
+        position = (F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        df = df.select("*", *[c.alias(name) for c, name in zip(position, ORIGIN)])
+    return df
+
+
+def read_any(spark: SparkSession, path: str | Sequence[str], with_origin: bool = False) -> DataFrame:
+    """``scan`` for which a file set without rows is an error."""
+    df = scan(spark, path, with_origin)
     if df.select(df.columns[0]).isEmpty():
         raise ValueError(f"no rows in {path}")
     return df
@@ -74,16 +79,8 @@ def read_trips(
         if files_only and not files.is_file(spark, path):
             raise IsADirectoryError(f"Path is not a regular file: {path}")
     groups = _schema_groups(spark, paths) if mixed_schemas else [paths]
-    frames = []
-    for group in groups:
-        df = spark.read.parquet(*group)
-        keep = ()
-        if with_origin:
-            df = df.select(
-                "*", F.col("_metadata.file_path").alias(ORIGIN[0]), F.col("_metadata.row_index").alias(ORIGIN[1])
-            )
-            keep = ORIGIN
-        frames.append(typed_trips(df, kind, criteria, strict, keep))
+    keep = ORIGIN if with_origin else ()
+    frames = [typed_trips(scan(spark, group, with_origin), kind, criteria, strict, keep) for group in groups]
     return reduce(DataFrame.unionByName, frames)
 
 

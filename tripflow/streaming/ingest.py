@@ -26,7 +26,7 @@ from ..schemas import LEDGER_SCHEMA, SchemaValidationError
 from ..sinks.bulk import BulkLoadError
 from ..sources import files
 from ..sources.footers import detect_kind, probe_footers
-from ..sources.trips import read_any
+from ..sources.trips import scan
 from . import ledger as L
 
 log = logging.getLogger(__name__)
@@ -34,6 +34,8 @@ log = logging.getLogger(__name__)
 MAX_FILES_PER_TRIGGER = 10
 TRIGGER_SECONDS = 30
 MOVE_THREADS = 5
+# A file may be older than those already seen (a move keeps its time) and must not be ignored.
+MAX_FILE_AGE = "36500d"
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -70,7 +72,7 @@ def _load(spark: SparkSession, cfg: IngestConfig, kind: str, group: list, ingest
     bad file fails alone. Returns ``(file, status, started, finished)``."""
     started = _now()
     try:
-        frame = read_any(spark, [files.literal(f.path) for f in group], with_origin=True)
+        frame = scan(spark, [files.literal(f.path) for f in group], with_origin=True)
         cfg.sink.write(frame, kind, ingest_id, part)
     except BulkLoadError:
         raise  # the whole micro-batch is repeated; document ids make that safe
@@ -113,8 +115,10 @@ def _ingest_files(
     offered = listing.select("path", "length")
     if empty:
         offered = offered.unionByName(files.file_frame(spark, empty)).dropDuplicates(["path"])
-    ledger = L.read_ledger(spark, cfg.ledger_dir)
-    pending = L.pending_files(offered, ledger).select("path", file_name("path").alias("name"))
+        known = L.read_ledger(spark, cfg.ledger_dir)
+    else:
+        known = L.read_other_ledgers(spark, cfg.ledger_dir, ingest_id)
+    pending = L.pending_files(offered, known).select("path", file_name("path").alias("name"))
 
     rows, candidates = [], []
     for path, name in sorted(tuple(r) for r in pending.collect()):
@@ -179,6 +183,7 @@ def start_ingest(spark: SparkSession, cfg: IngestConfig, available_now: bool = F
         spark.readStream.format("binaryFile")
         .schema(LISTING_SCHEMA)
         .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
+        .option("maxFileAge", MAX_FILE_AGE)
         .load(cfg.input_dir)
         .select("path", "length")
     )
