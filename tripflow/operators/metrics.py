@@ -15,16 +15,19 @@ TOTAL = "total"
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows per named frame. A bare Parquet scan is counted from its footers."""
-    counted = None
+    """Rows per named frame, in one job. A bare Parquet scan is counted from its footers.
+
+    The zero rows make an empty frame show up with a count of 0.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    ones = spark.createDataFrame([(name, 0) for name in tables], "table_name string, n bigint")
     for name, df in tables.items():
-        part = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
-        counted = part if counted is None else counted.unionByName(part)
-    return counted
+        ones = ones.unionByName(df.select(F.lit(name).alias("table_name"), F.lit(1).cast("bigint").alias("n")))
+    return ones.groupBy("table_name").agg(F.sum("n").alias("n_rows"))
 
 
 def ledger_totals(ledger: DataFrame) -> DataFrame:
-    """Files, processed files, errored files and records, by kind and in total."""
+    """Files handled, processed and errored, and records loaded, by kind and in total."""
     kind = F.coalesce("kind", F.lit("unknown"))
     processed = F.col("status") == PROCESSED
     totals = ledger.select(kind.alias("kind"), "status", "records").rollup("kind")

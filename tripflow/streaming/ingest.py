@@ -110,15 +110,19 @@ def _ingest_files(
     spark: SparkSession, listing: DataFrame, cfg: IngestConfig, ingest_id: str, batch_id: int
 ) -> list[tuple]:
     cfg.sink.reset(spark, ingest_id)
-    # The file source hides empty files, so they are looked up in the folder itself.
-    empty = [f for f in files.list_files(spark, cfg.input_dir) if f.length == 0]
-    offered = listing.select("path", "length")
+    offered = {r.path: files.FileInfo(r.path, r.length) for r in listing.select("path", "length").collect()}
+    # The file source hides empty files. A micro-batch that held one is not full, so only then is
+    # the folder itself searched for them.
+    empty = []
+    if len(offered) < cfg.max_files_per_trigger:
+        empty = [f for f in files.list_files(spark, cfg.input_dir) if f.length == 0]
+        offered |= {f.path: f for f in empty}
     if empty:
-        offered = offered.unionByName(files.file_frame(spark, empty)).dropDuplicates(["path"])
         known = L.read_ledger(spark, cfg.ledger_dir)
     else:
         known = L.read_other_ledgers(spark, cfg.ledger_dir, ingest_id)
-    pending = L.pending_files(offered, known).select("path", file_name("path").alias("name"))
+    pending = L.pending_files(files.file_frame(spark, list(offered.values())), known)
+    pending = pending.select("path", file_name("path").alias("name"))
 
     rows, candidates = [], []
     for path, name in sorted(tuple(r) for r in pending.collect()):
