@@ -13,6 +13,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from itertools import chain
 from typing import Protocol
 
 from py4j.protocol import Py4JError
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.names import file_name, quarantine_name
+from ..functions.names import quarantine_name
 from ..schemas import LEDGER_SCHEMA, SchemaValidationError
 from ..sinks.bulk import BulkLoadError
 from ..sources import files
@@ -33,6 +34,7 @@ log = logging.getLogger(__name__)
 
 MAX_FILES_PER_TRIGGER = 10
 TRIGGER_SECONDS = 30
+LOAD_THREADS = 5
 MOVE_THREADS = 5
 # A file may be older than those already seen (a move keeps its time) and must not be ignored.
 MAX_FILE_AGE = "36500d"
@@ -62,6 +64,10 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def _name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
+
+
 def _status_of(error: Exception) -> str:
     expected = (OSError, SchemaValidationError, PySparkException, Py4JError)
     return L.PROCESSING_ERROR if isinstance(error, expected) else L.UNEXPECTED_ERROR
@@ -121,11 +127,14 @@ def _ingest_files(
         known = L.read_ledger(spark, cfg.ledger_dir)
     else:
         known = L.read_other_ledgers(spark, cfg.ledger_dir, ingest_id)
-    pending = L.pending_files(files.file_frame(spark, list(offered.values())), known)
-    pending = pending.select("path", file_name("path").alias("name"))
+    paths = set(offered)
+    if known is not None:
+        pending = L.pending_files(files.file_frame(spark, list(offered.values())), known)
+        paths = {r.path for r in pending.select("path").collect()}
 
     rows, candidates = [], []
-    for path, name in sorted(tuple(r) for r in pending.collect()):
+    for path in sorted(paths):
+        name = _name(path)
         if files.is_hidden(name):
             continue
         if files.is_parquet_name(name):
@@ -142,15 +151,21 @@ def _ingest_files(
     records = {}
     for path, kind, shape, count in probe.select("path", "kind", "fingerprint", "num_rows").collect():
         if kind == "unknown":
-            rows.append((path, path.rsplit("/", 1)[-1], None, L.SCHEMA_MISMATCH, None, batch_id, started, _now()))
+            rows.append((path, _name(path), None, L.SCHEMA_MISMATCH, None, batch_id, started, _now()))
         else:
             groups.setdefault((kind, shape), []).append(files.FileInfo(path, 0))
             records[path] = count
-    for number, (kind, shape) in enumerate(sorted(groups)):
+
+    def load(numbered) -> list[tuple]:
+        number, (kind, shape) = numbered
         group = sorted(groups[kind, shape], key=lambda f: f.path)
-        for f, status, began, ended in _load(spark, cfg, kind, group, ingest_id, str(number)):
+        return [(kind, *o) for o in _load(spark, cfg, kind, group, ingest_id, str(number))]
+
+    # The jobs of different groups run side by side; within a group Spark does the spreading.
+    with ThreadPoolExecutor(LOAD_THREADS) as pool:
+        for kind, f, status, began, ended in chain.from_iterable(pool.map(load, enumerate(sorted(groups)))):
             count = records[f.path] if status == L.PROCESSED else None
-            rows.append((f.path, f.path.rsplit("/", 1)[-1], kind, status, count, batch_id, began, ended))
+            rows.append((f.path, _name(f.path), kind, status, count, batch_id, began, ended))
     return rows
 
 

@@ -24,8 +24,8 @@ def read_ledger(spark: SparkSession, ledger_dir: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_dir).select(*LEDGER_SCHEMA.names)
 
 
-def read_other_ledgers(spark: SparkSession, ledger_dir: str, ingest_id: str) -> DataFrame:
-    """Rows that ingestion with another checkpoint recorded.
+def read_other_ledgers(spark: SparkSession, ledger_dir: str, ingest_id: str) -> DataFrame | None:
+    """Rows that ingestion with another checkpoint recorded; None when there was no other.
 
     The stream itself never offers a path twice, so a micro-batch need not read back what its
     own stream has recorded, which would cost more with every batch.
@@ -33,7 +33,7 @@ def read_other_ledgers(spark: SparkSession, ledger_dir: str, ingest_id: str) ->
     own = f"ingest_id={ingest_id.rsplit('-', 1)[0]}-"
     others = [d for d in files.list_dirs(spark, ledger_dir) if not d.rsplit("/", 1)[-1].startswith(own)]
     if not others:
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+        return None
     return spark.read.schema(LEDGER_SCHEMA).parquet(*others)
 
 
