@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import ROWS, SPECS
+from conftest import SPECS
 from tripflow.functions import rules
 from tripflow.operators.normalize import normalize
 from tripflow.operators.quality import valid_share, violation_report, with_quality
@@ -18,7 +18,7 @@ def checked(df, kind):
 
 
 @pytest.mark.parametrize("kind", ["yellow", "green"])
-def test_reference_row_is_valid(make_trips, kind):
+def test_unchanged_row_is_valid(make_trips, kind):
     assert checked(make_trips(kind), kind) == [(True, None, [])]
 
 

@@ -14,7 +14,7 @@ from ..functions.geometry import point_wkt, segment_wkt
 from ..operators import documents, features, metrics, quality, sampling, selection
 from ..operators.layout import spread
 from ..schemas import GREEN, YELLOW
-from ..session import scratch_dir
+from ..session import ensure_checkpoint_dir, scratch_dir
 from ..sinks.bulk import bulk_chunks
 from ..sinks.ingest_sinks import TripTables
 from ..sources import files, footers
@@ -492,6 +492,14 @@ def sink_totals(spark, sf_dir):
     return metrics.sink_totals(results)
 
 
+def _kept(result: DataFrame, root: str) -> DataFrame:
+    """The few rows of a report, checkpointed, so that the folder they came from can go."""
+    ensure_checkpoint_dir(result.sparkSession)
+    result = result.checkpoint()
+    files.delete_tree(result.sparkSession, root)
+    return result
+
+
 def ingest_directory(spark, sf_dir):
     """Trip files of both kinds through the ingestion stream: ledger against loaded tables."""
     root = scratch_dir(spark, "ingest")
@@ -515,7 +523,7 @@ def ingest_directory(spark, sf_dir):
             F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("loaded"), F.sum("total_amount").alias("total_amount")
         )
         loaded = part if loaded is None else loaded.unionByName(part)
-    return recorded.join(loaded, "kind", "full")
+    return _kept(recorded.join(loaded, "kind", "full"), root)
 
 
 def stream_valid_trips(spark, sf_dir):
@@ -531,7 +539,8 @@ def stream_valid_trips(spark, sf_dir):
     )
     query.awaitTermination()
     out = spark.read.schema(GREEN.trip_schema).parquet(f"{root}/out")
-    return out.groupBy("VendorID").agg(F.count(F.lit(1)).alias("trips"), F.sum("fare_amount").alias("fare_amount"))
+    report = out.groupBy("VendorID").agg(F.count(F.lit(1)).alias("trips"), F.sum("fare_amount").alias("fare_amount"))
+    return _kept(report, root)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
