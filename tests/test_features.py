@@ -66,9 +66,19 @@ def test_typed_trips_as_features(make_trips, two_zones):
     assert features_df.first().ehail_fee is None
 
 
-def test_unknown_geometry():
+def test_unknown_geometry(make_raw, two_zones):
     with pytest.raises(ValueError):
-        features.trip_geometry("area")
+        features.to_features(make_raw("green"), "green", two_zones, "area")
+
+
+def test_unknown_zone_has_no_geometry(make_raw, two_zones):
+    raw = make_raw("green", {"PULocationID": 5}, {"DOLocationID": None})
+    lines = features.to_features(raw, "green", two_zones, "line").collect()
+    assert len(lines) == 2 and all(r.geom is None for r in lines)
+
+
+def test_point_features_join_once(make_raw, two_zones):
+    assert plan_of(features.to_features(make_raw("green"), "green", two_zones)).count("BroadcastHashJoin") == 1
 
 
 def points(spark, n, trip="a", first=0):

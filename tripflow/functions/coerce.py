@@ -77,8 +77,14 @@ def epoch_micros(ts: Column | str) -> Column:
 
 
 def to_millis_precision(ts: Column | str) -> Column:
+    """Wall-clock datetime with its microseconds cut off.
+
+    Only the remainder below a millisecond is taken through the session zone, and zones shift by
+    whole seconds.
+    """
     ts = _col(ts)
-    return ts - F.pmod(epoch_micros(ts), F.lit(1000)) * F.expr("INTERVAL '0.000001' SECOND")
+    rest = F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(1000))
+    return ts - rest * F.expr("INTERVAL '0.000001' SECOND")
 
 
 def parse_datetime_text(c: Column | str) -> Column:

@@ -16,14 +16,22 @@ def coordinate(lon: Column | str, lat: Column | str) -> Column:
     return F.concat(_col(lon).cast("string"), F.lit(" "), _col(lat).cast("string"))
 
 
+def point_through(at: Column | str) -> Column:
+    return F.concat(F.lit("POINT ("), _col(at), F.lit(")"))
+
+
+def line_through(start: Column | str, end: Column | str) -> Column:
+    return F.concat(F.lit("LINESTRING ("), _col(start), F.lit(", "), _col(end), F.lit(")"))
+
+
 def point_wkt(lon: Column | str, lat: Column | str) -> Column:
     """Null when a coordinate is missing."""
-    return F.concat(F.lit("POINT ("), coordinate(lon, lat), F.lit(")"))
+    return point_through(coordinate(lon, lat))
 
 
 def segment_wkt(lon1, lat1, lon2, lat2) -> Column:
     """A two-point line; null when a coordinate is missing."""
-    return F.concat(F.lit("LINESTRING ("), coordinate(lon1, lat1), F.lit(", "), coordinate(lon2, lat2), F.lit(")"))
+    return line_through(coordinate(lon1, lat1), coordinate(lon2, lat2))
 
 
 def line_wkt(points: Column | str) -> Column:

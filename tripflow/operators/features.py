@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import SRID, line_wkt, point_wkt, segment_wkt
+from ..functions.geometry import SRID, coordinate, line_through, line_wkt, point_through
 from ..schemas import TripKind, kind_of
 from ..sources import files
 from .dimensions import broadcast_if_small
@@ -18,45 +18,44 @@ from .selection import RETENTION_DAYS
 PART_POINTS = 10_000
 
 
+def _join_zone(trips: DataFrame, zones: DataFrame, key: str, prefix: str) -> DataFrame:
+    """Left join on one location column; the zone's other columns get the prefix."""
+    side = zones.select(
+        F.col("zone_id").alias(f"__{prefix}id"),
+        *[F.col(c).alias(f"{prefix}{c}") for c in zones.columns if c != "zone_id"],
+    )
+    return trips.join(side, F.col(key) == F.col(f"__{prefix}id"), "left").drop(f"__{prefix}id")
+
+
 def with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Adds pickup and drop-off coordinates; null where the zone is unknown.
 
     ``zones`` has one row per ``zone_id``.
     """
     zones = broadcast_if_small(zones.select("zone_id", "lon", "lat"))
-    joined = trips
-    for prefix, key in (("pu", "PULocationID"), ("do", "DOLocationID")):
-        side = zones.select(
-            F.col("zone_id").alias(f"__{prefix}"),
-            F.col("lon").alias(f"{prefix}_lon"),
-            F.col("lat").alias(f"{prefix}_lat"),
-        )
-        joined = joined.join(side, F.col(key) == F.col(f"__{prefix}"), "left").drop(f"__{prefix}")
-    return joined
-
-
-def trip_geometry(geometry: str = "pickup"):
-    """Geometry column over the columns of ``with_zones``."""
-    if geometry == "pickup":
-        return point_wkt("pu_lon", "pu_lat")
-    if geometry == "dropoff":
-        return point_wkt("do_lon", "do_lat")
-    if geometry == "line":
-        return segment_wkt("pu_lon", "pu_lat", "do_lon", "do_lat")
-    raise ValueError(f"geometry is 'pickup', 'dropoff' or 'line', not {geometry!r}")
+    return _join_zone(_join_zone(trips, zones, "PULocationID", "pu_"), zones, "DOLocationID", "do_")
 
 
 def to_features(trips: DataFrame, kind: str | TripKind, zones: DataFrame, geometry: str = "pickup") -> DataFrame:
     """Feature table: ``geom`` (WKT), ``srid``, then all trip attributes in file order.
 
-    Takes file columns or typed trips; attributes have the file types, datetimes at
-    millisecond precision. The default time is the pickup time.
+    ``geometry`` is "pickup" or "dropoff" (a point) or "line". Takes file columns or typed
+    trips; attributes have the file types, datetimes at millisecond precision. The default time
+    is the pickup time. Coordinates become text once per zone, not once per trip.
     """
     kind = kind_of(kind)
-    joined = with_zones(trips, zones)
-    return joined.select(
-        trip_geometry(geometry).alias("geom"), F.lit(SRID).alias("srid"), *feature_attributes(joined, kind)
+    if geometry not in ("pickup", "dropoff", "line"):
+        raise ValueError(f"geometry is 'pickup', 'dropoff' or 'line', not {geometry!r}")
+    places = broadcast_if_small(zones.select("zone_id", coordinate("lon", "lat").alias("at")))
+    joined = trips
+    if geometry != "dropoff":
+        joined = _join_zone(joined, places, "PULocationID", "__pu_")
+    if geometry != "pickup":
+        joined = _join_zone(joined, places, "DOLocationID", "__do_")
+    geom = {"pickup": point_through("__pu_at"), "dropoff": point_through("__do_at")}.get(
+        geometry, line_through("__pu_at", "__do_at")
     )
+    return joined.select(geom.alias("geom"), F.lit(SRID).alias("srid"), *feature_attributes(joined, kind))
 
 
 def route_lines(
