@@ -98,15 +98,13 @@ def pivotal_rounding(units: DataFrame, seed: int) -> DataFrame:
 
     ``chance`` is strictly between 0 and 1, ``size`` positive. Units are folded in blocks of about
     ``FAN``; each block leaves at most one undecided unit, and those meet in the next level of the tree.
-    Sizes taken per source are kept exactly but for its last undecided unit, which a draw decides.
+    Large units fight first, so that the undecided one is small. Sizes taken per source are kept exactly
+    but for its last undecided unit, whose chance is rounded: off by half its size at most.
     """
+    id_type = units.schema["id"].dataType.simpleString()
     empty = F.struct(
-        F.expr("cast(null as struct<id: struct<" + ", ".join(
-            f"{f.name}: {f.dataType.simpleString()}" for f in units.schema["id"].dataType.fields
-        ) + ">, draw: bigint, size: double, chance: double>)").alias("carried"),
-        F.expr("cast(array() as array<struct<id: struct<" + ", ".join(
-            f"{f.name}: {f.dataType.simpleString()}" for f in units.schema["id"].dataType.fields
-        ) + ">, extra: int>>)").alias("done"),
+        F.lit(None).cast(f"struct<id:{id_type},draw:bigint,size:double,chance:double>").alias("carried"),
+        F.array().cast(f"array<struct<id:{id_type},extra:int>>").alias("done"),
     )
     largest = units.agg(F.max("blocks")).first()[0] or 0
     level = units.withColumn("block", F.pmod(F.col("draw"), F.col("blocks"))).drop("blocks")
@@ -115,12 +113,12 @@ def pivotal_rounding(units: DataFrame, seed: int) -> DataFrame:
     for _ in range(levels):
         folded = checkpointed(
             level.groupBy("source", "block")
-            .agg(F.array_sort(F.collect_list(F.struct("draw", "id", "size", "chance"))).alias("units"))
+            .agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("falling"), "draw", "id", "size", "chance"))).alias("units"))
             .select(
                 "source",
                 "block",
                 F.aggregate(
-                    F.transform("units", lambda u: F.struct(u["id"].alias("id"), u["draw"].alias("draw"), u["size"].alias("size"), u["chance"].alias("chance"))),
+                    F.transform("units", lambda u: F.struct(*[u[c].alias(c) for c in ("id", "draw", "size", "chance")])),
                     empty,
                     lambda state, unit: _pivot(state, unit, seed),
                 ).alias("state"),
@@ -130,9 +128,7 @@ def pivotal_rounding(units: DataFrame, seed: int) -> DataFrame:
         level = folded.where("state.carried is not null").select(
             "source", F.floor(F.col("block") / FAN).alias("block"), "state.carried.*"
         )
-    last = level.select(
-        "id", (unit_interval(F.xxhash64("draw", F.lit(seed))) < F.col("chance")).cast("int").alias("extra")
-    )
+    last = level.select("id", (F.col("chance") >= 0.5).cast("int").alias("extra"))
     for d in decided:
         last = last.unionByName(d)
     return last

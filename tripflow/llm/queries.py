@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from .langid import op7_language_id
+from .licenses import op10_licenses
 from .mixing import op1_mixing
 from .sharding import op8_sharding
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op7_language_id": op7_language_id,
     "op8_sharding": op8_sharding,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE: dict[str, str] = {}
