@@ -46,3 +46,14 @@ def held_out(doc_id: Column) -> Column:
 def learnable(doc_id: Column) -> Column:
     """True where labels may be learned from: a row without an id is neither held out nor learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 != 0, F.lit(False))
+
+
+def bounded_sample(df: DataFrame, key: list[str], most: int) -> DataFrame:
+    """At most ``most`` rows, those whose ``key`` has the lowest hashes, the same ones at every run.
+
+    Rows are counted and thinned by hash first, so that what is sorted is bounded too. Give it stored rows.
+    """
+    (draw,) = fresh(df, "draw")
+    n = df.count()
+    thinned = df.withColumn(draw, F.xxhash64(*key)).where(unit_interval(F.col(draw)) * max(n, 1) < 3.0 * most)
+    return thinned.orderBy(draw, *key).limit(most).drop(draw)

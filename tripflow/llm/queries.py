@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+from .classifier import op2_quality
+from .decontaminate import op4_decontamination
 from .langid import op7_language_id
 from .licenses import op10_licenses
 from .mixing import op1_mixing
+from .repeats import op9_substring_dedup
+from .rules import op6_quality_rules
+from .secrets import op3_secrets
 from .sharding import op8_sharding
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_quality": op2_quality,
+    "op3_secrets": op3_secrets,
+    "op4_decontamination": op4_decontamination,
+    "op6_quality_rules": op6_quality_rules,
     "op7_language_id": op7_language_id,
     "op8_sharding": op8_sharding,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_licenses": op10_licenses,
 }
 
