@@ -12,8 +12,8 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import statistics
 from .common import bounded_sample, checkpointed, held_out, learnable, table
+from .statistics import COUNTS, ratios, with_counts
 
 # The model learns from at most so many labelled rows, those with the lowest hashes.
 FIT_ROWS = 100_000
@@ -34,7 +34,7 @@ class Scorer:
 
     def features(self, counts: pd.DataFrame) -> np.ndarray:
         """Random cosines whose inner products approximate a Gaussian kernel, and a constant."""
-        x = (statistics.ratios(counts) - self.mean) / self.spread
+        x = (ratios(counts) - self.mean) / self.spread
         z = np.sqrt(2.0 / len(self.phases)) * np.cos(np.clip(x, -8.0, 8.0) @ self.directions + self.phases)
         return np.column_stack([z, np.ones(len(z))])
 
@@ -45,15 +45,15 @@ class Scorer:
 def with_raw(counts: DataFrame, scorer: Scorer) -> DataFrame:
     @F.arrow_udf("double")
     def raw(*columns: pa.Array) -> pa.Array:
-        frame = pd.DataFrame({n: c.to_numpy(zero_copy_only=False) for n, c in zip(statistics.COUNTS, columns)})
+        frame = pd.DataFrame({n: c.to_numpy(zero_copy_only=False) for n, c in zip(COUNTS, columns)})
         return pa.array(scorer.raw(frame))
 
-    return counts.withColumn("raw", raw(*[F.col(c) for c in statistics.COUNTS]))
+    return counts.withColumn("raw", raw(*[F.col(c) for c in COUNTS]))
 
 
 def fit_ridge(rows: DataFrame, seed: int = 5) -> Scorer:
     """Solve the normal equations of ``rows`` (the counts and ``quality``), summed over partitions by Spark."""
-    width = statistics.ratios(pd.DataFrame({c: [0] for c in statistics.COUNTS})).shape[1]
+    width = ratios(pd.DataFrame({c: [0] for c in COUNTS})).shape[1]
     rng = np.random.default_rng(seed)
     plain = Scorer(
         np.zeros(width),
@@ -79,7 +79,7 @@ def fit_ridge(rows: DataFrame, seed: int = 5) -> Scorer:
         return {(r["i"], r["j"]): r["v"] for r in parts.groupBy("i", "j").agg(F.sum("v").alias("v")).collect()}
 
     def moments(frame: pd.DataFrame) -> np.ndarray:
-        r = statistics.ratios(frame)
+        r = ratios(frame)
         return np.stack([np.full(width, len(r)), r.sum(axis=0), (r * r).sum(axis=0)])
 
     def equations(frame: pd.DataFrame) -> np.ndarray:
@@ -107,7 +107,7 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     quarters of them fit the ridge, the others calibrate it. Rows without a label of 0 or 1 are ignored;
     without labelled rows every score is 0.5. Null and empty texts have zero counts and are scored as such.
     """
-    counts = checkpointed(statistics.with_counts(docs.select("doc_id", "text")).drop("text"))
+    counts = checkpointed(with_counts(docs.select("doc_id", "text")).drop("text"))
     known = labels.where(learnable(F.col("doc_id")) & F.col("quality").isin(0, 1)).select("doc_id", "quality")
     labelled = checkpointed(counts.join(known, "doc_id"))
     sample = checkpointed(bounded_sample(labelled, ["doc_id"], FIT_ROWS).repartition(8, "doc_id"))

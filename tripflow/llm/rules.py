@@ -6,13 +6,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import statistics
 from .common import bounded_sample, checkpointed, learnable, table
+from .statistics import COUNTS, with_counts
 
 # The forest is grown from at most so many documents, those with the lowest hashes.
 FIT_ROWS = 8192
@@ -23,6 +24,27 @@ LOSS_WEIGHT = 5.0
 BINS = 1000
 
 
+# Every rate is taken as if so many ordinary words and lines were added, which steadies short texts.
+ORDINARY_WORDS, ORDINARY_LINES = 20, 4
+
+
+def rates(counts: pd.DataFrame) -> np.ndarray:
+    """The rule statistics of each text as rates that length alone doesn't move."""
+    c = {name: counts[name].to_numpy(np.float64) for name in COUNTS}
+    words, chars = c["n_words"] + ORDINARY_WORDS, c["word_chars"] + 5 * ORDINARY_WORDS
+    return np.column_stack(
+        [
+            chars / words,
+            c["n_symbols"] / words,
+            c["n_dup_lines"] / (c["n_lines"] + ORDINARY_LINES),
+            c["n_repeat_words"] / words,
+            np.log1p(c["n_distinct_words"]) / np.log1p(np.maximum(c["n_words"], 1)),
+            c["n_upper"] / chars,
+            (c["n_marks"] + ORDINARY_WORDS / 5) / words,
+        ]
+    )
+
+
 def average_path(n: np.ndarray | float) -> np.ndarray:
     """Mean path length of an unsuccessful search in a binary tree of ``n`` rows."""
     n = np.asarray(n, np.float64)
@@ -90,7 +112,7 @@ def score(counts: DataFrame, forest: Forest) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = statistics.ratios(batch.select(list(statistics.COUNTS)).to_pandas())
+            x = rates(batch.select(list(COUNTS)).to_pandas())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(forest.anomaly(x))], [*batch.schema.names, "anomaly"])
 
     return counts.mapInArrow(run, schema)
@@ -129,9 +151,9 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     The others are kept unless the forest finds them as anomalous as labelled junk. Null and empty texts
     fail the base rules. Counts are stored once; the forest, the threshold and the verdicts read those.
     """
-    counts = checkpointed(statistics.with_counts(docs.select("doc_id", "text")).drop("text"))
-    sample = bounded_sample(counts.where("n_words > 0"), ["doc_id", *statistics.COUNTS], FIT_ROWS)
-    forest = grow(statistics.ratios(sample.toPandas()))
+    counts = checkpointed(with_counts(docs.select("doc_id", "text")).drop("text"))
+    sample = bounded_sample(counts.where("n_words > 0"), ["doc_id", *COUNTS], FIT_ROWS)
+    forest = grow(rates(sample.toPandas()))
     scored = checkpointed(score(counts, forest))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return scored.withColumn("base_failed", failed).withColumn(

@@ -68,7 +68,6 @@ def _of_slice(texts: pa.Array) -> np.ndarray:
     )
 
 
-@F.arrow_udf(STRUCT)
 def text_counts(batch: pa.Array) -> pa.Array:
     counts = np.zeros((len(COUNTS), len(batch)), np.int64)
     for start, texts in arrow.slices(batch):
@@ -83,7 +82,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     text is the smallest slice.
     """
     rest = [c for c in docs.columns if c not in COUNTS]
-    return docs.select(*rest, text_counts(F.col(text)).alias("_counts")).select(*rest, "_counts.*")
+    return docs.select(*rest, F.arrow_udf(text_counts, STRUCT)(F.col(text)).alias("_counts")).select(*rest, "_counts.*")
 
 
 def ratios(counts: pd.DataFrame) -> np.ndarray:
