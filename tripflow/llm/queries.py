@@ -7,6 +7,7 @@ from .decontaminate import op4_decontamination
 from .langid import op7_language_id
 from .licenses import op10_licenses
 from .mixing import op1_mixing
+from .near import op5_ngram_jaccard
 from .repeats import op9_substring_dedup
 from .rules import op6_quality_rules
 from .secrets import op3_secrets
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
     "op4_decontamination": op4_decontamination,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_quality_rules": op6_quality_rules,
     "op7_language_id": op7_language_id,
     "op8_sharding": op8_sharding,
