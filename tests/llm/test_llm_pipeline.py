@@ -1,0 +1,44 @@
+import corpus_pipeline
+from tripflow.llm import decontaminate, langid, near
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_stages_chain_and_decide(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    counts = [docs.count()]
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, FOLDER)
+        if number < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == corpus_pipeline.COLUMNS
+        out.write.parquet(f"{tmp_path}/{number}")
+        before, docs = docs, spark.read.parquet(f"{tmp_path}/{number}")
+        counts.append(docs.count())
+        if name == "language_id":
+            model = langid.learn(before)
+            rejected = langid.identify(before, model).where("lang_pred = 'und' or score < 0.5").count()
+            assert counts[-1] == counts[-2] - rejected
+        if name == "near_duplicates":
+            classes = near.near_duplicates(before).select("class_id").distinct().count()
+            assert counts[-1] == classes == docs.select("doc_id").distinct().count()
+        if name == "decontamination":
+            hit = decontaminate.leaks(before, spark.read.parquet(f"{FOLDER}/benchmark.parquet")).select("doc_id").distinct().count()
+            assert counts[-1] == counts[-2] - hit
+    assert counts[2] < counts[1] and docs.where("shard not between 0 and 39").count() == 0
+
+
+def test_run_gives_the_same_rows_twice(spark):
+    def result():
+        return sorted((r["doc_id"], r["shard"]) for r in corpus_pipeline.run(spark, FOLDER).collect())
+
+    assert result() == result()
+
+
+def test_hostile_rows(spark, tmp_path):
+    rows = [(1, "the of and that", "en", None, 3), (1, "the of and that", "en", None, 3), (None, None, None, None, None), (2, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {1}
+    docs.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
