@@ -15,8 +15,10 @@ from . import arrow
 from .common import checkpointed, held_out, learnable, table, unit_interval
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-# The model learns from at most so many documents per language, those with the lowest hashes.
-DOCS_PER_LANGUAGE = 2000
+# The model learns the most frequent languages, each from at most so many documents, those with the lowest
+# hashes. Both bounds are parameters of the fit; every text is scored.
+DOCS_PER_LANGUAGE = 1000
+MOST_LANGUAGES = 1000
 ROUNDS = 4
 # Weight of the uniform distribution that each language's counts are mixed with, in pieces.
 SMOOTHING = 200.0
@@ -148,12 +150,14 @@ class LanguageModel:
 def training_rows(docs: DataFrame, docs_per_language: int) -> DataFrame:
     """(lang, text) of the learnable documents with the lowest hashes of each language.
 
-    Languages are counted first and thinned by hash, so that the ranking sees a bounded number of rows.
+    Languages are counted first and thinned by hash, so that the ranking sees a bounded number of rows. The
+    counts that are broadcast have ``MOST_LANGUAGES`` rows at most.
     """
     known = docs.where(learnable(F.col("doc_id")) & F.col("lang").isNotNull())
     counts = known.groupBy(F.col("lang").alias("language")).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.orderBy(F.desc("n"), "language").limit(MOST_LANGUAGES)
     drawn = known.withColumn("draw", F.xxhash64("doc_id"))
-    thinned = drawn.join(counts, F.col("lang") == F.col("language")).where(
+    thinned = drawn.join(F.broadcast(counts), F.col("lang") == F.col("language")).where(
         unit_interval(F.col("draw")) * F.col("n") < 3.0 * docs_per_language
     )
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
