@@ -94,22 +94,42 @@ def test_route_in_one_part(spark):
     assert got == {"a": (0, 3, "LINESTRING (0.0 1.0, 1.0 1.0, 2.0 1.0)"), "b": (0, 1, None)}
 
 
-@pytest.mark.parametrize("first", [0, 1])
-@pytest.mark.parametrize("n", [4, 5, 6, 9, 10])
-def test_route_parts_share_their_ends(spark, first, n):
-    df = spark.createDataFrame(points(spark, n, first=first), POINT_SCHEMA)
+def segments(geoms):
+    out = []
+    for geom in geoms:
+        at = geom[len("LINESTRING (") : -1].split(", ")
+        out += list(zip(at, at[1:]))
+    return out
+
+
+@pytest.mark.parametrize("stretch", [3, 10_000])
+@pytest.mark.parametrize("step", [1, 7, 10_000])
+@pytest.mark.parametrize("n", [4, 5, 6, 8, 9, 10])
+def test_route_parts_hold_every_segment_once(spark, monkeypatch, n, step, stretch):
+    monkeypatch.setattr(features, "RANK_STRETCH", stretch)
+    df = spark.createDataFrame([("a", 9999 + i * step, float(i), 1.0) for i in range(n)], POINT_SCHEMA)
     parts = features.route_lines(df, ["trip"], part_points=4).orderBy("part_no").collect()
-    assert all(p.n_points <= 5 for p in parts)
-    lines = [p.geom[len("LINESTRING (") : -1].split(", ") for p in parts if p.geom]
-    for earlier, later in zip(lines, lines[1:]):
-        assert earlier[-1] == later[0]
-    joined = lines[0] + [c for line in lines[1:] for c in line[1:]]
-    assert joined == [f"{float(i)} 1.0" for i in range(first, first + n)]
+    assert [p.part_no for p in parts] == list(range(-(-(n - 1) // 4)))
+    assert all(p.geom is not None and 2 <= p.n_points <= 5 for p in parts)
+    at = [f"{float(i)} 1.0" for i in range(n)]
+    assert segments(p.geom for p in parts) == list(zip(at, at[1:]))
 
 
-def test_route_with_copied_positions(spark):
-    df = spark.createDataFrame(points(spark, 2) * 500, POINT_SCHEMA)
-    assert features.route_lines(df, ["trip"]).first().n_points == 2
+def test_route_keeps_equal_positions(spark):
+    df = spark.createDataFrame([("a", 1, 2.0, 0.0), ("a", 1, 1.0, 0.0), ("a", 2, 0.0, 0.0), ("a", 1, 1.0, 0.0)], POINT_SCHEMA)
+    row = features.route_lines(df, ["trip"]).first()
+    assert (row.n_points, row.geom) == (4, "LINESTRING (1.0 0.0, 1.0 0.0, 2.0 0.0, 0.0 0.0)")
+
+
+def test_route_ties_are_ordered_by_the_given_columns(spark):
+    df = spark.createDataFrame([("a", 1, 2, 5.0, 0.0), ("a", 1, 1, 9.0, 0.0)], "trip string, seq int, tie int, lon double, lat double")
+    assert features.route_lines(df, ["trip"], ties=["tie"]).first().geom == "LINESTRING (9.0 0.0, 5.0 0.0)"
+
+
+def test_route_with_a_missing_coordinate_has_no_line(spark):
+    df = spark.createDataFrame([("a", 1, 2.0, 0.0), ("a", 2, None, 0.0), (None, 1, 1.0, 1.0), (None, 2, 1.0, 2.0)], POINT_SCHEMA)
+    got = {r.trip: (r.n_points, r.geom) for r in features.route_lines(df, ["trip"]).collect()}
+    assert got == {"a": (2, None), None: (2, "LINESTRING (1.0 1.0, 1.0 2.0)")}
 
 
 def test_layout_pruning_and_purge(spark, two_zones, make_raw, tmp_path):

@@ -34,7 +34,8 @@ def segment_wkt(lon1, lat1, lon2, lat2) -> Column:
     return line_through(coordinate(lon1, lat1), coordinate(lon2, lat2))
 
 
-def line_wkt(points: Column | str) -> Column:
-    """A line through an ordered array of (lon, lat) structs."""
-    parts = F.transform(_col(points), lambda p: coordinate(p["lon"], p["lat"]))
-    return F.concat(F.lit("LINESTRING ("), F.array_join(parts, ", "), F.lit(")"))
+def line_of(coordinates: Column | str) -> Column:
+    """A line through an ordered array of coordinate texts; null when one of them is missing."""
+    coordinates = _col(coordinates)
+    line = F.concat(F.lit("LINESTRING ("), F.array_join(coordinates, ", "), F.lit(")"))
+    return F.when(F.size(coordinates) == F.size(F.array_compact(coordinates)), line)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import SRID, coordinate, line_through, line_wkt, point_through
+from ..functions.geometry import SRID, coordinate, line_of, line_through, point_through
 from ..schemas import TripKind, kind_of
 from ..sources import files
 from .dimensions import broadcast_if_small
@@ -16,6 +17,8 @@ from .normalize import feature_attributes
 from .selection import RETENTION_DAYS
 
 PART_POINTS = 10_000
+# Positions (values of ``seq``) whose points one task ranks together.
+RANK_STRETCH = 10_000
 
 
 def _join_zone(trips: DataFrame, zones: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -58,36 +61,61 @@ def to_features(trips: DataFrame, kind: str | TripKind, zones: DataFrame, geomet
     return joined.select(geom.alias("geom"), F.lit(SRID).alias("srid"), *feature_attributes(joined, kind))
 
 
+def _ranked(points: DataFrame, trip_keys: Sequence[str], seq: str, ties: Sequence[str]) -> DataFrame:
+    """Adds ``__rank``, the place of a point in its trip from 0.
+
+    Points are ranked within stretches of ``RANK_STRETCH`` positions, to which the number of points of
+    earlier stretches is added. A trip that holds most of the points is thereby spread over many tasks.
+    """
+    stretch = points.withColumn("__stretch", F.floor(F.col(seq) / F.lit(RANK_STRETCH)))
+    counts = stretch.groupBy(*trip_keys, "__stretch").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*trip_keys).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
+    keys = [*trip_keys, "__stretch"]
+    other = counts.select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)], "__before")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__c{i}")) for i, k in enumerate(keys)])
+    within = Window.partitionBy(*keys).orderBy(F.col(seq), *ties, "lon", "lat")
+    return (
+        stretch.join(other, same)
+        .drop(*[f"__c{i}" for i in range(len(keys))])
+        .withColumn("__rank", F.col("__before") + F.row_number().over(within) - 1)
+    )
+
+
 def route_lines(
-    points: DataFrame, trip_keys: Sequence[str], seq: str = "seq", part_points: int = PART_POINTS
+    points: DataFrame,
+    trip_keys: Sequence[str],
+    seq: str = "seq",
+    ties: Sequence[str] = (),
+    part_points: int = PART_POINTS,
 ) -> DataFrame:
     """Route geometries from coordinate sequences ``(trip keys, seq, lon, lat)``.
 
-    ``seq`` is the position of a point in its trip. A trip of up to ``part_points`` positions
-    gives one row; a longer one is cut into consecutive parts that share their end point, so no
-    task ever holds more than ``part_points + 1`` points of a trip. A part with a single point
-    has no line and a null ``geom``. Copies of a position are merged before the shuffle.
+    One row per part of a trip: ``(trip keys, part_no, n_points, geom, srid)``. The points of a trip are
+    put in order of ``seq``, then ``ties``, longitude and latitude; no two are merged. Part ``k`` runs from
+    the point of rank ``k * part_points`` to that of rank ``(k + 1) * part_points``, or to the last one, so
+    consecutive parts share an end, every segment is in one part, and no task gathers more than
+    ``part_points + 1`` points. Gaps in ``seq`` don't matter. A trip of one point has a part without a line;
+    a part with a missing coordinate has a null ``geom`` as well, like any line.
     """
-    if part_points < 2:
-        raise ValueError("part_points must be at least 2")
-    position = F.col(seq).cast("bigint")
-    single = points.groupBy(*trip_keys, position.alias("__seq")).agg(F.min(F.struct("lon", "lat")).alias("__at"))
-    part = F.floor(F.col("__seq") / F.lit(part_points)).cast("bigint")
-    closes_previous = F.pmod("__seq", F.lit(part_points)) == 0
-    here = F.struct(part.alias("no"), F.lit(True).alias("own"))
-    before = F.struct((part - 1).alias("no"), F.lit(False).alias("own"))
-    placed = single.withColumn("__part", F.explode(F.when(closes_previous, F.array(before, here)).otherwise(F.array(here))))
-    grouped = placed.groupBy(*trip_keys, F.col("__part.no").alias("part_no")).agg(
-        F.array_sort(F.collect_list(F.struct("__seq", "__at"))).alias("__points"),
-        F.max("__part.own").alias("__own"),
+    if part_points < 1:
+        raise ValueError("part_points must be positive")
+    ranked = _ranked(points.select(*trip_keys, seq, *ties, "lon", "lat"), trip_keys, seq, ties)
+    part = F.floor(F.col("__rank") / F.lit(part_points)).cast("bigint")
+    closes_previous = (F.pmod("__rank", F.lit(part_points)) == 0) & (F.col("__rank") > 0)
+    placed = ranked.select(
+        *trip_keys,
+        F.explode(F.when(closes_previous, F.array(part - 1, part)).otherwise(F.array(part))).alias("part_no"),
+        F.struct("__rank", coordinate("lon", "lat").alias("at")).alias("__point"),
     )
-    ordered = F.transform("__points", lambda p: p["__at"])
+    grouped = placed.groupBy(*trip_keys, "part_no").agg(F.sort_array(F.collect_list("__point")).alias("__points"))
     n_points = F.size("__points")
-    return grouped.filter("__own").select(
+    # A last part that only holds the end of the one before it is no part.
+    return grouped.filter((n_points > 1) | (F.col("part_no") == 0)).select(
         *trip_keys,
         "part_no",
         n_points.alias("n_points"),
-        F.when(n_points > 1, line_wkt(ordered)).alias("geom"),
+        F.when(n_points > 1, line_of(F.col("__points.at"))).alias("geom"),
         F.lit(SRID).alias("srid"),
     )
 

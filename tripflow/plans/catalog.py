@@ -297,22 +297,22 @@ def line_features(spark, sf_dir):
     return joined.select("o_orderkey", segment_wkt("pu_lon", "pu_lat", "do_lon", "do_lat").alias("geom"))
 
 
+def _route_points(spark, sf_dir):
+    joined = features.with_zones(trips(spark, sf_dir, "yellow", keys=True), zones(spark))
+    return joined.select(*KEYS["yellow"], F.col("pu_lon").alias("lon"), F.col("pu_lat").alias("lat"))
+
+
 def route_lines(spark, sf_dir):
     """Routes through the pickup zones of the trips of one order, in line order."""
-    joined = features.with_zones(trips(spark, sf_dir, "yellow", keys=True), zones(spark))
-    points = joined.select(
-        "l_orderkey", F.col("l_linenumber").alias("seq"), F.col("pu_lon").alias("lon"), F.col("pu_lat").alias("lat")
-    )
-    return features.route_lines(points, ["l_orderkey"]).select("l_orderkey", "n_points", "geom")
+    ties = ("l_partkey", "l_suppkey")
+    return features.route_lines(_route_points(spark, sf_dir), ["l_orderkey"], "l_linenumber", ties).drop("srid")
 
 
 def route_line_parts(spark, sf_dir):
-    """The same routes cut into parts of four positions."""
-    joined = features.with_zones(trips(spark, sf_dir, "yellow", keys=True), zones(spark))
-    points = joined.select(
-        "l_orderkey", F.col("l_linenumber").alias("seq"), F.col("pu_lon").alias("lon"), F.col("pu_lat").alias("lat")
-    )
-    return features.route_lines(points, ["l_orderkey"], part_points=4).drop("srid")
+    """The same routes in parts of four segments, the positions with gaps in between."""
+    points = _route_points(spark, sf_dir).withColumn("seq", F.col("l_linenumber") * 9_000)
+    ties = ("l_partkey", "l_suppkey")
+    return features.route_lines(points, ["l_orderkey"], "seq", ties, part_points=4).drop("srid")
 
 
 def feature_table(spark, sf_dir):

@@ -110,10 +110,9 @@ _SEGMENT = (
     "concat('LINESTRING (', cast(p.lon as varchar), ' ', cast(p.lat as varchar), ', ',"
     " cast(d.lon as varchar), ' ', cast(d.lat as varchar), ')')"
 )
-_ROUTE_POINTS = f"""pts as (select l_orderkey, l_linenumber as seq, p.lon, p.lat,
-    row_number() over (partition by l_orderkey, l_linenumber order by p.lon, p.lat) as rn
-  from {_ZONED.format(kind='yellow')}),
-  route as (select l_orderkey, seq, concat(cast(lon as varchar), ' ', cast(lat as varchar)) as xy from pts where rn = 1)"""
+_ROUTE_POINTS = f"""pts as (select l_orderkey, cast(p.lon as varchar) || ' ' || cast(p.lat as varchar) as xy,
+    row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, p.lon, p.lat) - 1 as place
+  from {_ZONED.format(kind='yellow')})"""
 _MESSY = "concat(p_name, '@', p_brand, '.\"v\"', p_partkey)"
 _PATH = f"concat({_MESSY}, case when p_partkey % 3 > 0 then '.parquet' else '' end)"
 
@@ -288,16 +287,14 @@ _SQL = {
 _SQL["footer_counts"] = _SQL["row_counts"]
 
 ORACLE: dict[str, str] = {name: with_ctes(sql) for name, sql in _SQL.items()}
-ORACLE["route_lines"] = _with_routes(
-    """select l_orderkey, count(*)::integer as n_points,
-      case when count(*) > 1 then concat('LINESTRING (', string_agg(xy, ', ' order by seq), ')') end as geom
-    from route group by l_orderkey"""
-)
-ORACLE["route_line_parts"] = _with_routes(
-    """select l_orderkey, part_no, count(*)::integer as n_points,
-      case when count(*) > 1 then concat('LINESTRING (', string_agg(xy, ', ' order by seq), ')') end as geom
-    from (select l_orderkey, seq, xy, cast(seq // 4 as bigint) as part_no, true as own from route
-          union all
-          select l_orderkey, seq, xy, cast(seq // 4 - 1 as bigint), false from route where seq % 4 = 0) r
-    group by l_orderkey, part_no having bool_or(own)"""
-)
+for _name, _segments in (("route_lines", 10000), ("route_line_parts", 4)):
+    ORACLE[_name] = _with_routes(
+        f"""select l_orderkey, part_no, cast(count(*) as integer) as n_points,
+      case when count(*) > 1 and count(xy) = count(*)
+        then 'LINESTRING (' || string_agg(xy, ', ' order by place) || ')' end as geom
+    from pts join (select l_orderkey,
+        unnest(range(0, greatest(1, cast(ceil((count(*) - 1) / {_segments}.0) as bigint)))) as part_no
+      from pts group by l_orderkey) parts using (l_orderkey)
+    where place between part_no * {_segments} and (part_no + 1) * {_segments}
+    group by l_orderkey, part_no"""
+    )
