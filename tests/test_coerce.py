@@ -60,7 +60,7 @@ def test_strict_datetime_fails_on_bad_text_only(spark):
     good = spark.createDataFrame([("2024-01-15 10:30:00",), (None,)], "t string")
     assert values(good, coerce.to_datetime("t", T.StringType())) == [(datetime(2024, 1, 15, 10, 30),), (None,)]
     bad = spark.createDataFrame([("soon",)], "t string")
-    with pytest.raises(Exception, match="Cannot parse datetime: soon"):
+    with pytest.raises(Exception, match="no datetime: soon"):
         bad.select(coerce.to_datetime("t", T.StringType())).collect()
 
 
@@ -131,7 +131,7 @@ def test_either_spelling_of_the_airport_fee(make_raw):
 
 def test_schema_check_names_every_missing_column(make_raw):
     raw = make_raw("yellow").drop("VendorID", "extra", "cbd_congestion_fee")
-    with pytest.raises(SchemaValidationError, match=r"Missing required fields: \[VendorID, extra\]"):
+    with pytest.raises(SchemaValidationError, match=r"not there: VendorID, extra$"):
         check_schema(raw, "yellow")
 
 

@@ -144,7 +144,7 @@ def test_layout_pruning_and_purge(spark, two_zones, make_raw, tmp_path):
     assert "PartitionFilters: [isnotnull(pickup_date" in plan_of(recent)
     removed = features.purge_expired(spark, path, datetime(2024, 2, 9, 12), days=30)
     assert removed == [date(2024, 1, 1)]
-    assert spark.read.parquet(path).count() == 3
+    assert spark.read.parquet(path).count() == 2
     assert features.purge_expired(spark, path, datetime(2024, 2, 9, 12), days=30) == []
 
 

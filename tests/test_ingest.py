@@ -10,7 +10,7 @@ from conftest import SF
 from tripflow.operators import metrics
 from tripflow.plans.testbed import trip_files
 from tripflow.sinks.bulk import BulkLoadError
-from tripflow.sinks.ingest_sinks import SearchIndex, TripTables
+from tripflow.sinks.ingest_sinks import SearchIndex, SqlTables, TripTables
 from tripflow.sources import files
 from tripflow.streaming import ingest, ledger
 
@@ -39,7 +39,7 @@ def monthly(spark, tmp_path_factory):
             trips.filter(F.month(time) == month).coalesce(1).write.parquet(str(parts))
             shutil.copy(next(parts.glob("*.parquet")), folder / f"{kind}_tripdata_2025_0{month}.parquet")
     other = folder / "other"
-    df = spark.createDataFrame([("test-1", "Test Record", 100)], "id string, name string, value int")
+    df = spark.createDataFrame([("k7", 0.5)], "sensor string, reading double")
     df.coalesce(1).write.parquet(str(other))
     shutil.copy(next(other.glob("*.parquet")), folder / "other.parquet")
     return folder
@@ -211,6 +211,7 @@ def test_bad_file_fails_alone(spark, monthly, tmp_path):
 @dataclass
 class FailingSink:
     error: Exception
+    bad: str | None = None
     calls: list = field(default_factory=list)
 
     def reset(self, spark, ingest_id):
@@ -218,17 +219,56 @@ class FailingSink:
 
     def write(self, frame, kind, ingest_id, part):
         self.calls.append(part)
-        raise self.error
+        if self.bad is None or any(self.bad in f for f in frame.inputFiles()):
+            raise self.error
+
+    def finish(self, spark, ingest_id):
+        pass
+
+
+def test_sink_failure_is_the_files_fault(spark, monthly, tmp_path):
+    put(monthly, tmp_path, GREEN[0])
+    book = ingest.run_once(spark, config(tmp_path, FailingSink(KeyError("bug"))))
+    assert [(r.kind, r.status, r.records, r.error) for r in book.collect()] == [
+        ("green", "unexpected_error", None, "KeyError: 'bug'")
+    ]
+    assert names(tmp_path / "error") == ["green_tripdata_2025_01_unexpected_error.parquet"]
 
 
 @pytest.mark.parametrize(
-    "error, status", [(OSError("no connection"), "processing_error"), (KeyError("bug"), "unexpected_error")]
+    "error", [OSError("no connection"), RuntimeError("Job aborted: ExecutorLostFailure (executor 3 exited)")]
 )
-def test_sink_failure(spark, monthly, tmp_path, error, status):
+def test_infrastructure_failure_leaves_the_files(spark, monthly, tmp_path, error):
     put(monthly, tmp_path, GREEN[0])
-    book = ingest.run_once(spark, config(tmp_path, FailingSink(error)))
-    assert [(r.kind, r.status, r.records) for r in book.collect()] == [("green", status, None)]
-    assert names(tmp_path / "error") == [f"green_tripdata_2025_01_{status}.parquet"]
+    cfg = config(tmp_path, FailingSink(error))
+    with pytest.raises(type(error)):
+        ingest.ingest_batch(spark, listing(spark, cfg), cfg, "q-0")
+    assert names(tmp_path / "in") == [GREEN[0]] and not names(tmp_path / "error")
+    assert ledger.read_ledger(spark, cfg.ledger_dir).isEmpty()
+
+
+def test_one_bad_file_of_many_costs_few_loads(spark, monthly, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(16):
+        shutil.copy(monthly / GREEN[0], tmp_path / "in" / f"green_{i:02d}.parquet")
+    sink = FailingSink(KeyError("bug"), bad="green_05")
+    cfg = config(tmp_path, sink)
+    book = ingest.ingest_batch(spark, listing(spark, cfg), cfg, "q-0")
+    assert {r.file_name for r in book.where("status <> 'processed'").collect()} == {"green_05.parquet"}
+    assert book.count() == 16 and len(sink.calls) == 9
+
+
+def test_many_batches_cost_one_listing_per_stream(spark, tmp_path, monkeypatch):
+    book = tmp_path / "ledger"
+    for batch in range(1000):
+        (book / "query=q" / f"batch={batch}").mkdir(parents=True)
+    (book / "query=other" / "batch=0").mkdir(parents=True)
+    listed = []
+    real = files.list_dirs
+    monkeypatch.setattr(files, "list_dirs", lambda s, d: listed.append(d) or real(s, d))
+    assert ledger.read_other_ledgers(spark, str(book), "q-1000").isEmpty()
+    assert listed == [str(book)]
+    assert ledger.read_other_ledgers(spark, str(book), "other-1") is not None
 
 
 def test_missing_required_column(spark, monthly, tmp_path):
@@ -287,6 +327,54 @@ def test_refused_bulk_request_fails_the_batch(spark, monthly, tmp_path):
     assert ledger.read_ledger(spark, cfg.ledger_dir).isEmpty()
 
 
+def test_one_limit_for_all_groups(spark, monthly, tmp_path):
+    """Requests of two kinds and two schemas: with a limit of one, no two overlap."""
+    spans = tmp_path / "spans"
+    spans.mkdir()
+
+    def post(body):
+        import time
+        import uuid
+
+        start = time.time()
+        time.sleep(0.05)
+        with open(f"{spans}/{uuid.uuid4().hex}", "w") as out:
+            out.write(f"{start} {time.time()}")
+
+    put(monthly, tmp_path, YELLOW[0], GREEN[0])
+    sink = SearchIndex(f"{tmp_path}/outbox", post, docs_per_request=50, max_concurrent=1, delay_ms=0)
+    cfg = config(tmp_path, sink)
+    ingest.ingest_batch(spark, listing(spark, cfg), cfg, "q-0")
+    times = sorted(tuple(map(float, f.read_text().split())) for f in spans.iterdir())
+    assert len(times) > 4
+    assert all(end <= start for (_, end), (start, _) in zip(times, times[1:]))
+    assert sink.results(spark, "yellow").count() + sink.results(spark, "green").count() == len(times)
+
+
+def test_sql_tables_without_a_database(spark, monthly, tmp_path):
+    """Statements and staged rows as a database would get them; a repeated batch replaces its rows."""
+    put(monthly, tmp_path, YELLOW[0], GREEN[0])
+    statements, staged = [], []
+
+    def stage(frame, table, types):
+        staged.append((table, types, frame.count(), frame.select("ingest_id").distinct().count()))
+
+    sink = SqlTables(f"{tmp_path}/staging", "jdbc:none", lambda s: statements.append(list(s)), write_staging=stage)
+    cfg = config(tmp_path, sink)
+    ingest.ingest_batch(spark, listing(spark, cfg), cfg, "q-0")
+    assert [(t, n, k) for t, _, n, k in staged] == [
+        ("public.staging_yellow_q_0", rows_in(spark, monthly, YELLOW[:1]), 1),
+        ("public.staging_green_q_0", rows_in(spark, monthly, GREEN[:1]), 1),
+    ]
+    assert '"trip_distance" DOUBLE PRECISION' in staged[0][1] and '"VendorID" INTEGER' in staged[0][1]
+    create, merge = statements[0], statements[1]
+    assert create[0] == 'DROP TABLE IF EXISTS "public"."staging_yellow_q_0"'
+    assert create[2].startswith('CREATE TABLE IF NOT EXISTS "public"."yellowtaxi" ("VendorID" INTEGER')
+    assert merge[0] == """DELETE FROM "public"."yellowtaxi" WHERE "ingest_id" = 'q-0'"""
+    assert merge[1].startswith('INSERT INTO "public"."yellowtaxi" ("VendorID", ') and merge[2] == create[0]
+    assert len(statements) == 4
+
+
 def test_outbox_without_poster(spark, monthly, tmp_path):
     put(monthly, tmp_path, GREEN[0])
     ingest.run_once(spark, config(tmp_path, SearchIndex(f"{tmp_path}/outbox")))
@@ -325,9 +413,9 @@ def test_continuous_stream_and_stop(spark, monthly, tmp_path):
 
 def test_timer_and_rates(spark):
     rows = [
-        ("/a", "a", "yellow", "processed", 60, 0, datetime(2024, 1, 1, 10, 0, 0), datetime(2024, 1, 1, 10, 0, 30)),
-        ("/b", "b", "yellow", "processed", 120, 0, datetime(2024, 1, 1, 10, 0, 0), datetime(2024, 1, 1, 10, 0, 59)),
-        ("/c", "c", None, "not_parquet", None, 0, datetime(2024, 1, 1, 10, 1, 0), datetime(2024, 1, 1, 10, 1, 1)),
+        ("/a", "a", "yellow", "processed", 60, 0, datetime(2024, 1, 1, 10, 0, 0), datetime(2024, 1, 1, 10, 0, 30), None),
+        ("/b", "b", "yellow", "processed", 120, 0, datetime(2024, 1, 1, 10, 0, 0), datetime(2024, 1, 1, 10, 0, 59), None),
+        ("/c", "c", None, "not_parquet", None, 0, datetime(2024, 1, 1, 10, 1, 0), datetime(2024, 1, 1, 10, 1, 1), "text"),
     ]
     book = spark.createDataFrame(rows, ledger.LEDGER_SCHEMA)
     timers = {r.kind: tuple(r)[1:] for r in metrics.timer_stats(book).collect()}

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from tripflow.plans.catalog import QUERIES
+from tripflow.plans.oracle import ORACLE
 from compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -10,14 +12,15 @@ SF = "/root/testdata/sf0.001"
 LARGER = {"sample_large": "/root/testdata/sf0.01"}
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     sf_dir = LARGER.get(name, SF)
     assert compare(spark, duck(sf_dir), sf_dir, name) is None
 
 
 def test_contract(spark):
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
     assert entry_points.entry(spark).count() > 0
 
 

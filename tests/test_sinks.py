@@ -110,3 +110,24 @@ def test_throttle_limits_the_tasks(spark):
     docs = spark.range(4_000, numPartitions=8).select(F.to_json(F.struct("id")).alias("doc"))
     posted = bulk.post_chunks(bulk.bulk_chunks(docs, "yellowtaxi"), lambda body: None, max_concurrent=2, delay_ms=0)
     assert posted.rdd.getNumPartitions() == 2 and posted.filter("ok").count() == 8
+
+
+def test_single_document_returns_its_id():
+    stored = {}
+
+    def client(index, document, doc_id):
+        if "bad" in document:
+            raise ConnectionError("400")
+        stored[doc_id or "made-1"] = (index, document)
+        return doc_id or "made-1"
+
+    assert bulk.index_document('{"a": 1}', "yellowtaxi", client) == "made-1"
+    assert bulk.index_document('{"a": 2}', "greentaxi", client, "x") == "x" and stored["x"][0] == "greentaxi"
+    with pytest.raises(bulk.BulkLoadError, match="400"):
+        bulk.index_document("bad", "greentaxi", client)
+
+
+def test_document_ids_tell_odd_keys_apart(spark):
+    rows = [("a:b", "c"), ("a", "b:c"), (None, "c"), ("\\N", "c"), ("-", "c"), ("", "-c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(bulk.document_id("x", "y")).distinct().count() == len(rows)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF, YELLOW_ROW, plan_of
 from tripflow.functions import names
 from tripflow.operators import documents, schema_ops
+from tripflow.operators.quality import violation_report
 from tripflow.operators.selection import expire, filter_trips, keep_valid
 from tripflow.schemas import GREEN, YELLOW, SchemaValidationError
 from tripflow.sources import files, footers
@@ -21,9 +22,9 @@ def test_read_both_kinds(spark, trip_dir):
 
 
 def test_missing_path_and_directory(spark, trip_dir):
-    with pytest.raises(FileNotFoundError, match="File does not exist"):
+    with pytest.raises(FileNotFoundError, match="there is no"):
         read_yellow(spark, f"{trip_dir}/nothing.parquet")
-    with pytest.raises(IsADirectoryError, match="not a regular file"):
+    with pytest.raises(IsADirectoryError, match="is a folder"):
         read_yellow(spark, f"{trip_dir}/yellow", files_only=True)
     single = files.list_files(spark, f"{trip_dir}/yellow")[0].path
     assert read_yellow(spark, single, files_only=True).count() > 0
@@ -47,9 +48,64 @@ def test_files_of_different_years(spark, make_raw, tmp_path):
     old = make_raw("yellow").drop("Airport_fee", "cbd_congestion_fee")
     old = old.withColumn("passenger_count", F.col("passenger_count").cast("double"))
     old.coalesce(1).write.parquet(f"{tmp_path}/old")
-    both = read_yellow(spark, [f"{tmp_path}/new", f"{tmp_path}/old"], mixed_schemas=True)
-    got = sorted((r.passenger_count, r.airport_fee is None) for r in both.collect())
-    assert got == [(2, False), (2, True)]
+    for order in (["new", "old"], ["old", "new"]):
+        both = read_yellow(spark, [f"{tmp_path}/{name}" for name in order])
+        got = sorted((r.passenger_count, r.airport_fee is None, r.cbd_congestion_fee is None) for r in both.collect())
+        assert got == [(2, False, False), (2, True, True)]
+
+
+def test_nested_files_of_any_name(spark, make_raw, tmp_path):
+    """Two files of one schema and one of another, one without a suffix, one in a nested folder."""
+    one = write_one(make_raw("yellow"), tmp_path / "one")
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    (tmp_path / "in" / "new.parquet").write_bytes(one.read_bytes())
+    (tmp_path / "in" / "noname").write_bytes(one.read_bytes())
+    old = write_one(make_raw("yellow").drop("cbd_congestion_fee"), tmp_path / "two")
+    (tmp_path / "in" / "deep" / "old [1].parquet").write_bytes(old.read_bytes())
+    got = read_yellow(spark, f"{tmp_path}/in", with_origin=True)
+    assert sorted(r.cbd_congestion_fee is None for r in got.collect()) == [False, False, True]
+    assert got.select("source_file").distinct().count() == 3
+    assert read_any(spark, f"{tmp_path}/in").where("cbd_congestion_fee is null").count() == 1
+
+
+def test_unreadable_file_fails_the_read(spark, make_raw, tmp_path):
+    make_raw("yellow").coalesce(1).write.parquet(f"{tmp_path}/in")
+    (tmp_path / "in" / "notes.txt").write_text("hello")
+    with pytest.raises(OSError, match="notes.txt"):
+        read_yellow(spark, f"{tmp_path}/in")
+
+
+def test_narrowing_is_flagged(spark, make_raw, tmp_path):
+    make_raw("yellow", {"passenger_count": 3_000_000_000}, {}).write.parquet(f"{tmp_path}/in")
+    trips = read_yellow(spark, f"{tmp_path}/in", flag_narrowing=True)
+    assert sorted((r.passenger_count is None, r.narrowed) for r in trips.collect()) == [(False, False), (True, True)]
+    assert [tuple(r) for r in violation_report(trips, "yellow").collect()] == [("yellow", "narrowing", 1)]
+
+
+def test_valid_only_reaches_the_scan_and_equals_the_filter(spark, trip_dir):
+    early = read_green(spark, f"{trip_dir}/green", valid_only=True)
+    late = keep_valid(read_green(spark, f"{trip_dir}/green"), "green")
+    assert early.exceptAll(late).isEmpty() and late.exceptAll(early).isEmpty()
+    plan = plan_of(early.select("total_amount"))
+    pushed = plan.split("PushedFilters: [")[1].split("], ReadSchema")[0]
+    assert "passenger_count" in pushed and "trip_type" in pushed
+
+
+def test_missing_file_is_no_mismatch(spark, tmp_path):
+    with pytest.raises(Exception, match="FileNotFound|No such file"):
+        probe(spark, tmp_path / "gone.parquet").collect()
+
+
+def test_footers_from_bytes(spark, make_raw, tmp_path):
+    """What is done on file systems that Arrow can't open."""
+    path = write_one(make_raw("green"), tmp_path / "g")
+    content = spark.read.format("binaryFile").load(str(path)).select("path", "content")
+    assert footers.detect_kind(footers.probe_footers(content)).first().kind == "green"
+
+
+def test_hadoop_names_of_file_systems():
+    assert files.is_arrow_path("/a") and files.is_arrow_path("file:/a") and files.is_arrow_path("s3a://b/c")
+    assert not files.is_arrow_path("dbfs:/a") and not files.is_arrow_path("wasbs://c@a/b")
 
 
 def test_origin_identifies_rows(spark, trip_dir):
@@ -108,6 +164,8 @@ def test_documents(spark, make_trips, tmp_path):
     assert derived["valid"] is True and derived["tripDurationMinutes"] == 45
     assert tuple(documents.round_trip_mismatches(trips, "yellow").first()) == (2, 0)
     assert tuple(documents.serialization_rate(trips, "yellow").first()) == (2, 2, 1.0)
+    broken = trips.sparkSession.createDataFrame([("{nope",), (None,), (json.dumps(doc),)], "doc string")
+    assert tuple(documents.document_rate(broken, "yellow").first())[:2] == (3, 1)
     documents.to_documents(trips, "yellow", include_derived=True).write.text(f"{tmp_path}/docs")
     assert read_documents(spark, f"{tmp_path}/docs", "yellow").exceptAll(trips).count() == 0
 
@@ -152,7 +210,7 @@ def test_kind_detection(spark, make_raw, tmp_path):
     fewer = write_one(make_raw("yellow").drop("extra"), tmp_path / "fewer")
     reordered = make_raw("green").select(*reversed(GREEN.file_schema.names))
     reordered = write_one(reordered, tmp_path / "r")
-    other = spark.createDataFrame([("test-1", "Test Record", 100)], "id string, name string, value int")
+    other = spark.createDataFrame([("k7", 0.5)], "sensor string, reading double")
     other = write_one(other, tmp_path / "o")
     no_rows = write_one(make_raw("yellow").limit(0), tmp_path / "n")
     zero = tmp_path / "zero.parquet"
@@ -207,7 +265,7 @@ def test_schema_as_json_and_sql(spark, make_raw):
 @pytest.mark.parametrize(
     "function, text, expected",
     [
-        (names.sanitize_table_name, "test-table@2025#01", "test_table_2025_01"),
+        (names.sanitize_table_name, "Trips of May/June", "trips_of_may_june"),
         (names.sanitize_column_name, "Fare Amount($)", "Fare_Amount___"),
         (names.derive_table_name, "/in/yellow_tripdata_2025_01.parquet", "yellow_tripdata_2025_01"),
         (names.derive_table_name, "a.tar.gz", "a.tar"),

@@ -125,7 +125,7 @@ def to_datetime(c: Column | str, dtype: T.DataType, strict: bool = True) -> Colu
         parsed = parse_datetime_text(c)
         if not strict:
             return parsed
-        failed = F.raise_error(F.concat(F.lit("Cannot parse datetime: "), c)).cast("timestamp_ntz")
+        failed = F.raise_error(F.concat(F.lit("no datetime: "), c)).cast("timestamp_ntz")
         return F.coalesce(parsed, F.when(c.isNotNull(), failed))
     raise SchemaValidationError(f"cannot read a datetime from {dtype.simpleString()}")
 

@@ -30,6 +30,15 @@ def sanitize_column_name(name: Column | str) -> Column:
     return F.regexp_replace(_col(name), UNSAFE, "_")
 
 
+def key_text(*columns: str) -> Column:
+    """Several columns as one text that no other values give: each with its length in front, null as "-"."""
+    parts = []
+    for name in columns:
+        text = F.col(name).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.concat(*parts)
+
+
 def quote_identifier(name: Column | str) -> Column:
     return F.concat(F.lit('"'), F.replace(_col(name), F.lit('"'), F.lit('""')), F.lit('"'))
 

@@ -37,23 +37,27 @@ def to_documents(df: DataFrame, kind: str | TripKind, include_derived: bool = Fa
     return df.select(*keep, document(kind, include_derived).alias("doc"))
 
 
-def from_documents(df: DataFrame, kind: str | TripKind, col: str = "doc", strict: bool = True, keep=()) -> DataFrame:
-    """Typed trips from JSON text; unknown fields are ignored, absent fields are null."""
-    kind = kind_of(kind)
+def _wire(kind: TripKind) -> T.StructType:
+    """The trip as it is in a document: datetimes are texts."""
     text = T.StringType()
-    wire = T.StructType(
+    return T.StructType(
         [
             T.StructField(f.name, text if isinstance(f.dataType, T.TimestampNTZType) else f.dataType, True)
             for f in kind.trip_schema
         ]
     )
+
+
+def from_documents(df: DataFrame, kind: str | TripKind, col: str = "doc", strict: bool = True, keep=()) -> DataFrame:
+    """Typed trips from JSON text; unknown fields are ignored, absent fields are null."""
+    kind = kind_of(kind)
     options = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
-    parsed = df.select(*keep, F.from_json(F.col(col), wire, options).alias("__trip"))
+    parsed = df.select(*keep, F.from_json(F.col(col), _wire(kind), options).alias("__trip"))
     columns = []
     for field in kind.trip_schema:
         column = F.col(f"__trip.{field.name}")
         if isinstance(field.dataType, T.TimestampNTZType):
-            column = to_datetime(column, text, strict)
+            column = to_datetime(column, T.StringType(), strict)
         columns.append(column.alias(field.name))
     return parsed.select(*keep, *columns)
 
@@ -72,9 +76,15 @@ def round_trip_mismatches(df: DataFrame, kind: str | TripKind) -> DataFrame:
 
 
 def serialization_rate(df: DataFrame, kind: str | TripKind) -> DataFrame:
-    """One row: share of trips that yield a document."""
-    return df.select(document(kind).alias("doc")).agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.count("doc").alias("documents"),
-        (F.count("doc") / F.count(F.lit(1))).alias("success_rate"),
-    )
+    """One row: share of trips whose document is JSON text of a trip, as a reader finds."""
+    return document_rate(df.select(document(kind).alias("doc")), kind)
+
+
+def document_rate(docs: DataFrame, kind: str | TripKind, col: str = "doc") -> DataFrame:
+    """One row: texts, those that parse as a trip document, and their share."""
+    wire = T.StructType([*_wire(kind_of(kind)).fields, T.StructField("__bad", T.StringType(), True)])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
+    parsed = docs.select(F.from_json(F.col(col), wire, options).alias("trip"))
+    good = F.count_if(F.col("trip").isNotNull() & F.col("trip.__bad").isNull())
+    total = F.count(F.lit(1))
+    return parsed.agg(total.alias("trips"), good.alias("documents"), (good / total).alias("success_rate"))

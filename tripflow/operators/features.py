@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import SRID, coordinate, line_of, line_through, point_through
@@ -17,6 +17,8 @@ from .normalize import feature_attributes
 from .selection import RETENTION_DAYS
 
 PART_POINTS = 10_000
+# Fixed value: Spark's folder name for a null partition value.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 # Positions (values of ``seq``) whose points one task ranks together.
 RANK_STRETCH = 10_000
 
@@ -143,7 +145,8 @@ def write_features(features: DataFrame, kind: str | TripKind, path: str, mode: s
 def purge_expired(spark: SparkSession, path: str, as_of: datetime, days: int = RETENTION_DAYS) -> list[date]:
     """Delete the date partitions of a feature table that lie wholly before the expiry time.
 
-    Rows of the boundary date that are also too old stay on disk; ``expire`` hides them.
+    Rows of the boundary date that are also too old stay on disk; ``expire`` hides them. The partition of
+    trips without a pickup time goes too, since ``expire`` never shows those. Returns the dates.
     """
     limit = (as_of - timedelta(days=days)).date()
     removed = []
@@ -153,7 +156,9 @@ def purge_expired(spark: SparkSession, path: str, as_of: datetime, days: int = R
             continue
         try:
             day = date.fromisoformat(value)
-        except ValueError:  # the partition of trips without pickup time
+        except ValueError:
+            if value == NO_DATE:
+                files.delete_tree(spark, directory)
             continue
         if day < limit:
             files.delete_tree(spark, directory)
@@ -164,28 +169,21 @@ def purge_expired(spark: SparkSession, path: str, as_of: datetime, days: int = R
 def attribute_stats(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
     """One row per attribute: non-null count, minimum, maximum, distinct values.
 
-    Distinct values are a sketch unless ``exact``. Everything comes from one scan.
+    Distinct values are a sketch, and everything comes from one scan, unless ``exact``: then every attribute
+    is aggregated on its own from a scan of that column alone, and its values are made distinct by task
+    before they are shuffled.
     """
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    aggregates = []
-    for i, name in enumerate(columns):
-        c = F.col(name)
-        aggregates += [
-            F.count(c).alias(f"n{i}"),
-            F.min(c).cast("string").alias(f"lo{i}"),
-            F.max(c).cast("string").alias(f"hi{i}"),
-            distinct(c).alias(f"d{i}"),
-        ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("attribute"),
-                F.col(f"n{i}").alias("non_null"),
-                F.col(f"lo{i}").alias("min_value"),
-                F.col(f"hi{i}").alias("max_value"),
-                F.col(f"d{i}").alias("distinct_values"),
-            )
-            for i, name in enumerate(columns)
+
+    def measures(c: Column, distinct) -> list[Column]:
+        return [
+            F.count(c).alias("non_null"),
+            F.min(c).cast("string").alias("min_value"),
+            F.max(c).cast("string").alias("max_value"),
+            distinct(c).alias("distinct_values"),
         ]
-    )
-    return df.agg(*aggregates).select(F.inline(rows))
+
+    if exact:
+        each = [df.agg(F.lit(c).alias("attribute"), *measures(F.col(c), F.count_distinct)) for c in columns]
+        return reduce(DataFrame.unionByName, each)
+    packed = [F.struct(F.lit(c).alias("attribute"), *measures(F.col(c), F.approx_count_distinct)) for c in columns]
+    return df.agg(F.array(*packed).alias("rows")).select(F.inline("rows"))

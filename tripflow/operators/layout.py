@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with fewer partitions than the cluster has cores, redistributed over the cores.
+def spread(df: DataFrame, parts: int | None) -> DataFrame:
+    """``df`` in ``parts`` partitions, or as it is when that is None.
 
-    For work that costs far more per row than moving the row does, such as making and parsing
-    documents: a file with few row groups feeds few tasks. A scan that already has a task for
-    every core, the normal case for a large table, comes back as it is.
+    For work that costs far more per row than moving the row does, such as making and parsing documents,
+    over a file of few row groups. Files of many row groups are better split by
+    ``spark.sql.files.maxPartitionBytes``, without a shuffle.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    parts = scan._jdf.queryExecution().toRdd().getNumPartitions()
-    return scan.repartition(cores) if 0 < parts < cores else scan
+    return df if parts is None else df.repartition(parts)

@@ -27,7 +27,7 @@ def check_schema(df: DataFrame, kind: str | TripKind) -> SchemaReport:
     missing = [name for name in kind.required if name not in present]
     if missing:
         raise SchemaValidationError(
-            f"Schema validation failed. Missing required fields: [{', '.join(missing)}]"
+            f"{kind.name} trips need columns that are not there: {', '.join(missing)}"
         )
     lowered = {c.lower() for c in df.columns}
     found = sum(name.lower() in lowered for name in kind.optional)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import key_text
 from ..session import ensure_checkpoint_dir
 from ..sources.trips import ORIGIN, read_any
 
@@ -21,7 +23,7 @@ _SMALL = 100_000
 
 def sample_hash(key_cols: Sequence[str], seed: int = SEED) -> Column:
     """Text that orders rows at random: md5 of the row key and the seed."""
-    return F.md5(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in key_cols], F.lit(seed)))
+    return F.md5(F.concat(key_text(*key_cols), F.lit(f"@{seed}")))
 
 
 def sample_exact(
@@ -30,21 +32,24 @@ def sample_exact(
     """Exactly ``n`` rows (all rows when there are fewer): those with the smallest sample hash.
 
     ``key_cols`` tell rows apart. The result does not depend on partitioning. The cut-off hash
-    is found by counting hash prefixes, so the sample itself is a filter over the scan: no sort,
-    no shuffle of rows, and a sample of any size stays distributed. Rows that share their whole
+    is found by counting, so the sample itself is a filter over the scan: no sort, no shuffle of rows,
+    and a sample of any size stays distributed. The rows are counted first, which a Parquet scan answers
+    without its columns; that tells where the cut-off of a uniform hash must lie, and one scan counts the
+    hashes below and lists those in that narrow band. Only keys that repeat very often put it elsewhere;
+    then hash prefixes are counted instead. Rows that share their whole
     key with the row at the cut-off are told apart by position after a checkpoint.
     """
     if n < 0:
         raise ValueError("n must not be negative")
     if n == 0:
         return df.limit(0)
-    hashed = df.select(sample_hash(key_cols, seed).alias("h"))
-    found = _cutoff(hashed, n, small)
-    if found is None:
-        total = df.count()
+    total = df.count()
+    if total <= n:
         if total < n:
             log.warning("only %d rows, %d requested: using all rows", total, n)
         return df
+    hashed = df.select(sample_hash(key_cols, seed).alias("h"))
+    found = _cutoff_in_band(hashed, n, total, small) or _cutoff(hashed, n, small)
     cutoff, at_cutoff, wanted_at_cutoff = found
     h = sample_hash(key_cols, seed)
     if at_cutoff == wanted_at_cutoff:
@@ -55,20 +60,41 @@ def sample_exact(
     return df.filter(h < cutoff).unionByName(picked)
 
 
-def _cutoff(hashed: DataFrame, n: int, small: int) -> tuple[str, int, int] | None:
+def _cutoff_in_band(hashed: DataFrame, n: int, total: int, small: int) -> tuple[str, int, int] | None:
+    """As ``_cutoff``, by one scan of a band of the hash range that is expected to hold the cut-off.
+
+    None when the band would hold more than ``small`` hashes or doesn't hold the cut-off after all.
+    """
+    share = n / total
+    margin = 8 * math.sqrt(share * (1 - share) / total) + 8 / total
+    if 2 * margin * total > small:
+        return None
+    bounds = [f"{min(max(int(x * 2**60), 0), 2**60 - 1):015x}" for x in (share - margin, share + margin)]
+    low, high = (F.lit(b) for b in bounds)
+    band = F.when(F.col("h") >= low, F.col("h")).otherwise(F.lit(""))
+    counts = hashed.where(F.col("h") <= high).groupBy(band.alias("h")).agg(F.count(F.lit(1)).alias("c"))
+    if (rows := counts.limit(4 * small + 2).collect()) and len(rows) > 4 * small + 1:
+        return None
+    wanted = n
+    for h, c in sorted((row.h, row.c) for row in rows):
+        if c >= wanted:
+            return (h, c, wanted) if h else None
+        wanted -= c
+    return None
+
+
+def _cutoff(hashed: DataFrame, n: int, small: int) -> tuple[str, int, int]:
     """The n-th smallest hash, the rows that carry it, and how many of those are wanted.
 
     Each pass counts the rows per next few hex digits below the prefix found so far, which
     narrows the range 4,096-fold, until few enough rows are left to count them by whole hash.
-    The driver receives counts only, at most ``max(4096, small)``. None when no row is left out.
+    The driver receives counts only, at most ``max(4096, small)``. There are more than ``n`` rows.
     """
     prefix, wanted, end = "", n, _DIGITS
     while True:
         inside = hashed.filter(F.col("h").startswith(prefix)) if prefix else hashed
         counts = inside.groupBy(F.substring("h", 1, end).alias("p")).agg(F.count(F.lit(1)).alias("c"))
         pairs = sorted((row.p, row.c) for row in counts.collect())
-        if not prefix and sum(c for _, c in pairs) <= n:
-            return None
         for prefix, c in pairs:
             if c >= wanted:
                 break

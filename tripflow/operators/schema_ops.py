@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -52,7 +53,25 @@ def ddl_types(schema: T.StructType) -> str:
     return ", ".join(column_definitions(schema))
 
 
+def quoted_table(table: str) -> str:
+    return ".".join('"{}"'.format(part.replace('"', '""')) for part in table.split("."))
+
+
 def create_table_sql(table: str, schema: T.StructType, if_not_exists: bool = False) -> str:
-    name = ".".join('"{}"'.format(part.replace('"', '""')) for part in table.split("."))
     clause = "IF NOT EXISTS " if if_not_exists else ""
-    return f"CREATE TABLE {clause}{name} ({ddl_types(schema)})"
+    return f"CREATE TABLE {clause}{quoted_table(table)} ({ddl_types(schema)})"
+
+
+def drop_table_sql(table: str) -> str:
+    return f"DROP TABLE IF EXISTS {quoted_table(table)}"
+
+
+def merge_sql(table: str, staging: str, columns: Sequence[str], ingest_id: str) -> list[str]:
+    """One transaction: the rows of an ingestion are replaced by the staged ones, and staging goes."""
+    names = ", ".join('"{}"'.format(c.replace('"', '""')) for c in columns)
+    key = ingest_id.replace("'", "''")
+    return [
+        f"DELETE FROM {quoted_table(table)} WHERE \"ingest_id\" = '{key}'",
+        f"INSERT INTO {quoted_table(table)} ({names}) SELECT {names} FROM {quoted_table(staging)}",
+        drop_table_sql(staging),
+    ]

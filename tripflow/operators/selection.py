@@ -74,6 +74,21 @@ def _bound(value) -> Column | None:
     return F.lit(value)
 
 
+def rules_apply(df: DataFrame, kind: str | TripKind) -> bool:
+    """The validity rules can be put on this frame's own columns: times are times, numbers are numbers.
+
+    A code or count beyond 32 bits is then judged as it is, not as the null that it becomes.
+    """
+    kind = kind_of(kind)
+    types = {f.name: f.dataType for f in df.schema}
+    numbers = ["VendorID", "passenger_count", "trip_distance", *(["trip_type"] if kind.has_trip_type else [])]
+    return (
+        all(isinstance(types.get(c), T.NumericType) for c in numbers)
+        and all(isinstance(types.get(c), T.TimestampNTZType) for c in (kind.pickup, kind.dropoff))
+        and isinstance(types.get("store_and_fwd_flag"), T.StringType)
+    )
+
+
 def keep_valid(df: DataFrame, kind: str | TripKind) -> DataFrame:
     return df.filter(valid_filter(kind))
 

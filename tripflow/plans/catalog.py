@@ -18,7 +18,7 @@ from ..session import ensure_checkpoint_dir, scratch_dir
 from ..sinks.bulk import bulk_chunks
 from ..sinks.ingest_sinks import TripTables
 from ..sources import files, footers
-from ..sources.trips import typed_trips
+from ..sources.trips import read_any, read_documents, read_trips, read_zones, typed_trips
 from ..streaming.ingest import IngestConfig, run_once
 from ..streaming.ledger import pending_files
 from ..streaming.trips import stream_trips, windowed_counts
@@ -35,16 +35,17 @@ STATS_YELLOW = (
 ).split()
 
 
-def trips(spark: SparkSession, sf_dir: str, kind: str, keys: bool = False, costly: bool = False) -> DataFrame:
-    """Typed trips. ``costly`` asks for a task on every core."""
+def trips(spark: SparkSession, sf_dir: str, kind: str, keys: bool = False, costly: bool = False, **options) -> DataFrame:
+    """Typed trips. ``costly``: in as many partitions as a shuffle has, since the test tables have one row
+    group each and documents cost more than moving rows."""
     keep = KEYS[kind] if keys else ()
-    raw = raw_trips(spark, sf_dir, kind, keys)
-    return typed_trips(spread(raw) if costly else raw, kind, keep=keep)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) if costly else None
+    return typed_trips(spread(raw_trips(spark, sf_dir, kind, keys), parts), kind, keep=keep, **options)
 
 
 def vendor_fare_summary(spark, sf_dir):
     """Flagship: valid yellow trips by vendor and fare band."""
-    valid = selection.keep_valid(trips(spark, sf_dir, "yellow"), "yellow")
+    valid = trips(spark, sf_dir, "yellow", valid_only=True)
     return (
         valid.select(
             codes.decode("VendorID", "vendor").alias("vendor"),
@@ -62,12 +63,36 @@ def vendor_fare_summary(spark, sf_dir):
     )
 
 
+def _mixed_files(spark, sf_dir, kind):
+    """Trip files as a folder gathers them: those of even keys are older, without the congestion fee and
+    with passenger counts as doubles, and lie in a nested folder."""
+    root, key = scratch_dir(spark, f"read-{kind}"), KEYS[kind][0]
+    keyed = raw_trips(spark, sf_dir, kind, keys=True)
+    new, old = (keyed.where(F.col(key) % 2 == odd).drop(*KEYS[kind]) for odd in (1, 0))
+    new.write.parquet(f"{root}/trips")
+    old = old.drop("cbd_congestion_fee").withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    old.write.parquet(f"{root}/trips/older")
+    return f"{root}/trips"
+
+
 def read_yellow(spark, sf_dir):
-    return trips(spark, sf_dir, "yellow")
+    return read_trips(spark, _mixed_files(spark, sf_dir, "yellow"), "yellow")
 
 
 def read_green(spark, sf_dir):
-    return trips(spark, sf_dir, "green")
+    return read_trips(spark, _mixed_files(spark, sf_dir, "green"), "green")
+
+
+def read_kinds(spark, sf_dir):
+    """Rows as the kind-agnostic reader gives them, and how many it can tell apart by origin."""
+    root = scratch_dir(spark, "any")
+    trip_files(spark, sf_dir, "green").write.parquet(f"{root}/trips")
+    trip_files(spark, sf_dir, "green").drop("cbd_congestion_fee").limit(0).write.mode("append").parquet(f"{root}/trips")
+    return read_any(spark, f"{root}/trips", with_origin=True).agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.count_distinct("source_file", "source_row").alias("origins"),
+        F.sum("cbd_congestion_fee").alias("fees"),
+    )
 
 
 def coerce_types(spark, sf_dir):
@@ -113,11 +138,11 @@ def trip_duration(spark, sf_dir):
 
 
 def valid_yellow(spark, sf_dir):
-    return selection.keep_valid(trips(spark, sf_dir, "yellow"), "yellow")
+    return trips(spark, sf_dir, "yellow", valid_only=True)
 
 
 def valid_green(spark, sf_dir):
-    return selection.keep_valid(trips(spark, sf_dir, "green"), "green")
+    return trips(spark, sf_dir, "green", valid_only=True)
 
 
 def _violations(spark, sf_dir, kind):
@@ -142,6 +167,13 @@ def violation_report(spark, sf_dir):
     return reports[0].unionByName(reports[1])
 
 
+def narrowing_report(spark, sf_dir):
+    """Violations of trips some of whose passenger counts are beyond 32 bits."""
+    count = F.when(F.col("o_orderkey") % 10 == 0, F.lit(3_000_000_000)).otherwise(F.col("passenger_count"))
+    raw = raw_trips(spark, sf_dir, "green", keys=True).withColumn("passenger_count", count)
+    return quality.violation_report(typed_trips(raw, "green", flag_narrowing=True), "green")
+
+
 def valid_share(spark, sf_dir):
     shares = [
         quality.valid_share(trips(spark, sf_dir, kind), kind).select(F.lit(kind).alias("kind"), "*")
@@ -151,7 +183,7 @@ def valid_share(spark, sf_dir):
 
 
 def street_hail_valid(spark, sf_dir):
-    return selection.street_hails(trips(spark, sf_dir, "green"))
+    return trips(spark, sf_dir, "green", criteria={"trip_type": 1}, valid_only=True)
 
 
 def filter_by_attributes(spark, sf_dir):
@@ -327,13 +359,53 @@ def attribute_stats(spark, sf_dir):
     return features.attribute_stats(raw_trips(spark, sf_dir, "yellow"), STATS_YELLOW, exact=True)
 
 
+def feature_files(spark, sf_dir):
+    """Features through the date-partitioned layout and back: rows per date, read with a pruned date range."""
+    root = scratch_dir(spark, "features")
+    features.write_features(feature_table(spark, sf_dir), "green", root)
+    stored = spark.read.parquet(root).where(F.col("pickup_date") >= F.lit("1997-01-01").cast("date"))
+    return stored.groupBy("pickup_date").agg(
+        F.count(F.lit(1)).alias("n_features"), F.count("geom").alias("n_points"), F.min("geom").alias("first_geom")
+    )
+
+
+def zone_files(spark, sf_dir):
+    """Zones read from a file, joined to pickups."""
+    root = scratch_dir(spark, "zones")
+    zones(spark).withColumn("zone_id", F.col("zone_id").cast("bigint")).write.parquet(f"{root}/zones")
+    joined = features.with_zones(trips(spark, sf_dir, "green", keys=True), read_zones(spark, f"{root}/zones"))
+    return joined.select("o_orderkey", "pu_lon", "pu_lat")
+
+
+def document_files(spark, sf_dir):
+    """Trip documents written as lines of text and read back."""
+    root = scratch_dir(spark, "documents")
+    documents.to_documents(trips(spark, sf_dir, "green", costly=True), "green").write.text(f"{root}/docs")
+    return read_documents(spark, f"{root}/docs", "green")
+
+
+def sample_files(spark, sf_dir):
+    """A sample of a file set, written as files: exact size, rows of the source, its columns."""
+    root = scratch_dir(spark, "sample")
+    trip_files(spark, sf_dir, "green").write.parquet(f"{root}/in")
+    n = table(spark, sf_dir, "orders").count() // 3
+    sampling.sample_parquet(spark, f"{root}/in", f"{root}/sample", n)
+    source = spark.read.parquet(f"{root}/in")
+    sample = spark.read.parquet(f"{root}/sample")
+    strange = sample.exceptAll(source)
+    counts = sample.agg(F.count(F.lit(1)).alias("rows"), F.lit("sampled").alias("what")).unionByName(
+        strange.agg(F.count(F.lit(1)).alias("rows"), F.lit("strange").alias("what"))
+    )
+    return counts.withColumn("same_columns", F.lit(sample.schema == source.schema))
+
+
 def row_counts(spark, sf_dir):
     return metrics.row_counts({name: table(spark, sf_dir, name) for name in TABLES})
 
 
 def footer_counts(spark, sf_dir):
-    found = [f for f in files.list_files(spark, sf_dir) if files.is_parquet_name(f.path)]
-    probe = footers.probe_footers(files.file_frame(spark, found), len(found))
+    found = files.listing_frame(spark, sf_dir).where(F.lower("path").endswith(".parquet"))
+    probe = footers.probe_footers(found)
     return probe.select(names.derive_table_name("path").alias("table_name"), F.col("num_rows").alias("n_rows"))
 
 
@@ -526,6 +598,34 @@ def ingest_directory(spark, sf_dir):
     return _kept(recorded.join(loaded, "kind", "full"), root)
 
 
+def ingest_quarantine(spark, sf_dir):
+    """A folder with good files and every kind of bad one: what is loaded, and why the others are not."""
+    root = scratch_dir(spark, "quarantine")
+    inbox = f"{root}/in"
+    trip_files(spark, sf_dir, "green").coalesce(1).write.parquet(inbox)
+    table(spark, sf_dir, "part").coalesce(1).write.mode("append").parquet(inbox)
+    unreadable = table(spark, sf_dir, "region").select(F.concat(F.lit("no parquet "), "r_name").alias("value"))
+    unreadable.coalesce(1).write.mode("append").text(inbox)
+    files.write_bytes(spark, f"{inbox}/zero.parquet", b"")
+    files.write_bytes(spark, f"{inbox}/torn.parquet", b"PAR1 and no footer")
+    tables = TripTables(f"{root}/tables")
+    cfg = IngestConfig(inbox, f"{root}/processed", f"{root}/error", f"{root}/ledger", f"{root}/checkpoint", tables)
+    book = run_once(spark, cfg)
+    moved = files.listing_frame(spark, f"{root}/error").select(names.file_name("path").alias("moved"))
+    target = names.quarantine_name("file_name", "status")
+    report = (
+        book.join(moved, target == F.col("moved"), "left")
+        .groupBy("kind", "status")
+        .agg(
+            F.count(F.lit(1)).alias("files"),
+            F.coalesce(F.sum("records"), F.lit(0)).alias("records"),
+            F.count("moved").alias("quarantined"),
+            F.count("error").alias("explained"),
+        )
+    )
+    return _kept(report, root)
+
+
 def stream_valid_trips(spark, sf_dir):
     """Trip files through the continuous reader, the validity filter and a Parquet sink."""
     root = scratch_dir(spark, "stream")
@@ -607,7 +707,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hourly_trips,
         sink_totals,
         ingest_directory,
+        ingest_quarantine,
         stream_valid_trips,
+        narrowing_report,
+        read_kinds,
+        feature_files,
+        zone_files,
+        document_files,
+        sample_files,
     )
 }
 QUERIES["pending_files"] = pending_query

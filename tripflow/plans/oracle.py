@@ -2,10 +2,40 @@
 
 from __future__ import annotations
 
-from ..functions.codes import CODE_SETS, TYPE_NAMES
 from .catalog import STATS_YELLOW, TABLES
 from .testbed import with_ctes
 
+# Fixed values, stated here apart from the code under test: code, name, description of every code set.
+CODE_SETS = {
+    "vendor": (
+        (1, "CREATIVE_MOBILE_TECHNOLOGIES", "Creative Mobile Technologies, LLC"),
+        (2, "CURB_MOBILITY", "Curb Mobility, LLC"),
+        (6, "MYLE_TECHNOLOGIES", "Myle Technologies Inc"),
+        (7, "HELIX", "Helix"),
+    ),
+    "rate": (
+        (1, "STANDARD_RATE", "Standard rate"),
+        (2, "JFK", "JFK"),
+        (3, "NEWARK", "Newark"),
+        (4, "NASSAU_OR_WESTCHESTER", "Nassau or Westchester"),
+        (5, "NEGOTIATED_FARE", "Negotiated fare"),
+        (6, "GROUP_RIDE", "Group ride"),
+        (99, "NULL_OR_UNKNOWN", "Null/unknown"),
+    ),
+    "trip_type": ((1, "STREET_HAIL", "Street-hail"), (2, "DISPATCH", "Dispatch")),
+    "payment": (
+        (0, None, "Flex Fare trip"),
+        (1, None, "Credit card"),
+        (2, None, "Cash"),
+        (3, None, "No charge"),
+        (4, None, "Dispute"),
+        (5, None, "Unknown"),
+        (6, None, "Voided trip"),
+    ),
+    "flag": (("Y", None, "store and forward trip"), ("N", None, "not a store and forward trip")),
+}
+TYPE_NAMES = {"vendor": "VendorID", "rate": "RatecodeID", "trip_type": "TripType"}
+
 YK = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 _YELLOW_OK = {
@@ -62,6 +92,11 @@ def _decoded(kind: str, column: str, code_set: str) -> str:
     )
 
 
+def _keyed(column: str) -> str:
+    """A key column as text with its length in front."""
+    return f"length(cast({column} as varchar)) || ':' || cast({column} as varchar)"
+
+
 def _violation_sql(kind: str) -> str:
     first = " ".join(f"when not ({ok}) then '{name}'" for name, ok in _OK[kind].items())
     every = ", ".join(f"case when not ({ok}) then '{name}' end" for name, ok in _OK[kind].items())
@@ -146,8 +181,24 @@ _SQL = {
         avg(minutes) as avg_minutes
       from (select *, {_minutes('tpep_pickup_datetime', 'tpep_dropoff_datetime')} as minutes from yellow_trips
             where {_VALID['yellow']}) v group by 1, 2""",
-    "read_yellow": f"select {_YELLOW_COLUMNS} from yellow_trips",
-    "read_green": f"select {_GREEN_COLUMNS} from green_trips",
+    "read_yellow": f"""select {_YELLOW_COLUMNS} replace (case when l_orderkey % 2 = 1 then cbd_congestion_fee end
+        as cbd_congestion_fee) from yellow_trips""",
+    "read_green": f"""select {_GREEN_COLUMNS} replace (case when o_orderkey % 2 = 1 then cbd_congestion_fee end
+        as cbd_congestion_fee) from green_trips""",
+    "read_kinds": """select count(*) as trips, count(*) as origins, cast(count(*) * 0.75 as double) as fees
+      from green_trips""",
+    "feature_files": f"""select cast(lpep_pickup_datetime as date) as pickup_date, count(*) as n_features,
+        count({_PU_POINT}) as n_points, min({_PU_POINT}) as first_geom
+      from raw_green t left join zones p on t.PULocationID = p.zone_id
+      where lpep_pickup_datetime >= timestamp '1997-01-01 00:00:00' group by 1""",
+    "zone_files": f"select o_orderkey, p.lon as pu_lon, p.lat as pu_lat from {_ZONED.format(kind='green')}",
+    "document_files": f"select {_GREEN_COLUMNS} from green_trips",
+    "sample_files": """select 'sampled' as what, count(*) // 3 as rows, true as same_columns from orders
+      union all select 'strange', 0, true""",
+    "ingest_quarantine": """select 'green' as kind, 'processed' as status, cast(1 as bigint) as files,
+        count(*) as records, cast(0 as bigint) as quarantined, cast(0 as bigint) as explained from orders
+      union all select null, 'schema_mismatch', 3, 0, 3, 2
+      union all select null, 'not_parquet', 1, 0, 1, 0""",
     "coerce_types": """select l_orderkey, l_linenumber, try_cast(l_orderkey * 300007 as integer) as int_value,
         l_orderkey * 300007 > 2147483647 as is_narrowed, cast(l_partkey as double) as double_value,
         cast(l_suppkey as varchar) as text_value, l_quantity as present_value, cast(null as double) as absent_value
@@ -233,11 +284,10 @@ _SQL = {
     ),
     "serialization_rate": """select count(*) as trips, count(*) as documents, cast(1 as double) as success_rate
       from yellow_trips""",
-    "sample_exact": """select o_orderkey, total_amount from green_trips
-      order by md5(concat_ws(':', cast(o_orderkey as varchar), '42')), o_orderkey limit 500""",
+    "sample_exact": f"""select o_orderkey, total_amount from green_trips
+      order by md5(concat({_keyed('o_orderkey')}, '@42')), o_orderkey limit 500""",
     "sample_large": f"""select {YK}, total_amount from yellow_trips qualify row_number() over (
-        order by md5(concat_ws(':', l_orderkey::varchar, l_linenumber::varchar, l_partkey::varchar,
-          l_suppkey::varchar, '42')), {YK}) <= (select count(*) // 2 from lineitem)""",
+        order by md5(concat({', '.join(_keyed(c) for c in YK.split(', '))}, '@42')), {YK}) <= (select count(*) // 2 from lineitem)""",
     "first_n": f"select {YK}, fare_amount from yellow_trips order by {YK} limit 5",
     "kind_detect_lenient": """select p_partkey, case p_partkey % 6 when 0 then 'yellow' when 1 then 'green'
         else 'unknown' end as kind from part""",
@@ -284,6 +334,16 @@ _SQL = {
     "stream_valid_trips": f"""select VendorID, count(*) as trips, sum(fare_amount) as fare_amount from green_trips
       where {_VALID['green']} group by VendorID""",
 }
+_SQL["narrowing_report"] = (
+    "with shown as (select o_orderkey, case when o_orderkey % 10 = 0 then null else passenger_count end as passenger_count,"
+    " * exclude (o_orderkey, passenger_count) from green_trips), "
+    + "report as ("
+    + " union all ".join(
+        f"select 'green' as kind, '{name}' as rule, count(*) as trips from shown where not ({ok})" for name, ok in _GREEN_OK.items()
+    )
+    + " union all select 'green', 'narrowing', count(*) from shown where o_orderkey % 10 = 0)"
+    " select * from report where trips > 0"
+)
 _SQL["footer_counts"] = _SQL["row_counts"]
 
 ORACLE: dict[str, str] = {name: with_ctes(sql) for name, sql in _SQL.items()}

@@ -189,4 +189,6 @@ def with_ctes(sql: str) -> str:
         ctes.append(ZONES_CTE)
     if " ledger" in sql:
         ctes.append(LEDGER_CTE)
+    if ctes and sql.startswith("with "):
+        return f"with {', '.join(ctes)}, {sql.removeprefix('with ')}"
     return f"with {', '.join(ctes)} {sql}" if ctes else sql

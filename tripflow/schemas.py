@@ -124,6 +124,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("batch_id", _LONG, True),
         T.StructField("started_at", _NTZ, True),
         T.StructField("finished_at", _NTZ, True),
+        T.StructField("error", _STRING, True),
     ]
 )
 

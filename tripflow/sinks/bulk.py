@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import key_text
+
 DOCS_PER_REQUEST = 1000
 MAX_CONCURRENT = 2
 DELAY_MS = 100
@@ -35,7 +38,7 @@ RESULT_SCHEMA = T.StructType(
 
 def document_id(*key_cols: str) -> Column:
     """A document id that a replay reproduces, from columns that tell trips apart."""
-    return F.md5(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in key_cols]))
+    return F.md5(key_text(*key_cols))
 
 
 def bulk_entries(docs: DataFrame, index: str, doc_col: str = "doc", id_col: str | None = None) -> DataFrame:
@@ -50,32 +53,33 @@ def bulk_chunks(
 ) -> DataFrame:
     """Request bodies of at most ``size`` documents: ``(index, chunk_id, n_docs, body)``.
 
-    Chunks are cut inside each partition, so there is no shuffle and a task buffers one chunk.
+    Chunks are cut inside each partition, so there is no shuffle and a task buffers one Arrow batch and one
+    chunk. ``chunk_id`` is partition and number, so bounds follow the partitions of ``docs``.
     """
 
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        schema = pa.schema(
-            [("index", pa.string()), ("chunk_id", pa.string()), ("n_docs", pa.int64()), ("body", pa.string())]
-        )
-        partition, number, waiting = TaskContext.get().partitionId(), 0, []
+        names = ["index", "chunk_id", "n_docs", "body"]
+        partition, number, waiting = TaskContext.get().partitionId(), 0, pa.array([], pa.string())
 
-        def emit(entries):
+        def emit(entries, counts):
             nonlocal number
-            row = {"index": index, "chunk_id": f"{partition}-{number}", "n_docs": len(entries), "body": "".join(entries)}
-            number += 1
-            return pa.RecordBatch.from_pylist([row], schema=schema)
+            offsets = pa.array([0, *accumulate(counts)], pa.int32())
+            bodies = pc.binary_join(pa.ListArray.from_arrays(offsets, entries), "")
+            ids = [f"{partition}-{number + i}" for i in range(len(counts))]
+            number += len(counts)
+            return pa.record_batch([pa.array([index] * len(counts)), ids, pa.array(counts, pa.int64()), bodies], names)
 
         for batch in batches:
-            waiting += batch.column("entry").to_pylist()
-            start = 0
-            while len(waiting) - start >= size:
-                yield emit(waiting[start : start + size])
-                start += size
-            del waiting[:start]
-        if waiting:
-            yield emit(waiting)
+            waiting = pa.concat_arrays([waiting, batch.column("entry").cast(pa.string())])
+            full = len(waiting) // size
+            if full:
+                yield emit(waiting.slice(0, full * size), [size] * full)
+                waiting = pa.concat_arrays([waiting.slice(full * size)])
+        if len(waiting):
+            yield emit(waiting, [len(waiting)])
 
     return bulk_entries(docs, index, doc_col, id_col).mapInArrow(cut, CHUNK_SCHEMA)
 
@@ -104,7 +108,7 @@ def post_chunks(
                     errors.append(None)
                 except Exception as e:  # reported per request; post_outbox fails the batch
                     oks.append(False)
-                    errors.append(f"{type(e).__name__}: {e}"[:500])
+                    errors.append(f"{type(e).__name__}: {e}")
             yield frame[["index", "chunk_id", "n_docs"]].assign(ok=oks, error=errors)
 
     return chunks.coalesce(max_concurrent).mapInPandas(send, RESULT_SCHEMA)
@@ -114,25 +118,55 @@ class BulkLoadError(RuntimeError):
     """At least one bulk request was refused."""
 
 
-def post_outbox(
-    chunks: DataFrame,
+def write_bodies(chunks: DataFrame, folder: str) -> None:
+    """Bodies to post later, written at full parallelism, which the throttle would hold back."""
+    chunks.write.mode("overwrite").parquet(folder)
+
+
+def post_bodies(
+    spark: SparkSession,
+    folders: list[str],
     poster: Callable[[str], object],
-    outbox: str,
+    results: str,
     max_concurrent: int = MAX_CONCURRENT,
     delay_ms: int = DELAY_MS,
 ) -> DataFrame:
-    """Write the bodies to ``outbox`` at full parallelism, then post them throttled.
+    """Post the bodies of all ``folders`` in one job, so that the limit holds for them together.
 
-    The throttle would otherwise also hold back the scan that makes the documents. Results are
-    stored next to the bodies; any refused request fails the call, and with document ids a
+    Outcomes are written to ``results``; any refused request fails the call, and with document ids a
     repeated call replaces what was already accepted.
     """
-    spark = chunks.sparkSession
-    chunks.write.mode("overwrite").parquet(f"{outbox}/bodies")
-    stored = spark.read.schema(CHUNK_SCHEMA).parquet(f"{outbox}/bodies")
-    post_chunks(stored, poster, max_concurrent, delay_ms).write.mode("overwrite").parquet(f"{outbox}/results")
-    results = spark.read.schema(RESULT_SCHEMA).parquet(f"{outbox}/results")
-    failure = results.filter(~F.col("ok")).select("chunk_id", "error").first()
+    stored = spark.read.schema(CHUNK_SCHEMA).parquet(*folders).select(*CHUNK_SCHEMA.names)
+    post_chunks(stored, poster, max_concurrent, delay_ms).write.mode("overwrite").parquet(results)
+    outcome = spark.read.schema(RESULT_SCHEMA).parquet(results)
+    failure = outcome.filter(~F.col("ok")).select("chunk_id", "error").first()
     if failure is not None:
         raise BulkLoadError(f"bulk request {failure.chunk_id} failed: {failure.error}")
-    return results
+    return outcome
+
+
+def post_outbox(
+    chunks: DataFrame,
+    poster: Callable[[str], object],
+    outbox: str,
+    max_concurrent: int = MAX_CONCURRENT,
+    delay_ms: int = DELAY_MS,
+) -> DataFrame:
+    """Write the bodies to ``outbox``, then post them throttled; returns the outcomes."""
+    write_bodies(chunks, f"{outbox}/bodies")
+    spark = chunks.sparkSession
+    return post_bodies(spark, [f"{outbox}/bodies"], poster, f"{outbox}/results", max_concurrent, delay_ms)
+
+
+def index_document(
+    document: str, index: str, client: Callable[[str, str, str | None], str], doc_id: str | None = None
+) -> str:
+    """Index one document; returns its id.
+
+    ``client(index, document, doc_id)`` sends it and answers with the id that the index gave or kept. A
+    refused document raises ``BulkLoadError``.
+    """
+    try:
+        return client(index, document, doc_id)
+    except Exception as e:
+        raise BulkLoadError(f"document for {index} was refused: {type(e).__name__}: {e}") from e

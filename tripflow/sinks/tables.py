@@ -50,18 +50,22 @@ def load_table(
     batch_size: int = BATCH_SIZE,
     max_connections: int = MAX_CONNECTIONS,
     properties: dict | None = None,
+    staging: str | None = None,
 ) -> int:
     """Append to a database table, creating it when missing; returns the number of rows.
 
-    ``drop_if_exists`` drops and recreates it. Each task inserts its own partition in batches
-    and commits once, so a task that fails leaves nothing; a task that is retried after its
-    commit would insert twice, which a staging table and a swap in the database avoid.
+    ``drop_if_exists`` drops and recreates it. The connection limit also limits the tasks, so with
+    ``staging`` (a folder) the rows are first computed at full width and stored there. Each task inserts its
+    own partition in batches and commits once, so a task that fails leaves nothing; a task that is retried
+    after its commit would insert twice. ``SqlTables`` is the sink for which that can't happen.
     """
     options = jdbc_options(table, url, batch_size, max_connections, properties)
     mode = "overwrite" if drop_if_exists else "append"
-    return _written(
-        sanitize_columns(df), lambda out: out.write.format("jdbc").options(**options).mode(mode).save()
-    )
+    df = sanitize_columns(df)
+    if staging is not None:
+        df.write.mode("overwrite").parquet(staging)
+        df = df.sparkSession.read.schema(df.schema).parquet(staging)
+    return _written(df, lambda out: out.write.format("jdbc").options(**options).mode(mode).save())
 
 
 def load_catalog_table(df: DataFrame, table: str, *, drop_if_exists: bool = False) -> int:

@@ -26,6 +26,27 @@ def _fs(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+# Hadoop's names for file systems that Arrow opens under another name.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "s3": "s3", "gs": "gs", "hdfs": "hdfs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def is_arrow_path(path: str) -> bool:
+    scheme = re.match(r"^([a-zA-Z0-9+.-]+):", path)
+    return scheme is None or scheme[1] == "file" or scheme[1] in _ARROW_SCHEMES
+
+
+def arrow_file_system(path: str):
+    """Arrow's file system for a Hadoop path, and the path in it."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    if re.match(r"^(file:)?/", path):
+        return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
+    scheme, _, rest = path.partition("://")
+    return fs.FileSystem.from_uri(f"{_ARROW_SCHEMES.get(scheme, scheme)}://{quote(rest, safe='/@:')}")
+
+
 def is_hidden(name: str) -> bool:
     return name.startswith((".", "_"))
 
@@ -77,6 +98,12 @@ def list_dirs(spark: SparkSession, directory: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(target) if s.isDirectory())
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    out = _fs(spark, path).create(_path(spark, path), True)
+    out.write(content)
+    out.close()
+
+
 def move_file(spark: SparkSession, source: str, target: str) -> bool:
     """Rename, replacing an older target. False when an earlier attempt already moved it."""
     fs, src, dst = _fs(spark, source), _path(spark, source), _path(spark, target)
@@ -91,6 +118,34 @@ def move_file(spark: SparkSession, source: str, target: str) -> bool:
     return True
 
 
+def _list_batches(batches):
+    import pyarrow as pa
+    from pyarrow import fs
+
+    for batch in batches:
+        for folder in batch.column("path").to_pylist():
+            filesystem, inner = arrow_file_system(folder)
+            selector = fs.FileSelector(inner, allow_not_found=True)
+            found = [f for f in filesystem.get_file_info(selector) if f.is_file and not is_hidden(f.base_name)]
+            prefix = "file:" if folder.startswith(("/", "file:")) else folder.split("://")[0] + "://"
+            yield pa.RecordBatch.from_pydict(
+                {"path": [prefix + f.path for f in found], "length": [f.size for f in found]},
+                schema=pa.schema([("path", pa.string()), ("length", pa.int64())]),
+            )
+
+
+def listing_frame(spark: SparkSession, directory: str):
+    """Regular, visible files directly in ``directory``, empty ones too, as ``path`` and ``length``.
+
+    A task lists the folder, so that the driver gets only what the caller collects. File systems that
+    Arrow doesn't know are listed by the driver.
+    """
+    if not is_arrow_path(directory):
+        return file_frame(spark, list_files(spark, directory))
+    folder = spark.createDataFrame([(directory,)], "path string")
+    return folder.mapInArrow(_list_batches, "path string, length bigint")
+
+
 def file_frame(spark: SparkSession, files: list[FileInfo]):
     """A listing as a frame of ``path`` and ``length``."""
     return spark.createDataFrame([(f.path, f.length) for f in files], "path string, length bigint")

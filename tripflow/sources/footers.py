@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import json
-import re
-from collections.abc import Iterator
-from urllib.parse import quote
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import GREEN, YELLOW
+from .files import FileInfo, arrow_file_system, file_frame, is_arrow_path, literal
 
 PROBE_SCHEMA = T.StructType(
     [
@@ -39,23 +38,24 @@ def _spark_type_name(arrow_type) -> str:
     return names.get(str(arrow_type), str(arrow_type))
 
 
-def _probe(path: str) -> dict:
+def _probe(path: str, source=None) -> dict:
+    """The footer of one file, read from ``source`` if that is given. A file that isn't Parquet, or of which
+    the footer is torn, is reported; whatever else goes wrong (no access, no connection) is raised."""
+    import pyarrow as pa
     import pyarrow.parquet as pq
-    from pyarrow import fs
 
+    if source is None:
+        filesystem, inner = arrow_file_system(path)
+        source = filesystem.open_input_file(inner)
     try:
-        if re.match(r"^(file:)?/", path):
-            filesystem, inner = fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
-        else:
-            filesystem, inner = fs.FileSystem.from_uri(quote(path, safe=":/"))
-        with filesystem.open_input_file(inner) as handle:
+        with source as handle:
             footer = pq.ParquetFile(handle)
             fields = [
                 {"name": f.name, "type": _spark_type_name(f.type), "nullable": f.nullable} for f in footer.schema_arrow
             ]
             rows = footer.metadata.num_rows
-    except Exception as e:  # any unreadable file is reported, not raised
-        return {"path": path, "error": f"{type(e).__name__}: {e}"[:500]}
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as e:
+        return {"path": path, "error": f"{type(e).__name__}: {e}"}
     return {
         "path": path,
         "columns": [f["name"] for f in fields],
@@ -80,21 +80,37 @@ def _probe_batches(batches: Iterator) -> Iterator:
         ]
     )
     for batch in batches:
-        rows = [_probe(path) for path in batch.column("path").to_pylist()]
+        sources = [None] * len(batch)
+        if "content" in batch.schema.names:
+            sources = [pa.BufferReader(c.as_buffer()) for c in batch.column("content")]
+        rows = [_probe(path, source) for path, source in zip(batch.column("path").to_pylist(), sources)]
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
 def probe_footers(files: DataFrame, n_files: int | None = None) -> DataFrame:
-    """Footer of every file in ``files.path``; an unreadable file gets nulls and an error text.
+    """Footer of every file in ``files.path``; a file that isn't Parquet gets nulls and an error text.
 
-    ``n_files``, when the caller knows it, spreads the files over tasks.
+    Any other failure, such as missing rights, fails the job. ``n_files``, when the caller knows it, spreads
+    the files over tasks. Where ``files`` has a ``content`` column (Spark's binary file reader), the footers
+    are taken from there, for file systems that Arrow can't open.
     """
-    paths = files.select("path")
+    paths = files.select("path", *(["content"] if "content" in files.columns else []))
     if n_files is not None:
         paths = paths.repartition(max(1, -(-n_files // _FILES_PER_TASK)))
     return paths.mapInArrow(_probe_batches, PROBE_SCHEMA)
 
 
+def probe_paths(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``probe_footers`` of listed paths on any file system that Spark can read.
+
+    Where Arrow can't open the file system, Spark's own reader hands over the bytes of whole files.
+    """
+    if all(is_arrow_path(p) for p in paths):
+        return probe_footers(file_frame(spark, [FileInfo(p, 0) for p in paths]), len(paths))
+    content = spark.read.format("binaryFile").load([literal(p) for p in paths])
+    return probe_footers(content.select("path", "content"))
+
+
 def fingerprint(fields: list[tuple[str, str, bool]]) -> str:
     """Ordered ``name:type:nullable`` list, the identity of a file schema."""
     return ",".join(f"{name}:{dtype}:{str(nullable).lower()}" for name, dtype, nullable in fields)

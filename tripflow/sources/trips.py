@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.normalize import check_schema, normalize
-from ..operators.selection import filter_trips, pushable
+from ..operators.selection import filter_trips, keep_valid, pushable, rules_apply
 from ..schemas import TripKind, kind_of
 from . import files
 from .footers import probe_footers
@@ -22,13 +22,17 @@ def _as_list(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def scan(spark: SparkSession, paths: str | Sequence[str], with_origin: bool = False) -> DataFrame:
-    """Parquet with the schema of the files themselves.
+def scan(
+    spark: SparkSession, paths: str | Sequence[str], with_origin: bool = False, merge: bool = False
+) -> DataFrame:
+    """Parquet with the schema of the files themselves, nested folders included.
 
-    ``with_origin`` adds file path and row position, a row identity that no shuffle, retry or
-    repartitioning changes.
+    All files are taken to have one schema, unless ``merge`` asks for the union of their columns; then
+    columns of unlike types are an error. ``with_origin`` adds file path and row position, a row identity
+    that no shuffle, retry or repartitioning changes.
     """
-    df = spark.read.parquet(*_as_list(paths))
+    reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", merge)
+    df = reader.parquet(*_as_list(paths))
     if with_origin:
         position = (F.col("_metadata.file_path"), F.col("_metadata.row_index"))
         df = df.select("*", *[c.alias(name) for c, name in zip(position, ORIGIN)])
@@ -36,23 +40,39 @@ def scan(spark: SparkSession, paths: str | Sequence[str], with_origin: bool = Fa
 
 
 def read_any(spark: SparkSession, path: str | Sequence[str], with_origin: bool = False) -> DataFrame:
-    """``scan`` for which a file set without rows is an error."""
-    df = scan(spark, path, with_origin)
+    """``scan`` with the columns of all files, for which a file set without rows is an error."""
+    df = scan(spark, path, with_origin, merge=True)
     if df.select(df.columns[0]).isEmpty():
         raise ValueError(f"no rows in {path}")
     return df
 
 
 def typed_trips(
-    df: DataFrame, kind: str | TripKind, criteria: dict | None = None, strict: bool = True, keep: Sequence[str] = ()
+    df: DataFrame,
+    kind: str | TripKind,
+    criteria: dict | None = None,
+    strict: bool = True,
+    keep: Sequence[str] = (),
+    valid_only: bool = False,
+    flag_narrowing: bool = False,
 ) -> DataFrame:
-    """Typed trips from a frame of file columns: schema check, criteria, projection."""
+    """Typed trips from a frame of file columns: schema check, criteria, projection.
+
+    ``valid_only`` keeps valid trips; the rules look at the file's own values where those have the types
+    they need, so that they reach the scan, and at the typed ones otherwise.
+    """
     kind, criteria = kind_of(kind), criteria or {}
     check_schema(df, kind)
+    early_rules = valid_only and rules_apply(df, kind)
+    if early_rules:
+        df = keep_valid(df, kind)
     early = {k: v for k, v in criteria.items() if pushable(df, kind, k)}
     late = {k: v for k, v in criteria.items() if k not in early}
     df = filter_trips(df, kind, **early)
-    return filter_trips(normalize(df, kind, strict=strict, keep=keep), kind, **late)
+    trips = normalize(df, kind, strict=strict, keep=keep, flag_narrowing=flag_narrowing)
+    if valid_only and not early_rules:
+        trips = keep_valid(trips, kind)
+    return filter_trips(trips, kind, **late)
 
 
 def read_trips(
@@ -62,25 +82,32 @@ def read_trips(
     *,
     criteria: dict | None = None,
     with_origin: bool = False,
-    mixed_schemas: bool = False,
+    mixed_schemas: bool = True,
     files_only: bool = False,
     strict: bool = True,
+    valid_only: bool = False,
+    flag_narrowing: bool = False,
 ) -> DataFrame:
-    """Typed trips of one kind.
+    """Typed trips of one kind, from files and folders, nested ones included.
 
     ``criteria`` (see ``filter_trips``) are put on the file columns, below the type conversion,
-    so that the scan can skip row groups. ``mixed_schemas`` reads files of different column
-    types, such as several years of monthly files, one scan per distinct schema.
+    so that the scan can skip row groups; so is ``valid_only`` where it can be. Files may have different
+    columns and column types, such as several years of monthly files: footers are looked at by tasks
+    first, and each distinct schema gets a scan of its own. ``mixed_schemas=False`` saves that look for files
+    that are known to be alike. ``flag_narrowing`` adds ``narrowed`` (see ``normalize``).
     """
     kind, paths = kind_of(kind), _as_list(paths)
     for path in paths:
         if not files.exists(spark, path):
-            raise FileNotFoundError(f"File does not exist: {path}")
+            raise FileNotFoundError(f"there is no {path}")
         if files_only and not files.is_file(spark, path):
-            raise IsADirectoryError(f"Path is not a regular file: {path}")
+            raise IsADirectoryError(f"{path} is a folder, not a file")
     groups = _schema_groups(spark, paths) if mixed_schemas else [paths]
     keep = ORIGIN if with_origin else ()
-    frames = [typed_trips(scan(spark, group, with_origin), kind, criteria, strict, keep) for group in groups]
+    frames = [
+        typed_trips(scan(spark, group, with_origin), kind, criteria, strict, keep, valid_only, flag_narrowing)
+        for group in groups
+    ]
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -93,21 +120,24 @@ def read_green(spark: SparkSession, paths: str | Sequence[str], **options) -> Da
 
 
 def _schema_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """File paths grouped by footer schema. The footers are read by tasks, only paths return."""
-    listed = []
-    for path in paths:
-        if files.is_file(spark, path):
-            listed.append(files.FileInfo(path, 1))
-        else:
-            listed += [f for f in files.list_files(spark, path) if files.is_parquet_name(f.path) and f.length > 0]
-    if not listed:
+    """The paths as they are if all their files have one schema, else file paths grouped by schema.
+
+    Spark lists the folders and tasks read the footers. Paths come to the driver only where schemas differ.
+    """
+    if len(paths) == 1 and files.is_file(spark, paths[0]):
+        return [paths]
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    content = [] if all(files.is_arrow_path(p) for p in paths) else ["content"]
+    probe = probe_footers(found.where("length > 0").select("path", *content)).select("path", "fingerprint", "error")
+    shapes = probe.groupBy("fingerprint").agg(F.max(F.struct("error", "path")).alias("worst")).collect()
+    for row in shapes:
+        if row.worst.error:
+            raise OSError(f"unreadable Parquet file {row.worst.path}: {row.worst.error}")
+    if len(shapes) < 2:
         return [paths]
-    probe = probe_footers(files.file_frame(spark, listed), len(listed))
     groups: dict[str, list[str]] = {}
-    for row in probe.select("path", "fingerprint", "error").collect():
-        if row.error:
-            raise OSError(f"unreadable Parquet file {row.path}: {row.error}")
-        groups.setdefault(row.fingerprint, []).append(row.path)
+    for row in probe.collect():
+        groups.setdefault(row.fingerprint, []).append(files.literal(row.path))
     return [sorted(groups[key]) for key in sorted(groups)]
 
 

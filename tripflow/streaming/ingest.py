@@ -1,7 +1,8 @@
 """Directory ingestion: detect the kind of each new file, load it, record it, move it.
 
 A micro-batch takes three steps in this order: sink, ledger, moves. The ledger write is the
-commit. A batch that is replayed before it is reset and done again; a batch that is replayed
+commit. What is wrong with a file sends that file to the error folder; anything else fails the
+micro-batch, which the stream repeats. A batch that is replayed before it is reset and done again; a batch that is replayed
 after it only finishes its moves. Files must appear in the input folder whole (write elsewhere,
 then rename).
 """
@@ -9,6 +10,7 @@ then rename).
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -16,7 +18,7 @@ from datetime import datetime, timezone
 from itertools import chain
 from typing import Protocol
 
-from py4j.protocol import Py4JError
+from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,7 @@ from ..functions.names import quarantine_name
 from ..schemas import LEDGER_SCHEMA, SchemaValidationError
 from ..sinks.bulk import BulkLoadError
 from ..sources import files
-from ..sources.footers import detect_kind, probe_footers
+from ..sources.footers import detect_kind, probe_paths
 from ..sources.trips import scan
 from . import ledger as L
 
@@ -36,8 +38,15 @@ MAX_FILES_PER_TRIGGER = 10
 TRIGGER_SECONDS = 30
 LOAD_THREADS = 5
 MOVE_THREADS = 5
-# A file may be older than those already seen (a move keeps its time) and must not be ignored.
+# Default of ``IngestConfig.max_file_age``. The file source ignores files older than the newest one it has
+# seen by more than this; moved files keep their times, hence the century.
 MAX_FILE_AGE = "36500d"
+# Errors that say nothing about the file at hand: the micro-batch fails and is repeated.
+INFRASTRUCTURE = re.compile(
+    "ExecutorLost|executor .* (lost|exited)|No space left|OutOfMemory|Connection (refused|reset)|FetchFailed"
+    "|SparkContext (was|has been) (stopped|shut|cancelled)|Cannot call methods on a stopped|TimeoutException"
+    "|AccessDenied|Permission denied|UnknownHost"
+)
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -46,6 +55,8 @@ class Sink(Protocol):
 
     def write(self, frame: DataFrame, kind: str, ingest_id: str, part: str) -> None: ...
 
+    def finish(self, spark: SparkSession, ingest_id: str) -> None: ...
+
 
 @dataclass(frozen=True)
 class IngestConfig:
@@ -57,6 +68,7 @@ class IngestConfig:
     sink: Sink
     mode: str = "lenient"
     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER
+    max_file_age: str = MAX_FILE_AGE
     trigger_seconds: int = TRIGGER_SECONDS
 
 
@@ -69,30 +81,40 @@ def _name(path: str) -> str:
 
 
 def _status_of(error: Exception) -> str:
-    expected = (OSError, SchemaValidationError, PySparkException, Py4JError)
+    expected = (SchemaValidationError, PySparkException, Py4JError)
     return L.PROCESSING_ERROR if isinstance(error, expected) else L.UNEXPECTED_ERROR
 
 
+def _about_the_file(error: Exception) -> bool:
+    """Whether a failed load is the file's fault. Lost executors, full disks and the like are not."""
+    if isinstance(error, (BulkLoadError, OSError, Py4JNetworkError)):
+        return False
+    return not INFRASTRUCTURE.search(str(error))
+
+
 def _load(spark: SparkSession, cfg: IngestConfig, kind: str, group: list, ingest_id: str, part: str) -> list[tuple]:
-    """Load files of one schema with one scan. If that fails, load them one by one, so that a
-    bad file fails alone. Returns ``(file, status, started, finished)``."""
+    """Load files of one schema with one scan. If that fails, load each half of them, so that a bad
+    file among many costs a few more jobs and fails alone. Errors that are not about a file are raised.
+    Returns ``(file, status, started, finished, error)``."""
     started = _now()
     try:
         frame = scan(spark, [files.literal(f.path) for f in group], with_origin=True)
         cfg.sink.write(frame, kind, ingest_id, part)
-    except BulkLoadError:
-        raise  # the whole micro-batch is repeated; document ids make that safe
     except Exception as error:
+        if not _about_the_file(error):
+            raise  # the whole micro-batch is repeated, and its files stay where they are
         if len(group) == 1:
             log.error("could not load %s: %s", group[0].path, error)
-            return [(group[0], _status_of(error), started, _now())]
-        log.warning("load of %d %s files failed, trying them one by one", len(group), kind)
-        outcomes = []
-        for i, single in enumerate(group):
-            outcomes += _load(spark, cfg, kind, [single], ingest_id, f"{part}-{i}")
-        return outcomes
+            return [(group[0], _status_of(error), started, _now(), f"{type(error).__name__}: {error}")]
+        log.warning("load of %d %s files failed, trying each half", len(group), kind)
+        half = len(group) // 2
+        return [
+            outcome
+            for i, some in enumerate((group[:half], group[half:]))
+            for outcome in _load(spark, cfg, kind, some, ingest_id, f"{part}-{i}")
+        ]
     finished = _now()
-    return [(f, L.PROCESSED, started, finished) for f in group]
+    return [(f, L.PROCESSED, started, finished, None) for f in group]
 
 
 def ingest_batch(
@@ -117,12 +139,10 @@ def _ingest_files(
 ) -> list[tuple]:
     cfg.sink.reset(spark, ingest_id)
     offered = {r.path: files.FileInfo(r.path, r.length) for r in listing.select("path", "length").collect()}
-    # The file source hides empty files. A micro-batch that held one is not full, so only then is
-    # the folder itself searched for them.
-    empty = []
-    if len(offered) < cfg.max_files_per_trigger:
-        empty = [f for f in files.list_files(spark, cfg.input_dir) if f.length == 0]
-        offered |= {f.path: f for f in empty}
+    # The file source hides empty files. A task lists the folder for them.
+    listed = files.listing_frame(spark, cfg.input_dir)
+    empty = [files.FileInfo(r.path, 0) for r in listed.where("length = 0").collect()]
+    offered |= {f.path: f for f in empty}
     if empty:
         known = L.read_ledger(spark, cfg.ledger_dir)
     else:
@@ -141,17 +161,17 @@ def _ingest_files(
             candidates.append(files.FileInfo(path, 0))
         else:
             at = _now()
-            rows.append((path, name, None, L.NOT_PARQUET, None, batch_id, at, at))
+            rows.append((path, name, None, L.NOT_PARQUET, None, batch_id, at, at, None))
     if not candidates:
         return rows
 
     started = _now()
-    probe = detect_kind(probe_footers(files.file_frame(spark, candidates), len(candidates)), cfg.mode)
+    probe = detect_kind(probe_paths(spark, [f.path for f in candidates]), cfg.mode)
     groups: dict[tuple[str, str], list] = {}
     records = {}
-    for path, kind, shape, count in probe.select("path", "kind", "fingerprint", "num_rows").collect():
+    for path, kind, shape, count, error in probe.select("path", "kind", "fingerprint", "num_rows", "error").collect():
         if kind == "unknown":
-            rows.append((path, _name(path), None, L.SCHEMA_MISMATCH, None, batch_id, started, _now()))
+            rows.append((path, _name(path), None, L.SCHEMA_MISMATCH, None, batch_id, started, _now(), error))
         else:
             groups.setdefault((kind, shape), []).append(files.FileInfo(path, 0))
             records[path] = count
@@ -163,9 +183,10 @@ def _ingest_files(
 
     # The jobs of different groups run side by side; within a group Spark does the spreading.
     with ThreadPoolExecutor(LOAD_THREADS) as pool:
-        for kind, f, status, began, ended in chain.from_iterable(pool.map(load, enumerate(sorted(groups)))):
+        for kind, f, status, began, ended, error in chain.from_iterable(pool.map(load, enumerate(sorted(groups)))):
             count = records[f.path] if status == L.PROCESSED else None
-            rows.append((f.path, _name(f.path), kind, status, count, batch_id, began, ended))
+            rows.append((f.path, _name(f.path), kind, status, count, batch_id, began, ended, error))
+    cfg.sink.finish(spark, ingest_id)
     return rows
 
 
@@ -191,7 +212,7 @@ def move_files(spark: SparkSession, ledger_rows: DataFrame, cfg: IngestConfig) -
 
 def list_pending(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     """Files now in the input folder that the ledger does not know: ``path``, ``length``."""
-    listing = files.file_frame(spark, files.list_files(spark, cfg.input_dir))
+    listing = files.listing_frame(spark, cfg.input_dir)
     return L.pending_files(listing, L.read_ledger(spark, cfg.ledger_dir))
 
 
@@ -202,7 +223,7 @@ def start_ingest(spark: SparkSession, cfg: IngestConfig, available_now: bool = F
         spark.readStream.format("binaryFile")
         .schema(LISTING_SCHEMA)
         .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
-        .option("maxFileAge", MAX_FILE_AGE)
+        .option("maxFileAge", cfg.max_file_age)
         .load(cfg.input_dir)
         .select("path", "length")
     )

@@ -1,4 +1,4 @@
-"""The ingestion ledger: one row per file that was handled, in one folder per micro-batch."""
+"""The ingestion ledger: one row per file that was handled, in one folder per stream and micro-batch."""
 
 from __future__ import annotations
 
@@ -15,8 +15,14 @@ PROCESSING_ERROR = "processing_error"
 UNEXPECTED_ERROR = "unexpected_error"
 
 
+def _query_of(ingest_id: str) -> tuple[str, str]:
+    query, _, batch = ingest_id.rpartition("-")
+    return query or "manual", batch
+
+
 def _batch_dir(ledger_dir: str, ingest_id: str) -> str:
-    return f"{ledger_dir.rstrip('/')}/ingest_id={ingest_id}"
+    query, batch = _query_of(ingest_id)
+    return f"{ledger_dir.rstrip('/')}/query={query}/batch={batch}"
 
 
 def read_ledger(spark: SparkSession, ledger_dir: str) -> DataFrame:
@@ -28,13 +34,13 @@ def read_other_ledgers(spark: SparkSession, ledger_dir: str, ingest_id: str) ->
     """Rows that ingestion with another checkpoint recorded; None when there was no other.
 
     The stream itself never offers a path twice, so a micro-batch need not read back what its
-    own stream has recorded, which would cost more with every batch.
+    own stream has recorded. The driver lists one folder per stream, whatever the number of batches.
     """
-    own = f"ingest_id={ingest_id.rsplit('-', 1)[0]}-"
-    others = [d for d in files.list_dirs(spark, ledger_dir) if not d.rsplit("/", 1)[-1].startswith(own)]
+    own = f"query={_query_of(ingest_id)[0]}"
+    others = [d for d in files.list_dirs(spark, ledger_dir) if d.rsplit("/", 1)[-1] != own]
     if not others:
         return None
-    return spark.read.schema(LEDGER_SCHEMA).parquet(*others)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(*others).select(*LEDGER_SCHEMA.names)
 
 
 def read_batch(spark: SparkSession, ledger_dir: str, ingest_id: str) -> DataFrame | None:
