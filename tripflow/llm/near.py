@@ -22,7 +22,7 @@ TREES = 24
 MAX_DEPTH = 8
 TARGET_RECALL = 0.999
 # Texts are compared in blocks of about so many shingles; a larger group is cut into several.
-BLOCK_SHINGLES = 400_000
+BLOCK_SHINGLES = 100_000
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -211,7 +211,9 @@ def verified_links(docs: DataFrame, signed: DataFrame, groups: DataFrame, width:
         if rows:
             yield block_links(rows)
 
-    laid = blocks.repartition(*key).sortWithinPartitions(*key)
+    # Comparing costs far more than its bytes suggest, so the blocks are not left to be gathered by size.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = blocks.repartition(parts, *key).sortWithinPartitions(*key)
     return laid.mapInArrow(run, "node long, peer long, links long")
 
 
