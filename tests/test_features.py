@@ -11,7 +11,7 @@ from tripflow.plans.testbed import raw_trips, zones
 
 @pytest.fixture
 def two_zones(spark):
-    return spark.createDataFrame([(100, -73.5, 40.5), (200, -74.25, 41.0)], "zone_id int, lon double, lat double")
+    return spark.createDataFrame([(88, -73.5, 40.5), (231, -74.25, 41.0)], "zone_id int, lon double, lat double")
 
 
 def test_zone_lookup(make_trips, two_zones):
@@ -53,10 +53,10 @@ def test_hot_zone_without_broadcast(spark, monkeypatch):
     ],
 )
 def test_feature_table(make_raw, two_zones, geometry, wkt):
-    raw = make_raw("yellow", {"tpep_pickup_datetime": datetime(2024, 1, 15, 10, 30, 0, 123456)})
+    raw = make_raw("yellow", {"tpep_pickup_datetime": datetime(2024, 1, 18, 8, 5, 0, 123456)})
     row = features.to_features(raw, "yellow", two_zones, geometry).first()
     assert (row.geom, row.srid) == (wkt, 4326)
-    assert row.tpep_pickup_datetime == datetime(2024, 1, 15, 10, 30, 0, 123000)
+    assert row.tpep_pickup_datetime == datetime(2024, 1, 18, 8, 5, 0, 123000)
     assert list(row.asDict())[2:] == raw.columns
 
 
@@ -156,7 +156,7 @@ def test_hot_date_is_split(spark, two_zones, make_raw, tmp_path):
         raw = raw.withColumn("tip_amount", F.col("x")).drop("x").repartition(8)
         path = tmp_path / "hot"
         features.write_features(raw, "yellow", str(path))
-        assert len(list(path.glob("pickup_date=2024-01-15/*.parquet"))) > 1
+        assert len(list(path.glob("pickup_date=2024-01-18/*.parquet"))) > 1
         assert spark.read.parquet(str(path)).count() == 60_000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

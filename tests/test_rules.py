@@ -10,7 +10,7 @@ from tripflow.operators.normalize import normalize
 from tripflow.operators.quality import valid_share, violation_report, with_quality
 from tripflow.operators.selection import keep_valid, street_hails
 
-PICKUP = datetime(2024, 1, 15, 10, 30)
+PICKUP = datetime(2024, 1, 18, 8, 5)
 
 
 def checked(df, kind):
@@ -27,7 +27,7 @@ CASES = [
     ("yellow", {"VendorID": None}, "vendor_code"),
     ("yellow", {"tpep_pickup_datetime": None}, "missing_datetime"),
     ("yellow", {"tpep_dropoff_datetime": None}, "missing_datetime"),
-    ("yellow", {"tpep_dropoff_datetime": datetime(2024, 1, 15, 10, 29)}, "dropoff_before_pickup"),
+    ("yellow", {"tpep_dropoff_datetime": datetime(2024, 1, 18, 8, 4)}, "dropoff_before_pickup"),
     ("yellow", {"store_and_fwd_flag": "X"}, "store_and_fwd_flag"),
     ("yellow", {"store_and_fwd_flag": "y"}, "store_and_fwd_flag"),
     ("yellow", {"store_and_fwd_flag": None}, "store_and_fwd_flag"),

@@ -51,7 +51,7 @@ def test_files_of_different_years(spark, make_raw, tmp_path):
     for order in (["new", "old"], ["old", "new"]):
         both = read_yellow(spark, [f"{tmp_path}/{name}" for name in order])
         got = sorted((r.passenger_count, r.airport_fee is None, r.cbd_congestion_fee is None) for r in both.collect())
-        assert got == [(2, False, False), (2, True, True)]
+        assert got == [(3, False, False), (3, True, True)]
 
 
 def test_nested_files_of_any_name(spark, make_raw, tmp_path):
@@ -140,16 +140,16 @@ def test_filter_names_are_checked(make_trips):
 def test_filters(make_trips):
     trips = make_trips("yellow", {}, {"VendorID": 2}, {"fare_amount": None}, {"trip_distance": 50.0})
     assert filter_trips(trips, "yellow", vendor=1).count() == 3
-    assert filter_trips(trips, "yellow", vendor=[1, 2], distance=(5.5, 5.5)).count() == 3
+    assert filter_trips(trips, "yellow", vendor=[1, 2], distance=(7.25, 7.25)).count() == 3
     assert filter_trips(trips, "yellow", fare=(None, 100.0)).count() == 3
-    assert filter_trips(trips, "yellow", pickup_zone=100, dropoff_zone=201).count() == 0
-    at = datetime(2024, 1, 15, 10, 30)
+    assert filter_trips(trips, "yellow", pickup_zone=88, dropoff_zone=232).count() == 0
+    at = datetime(2024, 1, 18, 8, 5)
     assert filter_trips(trips, "yellow", pickup_time=(at, at)).count() == 4
 
 
 def test_expiry(make_trips):
-    trips = make_trips("yellow", {}, {"tpep_pickup_datetime": datetime(2024, 1, 14)}, {"tpep_pickup_datetime": None})
-    as_of = datetime(2024, 2, 14, 10, 30)
+    trips = make_trips("yellow", {}, {"tpep_pickup_datetime": datetime(2024, 1, 17)}, {"tpep_pickup_datetime": None})
+    as_of = datetime(2024, 2, 17, 8, 5)
     assert expire(trips, "tpep_pickup_datetime", as_of).count() == 1
     assert expire(trips, "tpep_pickup_datetime", as_of, days=32).count() == 2
     assert expire(trips, "tpep_pickup_datetime").count() == 0
@@ -159,7 +159,7 @@ def test_documents(spark, make_trips, tmp_path):
     trips = make_trips("yellow", {}, {"passenger_count": None, "trip_distance": None})
     doc = json.loads(documents.to_documents(trips, "yellow").first().doc)
     assert list(doc) == YELLOW.trip_schema.names
-    assert doc["tpep_pickup_datetime"] == "2024-01-15T10:30:00" and doc["VendorID"] == 1
+    assert doc["tpep_pickup_datetime"] == "2024-01-18T08:05:00" and doc["VendorID"] == 1
     derived = json.loads(documents.to_documents(trips, "yellow", include_derived=True).first().doc)
     assert derived["valid"] is True and derived["tripDurationMinutes"] == 45
     assert tuple(documents.round_trip_mismatches(trips, "yellow").first()) == (2, 0)
@@ -171,15 +171,15 @@ def test_documents(spark, make_trips, tmp_path):
 
 
 def test_fractional_seconds_survive(make_trips):
-    trips = make_trips("green", {"lpep_pickup_datetime": datetime(2024, 1, 15, 10, 30, 0, 120)})
+    trips = make_trips("green", {"lpep_pickup_datetime": datetime(2024, 1, 18, 8, 5, 0, 120)})
     assert tuple(documents.round_trip_mismatches(trips, "green").first()) == (1, 0)
 
 
 def test_document_with_unknown_and_missing_fields(spark):
-    doc = json.dumps({"VendorID": 2, "tpep_pickup_datetime": "2024-01-15T10:30", "surprise": [1]})
+    doc = json.dumps({"VendorID": 2, "tpep_pickup_datetime": "2024-01-18T08:05", "surprise": [1]})
     df = spark.createDataFrame([(doc,)], "doc string")
     trip = documents.from_documents(df, "yellow").first()
-    assert (trip.VendorID, trip.tpep_pickup_datetime, trip.fare_amount) == (2, datetime(2024, 1, 15, 10, 30), None)
+    assert (trip.VendorID, trip.tpep_pickup_datetime, trip.fare_amount) == (2, datetime(2024, 1, 18, 8, 5), None)
 
 
 def test_malformed_document(spark):

@@ -54,14 +54,14 @@ def test_route_width(spark):
 
 def test_labels(spark):
     schema = "total_amount double, trip_distance double, passenger_count int"
-    df = spark.createDataFrame([(20.3, 5.5, 2), (7.0, 1.0, 1), (None, 1.0, 1), (7.0, 1.0, None)], schema)
+    df = spark.createDataFrame([(31.6, 7.2, 2), (7.0, 1.0, 1), (None, 1.0, 1), (7.0, 1.0, None)], schema)
     assert [v for (v,) in collect(df, style.trip_label())] == [
-        "$20.3\n5.5 mi\n2 pax",
+        "$31.6\n7.2 mi\n2 pax",
         "$7\n1.0 mi\n1 pax",
         None,
         None,
     ]
-    assert collect(df, style.total_label())[0] == ("20.3",)
+    assert collect(df, style.total_label())[0] == ("31.6",)
 
 
 @pytest.mark.parametrize(
