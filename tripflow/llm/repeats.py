@@ -17,18 +17,31 @@ from .common import fresh, table
 # A line, cut further after a sentence's end, since shared passages are also pasted into lines.
 UNIT = re.compile(r"[^\n.!?]+(?:[.!?]+(?=\s|\Z)|[.!?]+(?=\S)[^\n.!?]*)*")
 WORDS = re.compile(r"[^\W_]+")
-# Shorter units are no evidence of copying and stay.
+# Shorter ones are no evidence of copying and stay.
 MIN_WORDS = 8
 UNIT_TYPE = "array<struct<high: long, low: long, start: int, end: int, again: boolean>>"
 
 
 def text_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[bytes, int, int]]:
-    """(digest, start, end) of the units of at least ``min_words`` words. Case, punctuation and white space
-    don't matter for the digest; offsets are code points of the text as it is."""
+    """(digest, start, end) of the units of a text. Case, punctuation and white space don't matter for the
+    digest; offsets are code points of the text as it is.
+
+    A sentence or line of at least ``min_words`` words is a unit. Shorter sentences that follow each other in
+    a line are put together until they reach that length; what stays shorter is no unit.
+    """
+    pending: list[str] = []
+    start = end = 0
     for m in UNIT.finditer(text):
         words = WORDS.findall(m.group().lower())
-        if len(words) >= min_words:
-            yield hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest(), m.start(), m.end()
+        if pending and (len(words) >= min_words or text.find("\n", end, m.start()) >= 0):
+            pending = []
+        if not pending:
+            start = m.start()
+        pending += words
+        end = m.end()
+        if len(pending) >= min_words:
+            yield hashlib.blake2b(" ".join(pending).encode("utf-8", "surrogatepass"), digest_size=16).digest(), start, end
+            pending = []
 
 
 def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
