@@ -11,7 +11,7 @@ AGGREGATES = {
     "decode_payment", "decode_flag", "fare_band", "route_lines", "route_line_parts", "attribute_stats", "row_counts",
     "json_round_trip", "serialization_rate", "ledger_totals", "status_totals", "ledger_rates", "timer_stats",
     "hourly_trips", "sink_totals", "bulk_chunks", "ingest_directory", "stream_valid_trips", "narrowing_report",
-    "ingest_quarantine", "feature_files", "read_kinds", "sample_files",
+    "ingest_quarantine", "stream_hourly", "feature_files", "read_kinds", "sample_files",
 }
 # Redistribution of a scan of few row groups.
 SPREAD = {"doc_json_fields", "doc_read", "json_round_trip", "serialization_rate", "bulk_chunks"}

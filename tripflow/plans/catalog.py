@@ -643,6 +643,22 @@ def stream_valid_trips(spark, sf_dir):
     return _kept(report, root)
 
 
+def stream_hourly(spark, sf_dir):
+    """Hourly trips by a stream with a 30-day watermark: the windows that it has closed."""
+    root = scratch_dir(spark, "hourly")
+    trip_files(spark, sf_dir, "yellow").write.parquet(f"{root}/in")
+    counts = windowed_counts(stream_trips(spark, f"{root}/in", "yellow"), YELLOW.pickup, "1 hour", by=("VendorID",))
+    query = (
+        counts.writeStream.format("parquet")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start(f"{root}/out")
+    )
+    query.awaitTermination()
+    return _kept(spark.read.schema(counts.schema).parquet(f"{root}/out"), root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -709,6 +725,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ingest_directory,
         ingest_quarantine,
         stream_valid_trips,
+        stream_hourly,
         narrowing_report,
         read_kinds,
         feature_files,

@@ -319,6 +319,9 @@ _SQL = {
         max(us) / 1e6 as max_seconds from ledger group by kind""",
     "hourly_trips": """select time_bucket(interval '1 hour', tpep_pickup_datetime) as window_start, VendorID,
         count(*) as trips from yellow_trips group by 1, 2""",
+    "stream_hourly": """select time_bucket(interval '1 hour', tpep_pickup_datetime) as window_start, VendorID,
+        count(*) as trips from yellow_trips group by 1, 2
+      having window_start + interval 1 hour <= (select max(tpep_pickup_datetime) from yellow_trips) - interval 30 day""",
     "bulk_chunks": """select 'yellowtaxi' as index, count(*) as n_docs, 2 * count(*) as n_lines,
         cast(0 as bigint) as oversized from lineitem
       union all select 'greentaxi', count(*), 2 * count(*), 0 from orders""",
