@@ -128,8 +128,9 @@ def _compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, thresh
     order = np.argsort(codes, kind="stable")
     owners, codes = owners[order], codes[order]
     common = np.zeros((len(left), len(right)), np.float32)
-    step = max(64, (1 << 22) // max(1, len(sets)))
-    for low in range(0, int(shared.sum()), step):
+    n_shared = int(shared.sum())
+    step = min(n_shared, max(64, (1 << 22) // len(sets)))
+    for low in range(0, n_shared, step or 1):
         a, b = np.searchsorted(codes, [low, low + step])
         block = np.zeros((len(sets), step), np.float32)
         block[owners[a:b], codes[a:b] - low] = 1.0
