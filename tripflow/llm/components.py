@@ -19,8 +19,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Every round hooks nodes to the smallest neighbour that they or their neighbours know; stars remain
     after a number of rounds that grows with the logarithm of the longest path. Edges stay distributed
-    and are stored each round; a node with many edges is aggregated by task before it is shuffled, and the
-    join that hands its minimum back can be split.
+    and are stored each round. A node with many edges is aggregated by task before it is shuffled. Its
+    minimum is stored before the join that hands it back, since Spark splits a skewed join only where both
+    sides are shuffled for it.
     """
     edges = checkpointed(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -28,10 +29,10 @@ def components(edges: DataFrame) -> DataFrame:
     before, now = None, _state(edges)
     while now != before:
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        least = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = checkpointed(large)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = checkpointed(small.union(least.select("u", F.col("m").alias("v"))).distinct())
         before, now = now, _state(edges)

@@ -110,10 +110,10 @@ def signatures(docs: DataFrame, width: int, trees: int, depth: int) -> DataFrame
 def candidate_groups(signed: DataFrame) -> DataFrame:
     """``node, root``: nodes connected through shared prefixes. Nodes that share none are left out."""
     prefixes = signed.where("node is not null").select("node", F.explode("labels").alias("label"))
-    buckets = (
-        prefixes.groupBy("label").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    )
-    return components(prefixes.join(buckets.drop("most"), "label").select(F.col("node").alias("u"), F.col("least").alias("v")))
+    ends = prefixes.groupBy("label").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    # Stored, so that the join is shuffled on both sides and Spark can split a prefix that most texts share.
+    buckets = checkpointed(ends.where("least < most").drop("most"))
+    return components(prefixes.join(buckets, "label").select(F.col("node").alias("u"), F.col("least").alias("v")))
 
 
 def _compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
@@ -172,7 +172,7 @@ def verified_links(docs: DataFrame, signed: DataFrame, groups: DataFrame, width:
     )
     members = checkpointed(groups.join(named, "node"))
     cuts = members.groupBy("root").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("cuts"))
-    members = members.join(cuts, "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
+    members = members.join(checkpointed(cuts), "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     with_text = texts.join(
         members, texts["doc_id"].eqNullSafe(members["rep_id"]) & (texts["text_hash"] == members["rep_hash"])
@@ -249,7 +249,7 @@ def near_duplicates(
         .select("node", "copies", "least_id", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("class_root"))
     )
     per_node = checkpointed(per_node)
-    classes = per_node.groupBy("class_root").agg(F.min("least_id").alias("class_id"))
+    classes = checkpointed(per_node.groupBy("class_root").agg(F.min("least_id").alias("class_id")))
     known = per_node.join(classes, "class_root").select(
         "node", "class_root", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links")
     )
@@ -269,8 +269,8 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     class without any id keeps one of its rows. Null and empty texts all stay.
     """
     hashed, turn = fresh(docs, "text_hash", "turn")
-    found = near_duplicates(docs, **options).where("class_root is not null")
-    first = found.groupBy("class_root").agg(F.min("doc_id").alias("keep_id"))
+    found = checkpointed(near_duplicates(docs, **options).where("class_root is not null"))
+    first = checkpointed(found.groupBy("class_root").agg(F.min("doc_id").alias("keep_id")))
     keepers = (
         found.join(first, "class_root")
         .where(F.col("doc_id").eqNullSafe(F.col("keep_id")))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import arrow
-from .common import fresh, table
+from .common import checkpointed, fresh, table
 
 # A line, cut further after a sentence's end, since shared passages are also pasted into lines.
 UNIT = re.compile(r"[^\n.!?]+(?:[.!?]+(?=\s|\Z)|[.!?]+(?=\S)[^\n.!?]*)*")
@@ -87,8 +87,8 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Every unit that an earlier document has, or an earlier place of the same text. Rows equal in id and text
     count as one document, so their units are removed from all or none of them. Digests are grouped after
-    a partial aggregation; a unit that a third of all documents share is one row per task there, and its
-    occurrences meet that row in an outer-free join that Spark can split.
+    a partial aggregation; a unit that a third of all documents share is one row per task there. The shared
+    digests are stored, so that the join with the occurrences is shuffled on both sides and Spark can split it.
     """
     found = units(docs.select("doc_id", "text"), min_words)
     shared = (
@@ -98,7 +98,7 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .select("high", "low", "first_rank")
     )
     return (
-        found.join(shared, ["high", "low"])
+        found.join(checkpointed(shared), ["high", "low"])
         .where((F.col("rank") > F.col("first_rank")) | F.col("again"))
         .select("doc_id", "rank", "start", "end", "first_rank")
     )
