@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Count and order-free digest of the edges; what a round leaves unchanged is final."""
-    digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    return tuple(edges.agg(F.count(F.lit(1)), digest).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and none that has one has a larger one too."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("smaller"), F.lit(0).alias("larger")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    counts = ends.groupBy("node").agg(F.sum("smaller").alias("smaller"), F.max("larger").alias("larger"))
+    return counts.where((F.col("smaller") > 1) | ((F.col("smaller") > 0) & (F.col("larger") > 0))).isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,8 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = checkpointed(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
-    before, now = None, _state(edges)
-    while now != before:
+    while not _stars(edges):
         both = edges.union(edges.select("v", "u"))
         least = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -35,6 +37,5 @@ def components(edges: DataFrame) -> DataFrame:
         least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = checkpointed(small.union(least.select("u", F.col("m").alias("v"))).distinct())
-        before, now = now, _state(edges)
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
