@@ -124,3 +124,35 @@ def test_hot_line_and_empty_table(spark):
     found = repeats.repeated_units(docs)
     assert found.count() == 2999 and found.where("first_rank <> 0").count() == 0
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_pasted_passages_against_a_search_for_them(spark):
+    """Whole passages are found wherever in a line they are pasted; the search knows sentences, not units."""
+    rng = random.Random(10)
+
+    def sentence(n):
+        return " ".join(f"w{rng.randrange(10**9)}" for _ in range(n)) + "."
+
+    rows, want = [], {}
+    lengths = [[6] * 12, [4, 10] * 5, [10, 4] * 5, [3, 5, 9, 1, 1, 20, 2], *([rng.randrange(1, 12) for _ in range(9)] + [8] for _ in range(20))]
+    for k, lens in enumerate(lengths):
+        passage = " ".join(map(sentence, lens))
+        rows.append((2 * k, f"{passage} {sentence(3)}", "x"))
+        front = " ".join(sentence(n) for n in rng.choice([[5], [2, 2], [9], [5, 1]]))
+        rows.append((2 * k + 1, f"{front} {passage} {sentence(4)}", "x"))
+        want[2 * k + 1] = set(range(len(front) + 1, len(front) + 1 + len(passage)))
+    docs = spark.createDataFrame(rows, DOCS)
+    texts = {r[0]: r[1] for r in rows}
+    got = {}
+    for r in repeats.repeated_units(docs).collect():
+        got.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    assert {d: {i for i in s if texts[d][i] != " "} for d, s in got.items()} == {
+        d: {i for i in s if texts[d][i] != " "} for d, s in want.items()
+    }
+
+
+def test_overlapping_repeats_of_one_text_leave_the_first(spark):
+    text = "No no no. " * 4 + "\n" + "No no no. " * 3
+    docs = spark.createDataFrame([(1, text, "x"), (2, "So it is. " + "No no no. " * 4, "x")], DOCS)
+    found = {r["doc_id"]: r["text"].split() for r in repeats.remove_repeats(docs).collect()}
+    assert found == {1: ("No no no. " * 4).split(), 2: "So it is.".split()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -19,49 +20,67 @@ UNIT = re.compile(r"[^\n.!?]+(?:[.!?]+(?=\s|\Z)|[.!?]+(?=\S)[^\n.!?]*)*")
 WORDS = re.compile(r"[^\W_]+")
 # Shorter ones are no evidence of copying and stay.
 MIN_WORDS = 8
-UNIT_TYPE = "array<struct<high: long, low: long, start: int, end: int, again: boolean>>"
+UNIT_TYPE = "array<struct<high: long, low: long, start: int, end: int, cut_from: int, again: boolean>>"
+
+
+def _spans(text: str, min_words: int) -> Iterator[tuple[bytes, int, int, int]]:
+    """The units of ``text_units``, and the start of the last sentence where that alone is long enough, else of the unit."""
+    line: list[tuple[list[str], int, int]] = []  # (words, start, end) of the sentences of a line
+    end = 0
+    for m in itertools.chain(UNIT.finditer(text), [None]):
+        words = WORDS.findall(m.group().lower()) if m else []
+        if m and not words:
+            continue
+        if line and (m is None or text.find("\n", end, m.start()) >= 0):
+            yield from _line_spans(line, min_words)
+            line = []
+        if m:
+            line.append((words, m.start(), m.end()))
+            end = m.end()
+
+
+def _line_spans(line: list[tuple[list[str], int, int]], min_words: int) -> Iterator[tuple[bytes, int, int, int]]:
+    ends = np.cumsum([0] + [len(words) for words, _, _ in line])
+    # The shortest run of at least ``min_words`` words from each sentence on, and up to each sentence.
+    lasts = np.searchsorted(ends, ends[:-1] + min_words).tolist()
+    firsts = (np.searchsorted(ends, ends[1:] - min_words, side="right") - 1).tolist()
+    runs = {(i, j) for i, j in enumerate(lasts) if j <= len(line)} | {(i, j + 1) for j, i in enumerate(firsts) if i >= 0}
+    for i, j in sorted(runs):
+        words = [w for sentence, _, _ in line[i:j] for w in sentence]
+        digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        yield digest, line[i][1], line[j - 1][2], line[j - 1 if len(line[j - 1][0]) >= min_words else i][1]
 
 
 def text_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[bytes, int, int]]:
     """(digest, start, end) of the units of a text. Case, punctuation and white space don't matter for the
     digest; offsets are code points of the text as it is.
 
-    A sentence or line of at least ``min_words`` words is a unit. Shorter sentences that follow each other in
-    a line are put together until they reach that length; what stays shorter is no unit.
+    Each sentence of a line with as many of the following ones as reach ``min_words`` words is a unit, and so
+    is each with as many of those before it. Units overlap, and what is one doesn't depend on the text around
+    it: a passage of whole sentences has the same units wherever it is pasted.
     """
-    pending: list[str] = []
-    start = end = 0
-    for m in UNIT.finditer(text):
-        words = WORDS.findall(m.group().lower())
-        if pending and (len(words) >= min_words or text.find("\n", end, m.start()) >= 0):
-            pending = []
-        if not pending:
-            start = m.start()
-        pending += words
-        end = m.end()
-        if len(pending) >= min_words:
-            yield hashlib.blake2b(" ".join(pending).encode("utf-8", "surrogatepass"), digest_size=16).digest(), start, end
-            pending = []
+    for digest, start, end, _ in _spans(text, min_words):
+        yield digest, start, end
 
 
 def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per unit: ``doc_id, rank, high, low, start, end, again``. ``again``: an earlier unit of the
-    same text is equal. ``rank`` orders documents: by id, those without one after the others by text hash."""
+    """One row per unit: ``doc_id, rank, high, low, start, end, cut_from, again``. ``again``: an equal
+    unit of the same text ends before it. ``rank`` orders documents: by id, those without one after the others by text hash."""
 
     @F.arrow_udf(UNIT_TYPE)
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            digests, starts, ends, again, counts = [], [], [], [], []
+            digests, starts, ends, cuts, again, counts = [], [], [], [], [], []
             for _, block in arrow.slices(batch):
                 for text in block.to_pylist():
-                    seen: set[bytes] = set()
+                    seen: dict[bytes, int] = {}  # end of the first one
                     before = len(digests)
-                    for digest, start, end in text_units(text, min_words):
+                    for digest, start, end, cut_from in _spans(text, min_words):
                         digests.append(digest)
                         starts.append(start)
                         ends.append(end)
-                        again.append(digest in seen)
-                        seen.add(digest)
+                        cuts.append(cut_from)
+                        again.append(seen.setdefault(digest, end) <= start)
                     counts.append(len(digests) - before)
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             rows = pa.StructArray.from_arrays(
@@ -70,9 +89,10 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     pa.array(halves[:, 1]),
                     pa.array(starts, pa.int32()),
                     pa.array(ends, pa.int32()),
+                    pa.array(cuts, pa.int32()),
                     pa.array(again, pa.bool_()),
                 ],
-                ["high", "low", "start", "end", "again"],
+                ["high", "low", "start", "end", "cut_from", "again"],
             )
             offsets = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(offsets), rows)
@@ -83,7 +103,8 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The units to remove: ``doc_id, rank, start, end, first_rank`` with the rank of the document that keeps it.
+    """The units to remove: ``doc_id, rank, start, end, cut_from, first_rank`` with the rank of the document
+    that keeps it.
 
     Every unit that an earlier document has, or an earlier place of the same text. Rows equal in id and text
     count as one document, so their units are removed from all or none of them. Digests are grouped after
@@ -100,10 +121,27 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return (
         found.join(checkpointed(shared), ["high", "low"])
         .where((F.col("rank") > F.col("first_rank")) | F.col("again"))
-        .select("doc_id", "rank", "start", "end", "first_rank")
+        .select("doc_id", "rank", "start", "end", "cut_from", "first_rank")
     )
 
 
+def _merged(spans: Column) -> Column:
+    @F.arrow_udf("array<struct<start: int, end: int>>")
+    def merged(lists: pa.Array) -> pa.Array:
+        out = []
+        for spans in lists.to_pylist():
+            joined: list[dict] = []
+            for s in sorted(spans, key=lambda s: (s["start"], s["end"])):
+                if joined and s["start"] <= joined[-1]["end"]:
+                    joined[-1]["end"] = max(joined[-1]["end"], s["end"])
+                else:
+                    joined.append(s)
+            out.append(joined)
+        return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+
+    return merged(spans)
+
+
 def _cut(text: Column, spans: Column) -> Column:
     @F.arrow_udf("string")
     def cut(texts: pa.Array, removed: pa.Array) -> pa.Array:
@@ -122,15 +160,17 @@ def _cut(text: Column, spans: Column) -> Column:
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with repeated units cut out of ``text``, and ``removed``: their (start, end) in the original.
+    """``docs`` with repeated units cut out of ``text``, and ``removed``: their (start, end) in the original,
+    merged where they overlap or touch. Short sentences before the first long one of a repeated passage stay.
 
     Null and empty texts stay as they are, with null ``removed``, as do texts without repeats. Other columns
     pass through; an existing ``removed`` is replaced.
     """
     docs = docs.drop("removed")
     hashed, rank, spans = fresh(docs, "rank_hash", "span_rank", "spans")
-    removed = repeated_units(docs, min_words).dropDuplicates(["rank", "start"])
-    by_doc = removed.groupBy(F.col("rank").alias(rank)).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(spans))
+    removed = repeated_units(docs, min_words)
+    found = F.collect_set(F.struct(F.col("cut_from").alias("start"), "end"))
+    by_doc = removed.groupBy(F.col("rank").alias(rank)).agg(_merged(found).alias(spans))
     unnamed = F.lit(2**62) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), 2)
     joined = docs.withColumn(hashed, F.coalesce(F.col("doc_id"), unnamed)).join(by_doc, F.col(hashed) == F.col(rank), "left")
     cut = joined.withColumn("text", _cut(F.col("text"), F.col(spans)))
