@@ -156,3 +156,10 @@ def test_overlapping_repeats_of_one_text_leave_the_first(spark):
     docs = spark.createDataFrame([(1, text, "x"), (2, "So it is. " + "No no no. " * 4, "x")], DOCS)
     found = {r["doc_id"]: r["text"].split() for r in repeats.remove_repeats(docs).collect()}
     assert found == {1: ("No no no. " * 4).split(), 2: "So it is.".split()}
+
+
+def test_rows_of_one_id_with_different_texts_are_documents_of_their_own(spark):
+    line = "both rows of this id hold this very line of words"
+    docs = spark.createDataFrame([(1, f"a\n{line}", "x"), (1, f"b\n{line}", "x"), (2, f"b\n{line}", "x"), (2, f"b\n{line}", "y")], DOCS)
+    kept = sorted(r["text"] for r in repeats.remove_repeats(docs).collect())
+    assert [t.endswith(line) for t in kept].count(True) == 1 and len(kept) == 4

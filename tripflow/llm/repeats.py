@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import itertools
 import re
 from collections.abc import Iterator
 
@@ -23,32 +22,43 @@ MIN_WORDS = 8
 UNIT_TYPE = "array<struct<high: long, low: long, start: int, end: int, cut_from: int, again: boolean>>"
 
 
-def _spans(text: str, min_words: int) -> Iterator[tuple[bytes, int, int, int]]:
+def _spans(text: str, min_words: int) -> list[tuple[bytes, int, int, int]]:
     """The units of ``text_units``, and the start of the last sentence where that alone is long enough, else of the unit."""
-    line: list[tuple[list[str], int, int]] = []  # (words, start, end) of the sentences of a line
+    out: list[tuple[bytes, int, int, int]] = []
+    line: list[tuple[bytes, int, int, int]] = []  # (words, their number, start, end) of the sentences of a line
     end = 0
-    for m in itertools.chain(UNIT.finditer(text), [None]):
-        words = WORDS.findall(m.group().lower()) if m else []
-        if m and not words:
-            continue
-        if line and (m is None or text.find("\n", end, m.start()) >= 0):
-            yield from _line_spans(line, min_words)
-            line = []
-        if m:
-            line.append((words, m.start(), m.end()))
+    for m in UNIT.finditer(text):
+        words = WORDS.findall(m.group().lower())
+        if words:
+            start = m.start()
+            if line and text.find("\n", end, start) >= 0:
+                _line_spans(line, min_words, out)
+                line = []
             end = m.end()
+            line.append((" ".join(words).encode("utf-8", "surrogatepass"), len(words), start, end))
+    _line_spans(line, min_words, out)
+    return out
 
 
-def _line_spans(line: list[tuple[list[str], int, int]], min_words: int) -> Iterator[tuple[bytes, int, int, int]]:
-    ends = np.cumsum([0] + [len(words) for words, _, _ in line])
-    # The shortest run of at least ``min_words`` words from each sentence on, and up to each sentence.
-    lasts = np.searchsorted(ends, ends[:-1] + min_words).tolist()
-    firsts = (np.searchsorted(ends, ends[1:] - min_words, side="right") - 1).tolist()
-    runs = {(i, j) for i, j in enumerate(lasts) if j <= len(line)} | {(i, j + 1) for j, i in enumerate(firsts) if i >= 0}
-    for i, j in sorted(runs):
-        words = [w for sentence, _, _ in line[i:j] for w in sentence]
-        digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-        yield digest, line[i][1], line[j - 1][2], line[j - 1 if len(line[j - 1][0]) >= min_words else i][1]
+def _line_spans(line: list[tuple[bytes, int, int, int]], min_words: int, out: list[tuple[bytes, int, int, int]]) -> None:
+    """The shortest run of at least ``min_words`` words from each sentence on, and up to each sentence."""
+    first = total = 0
+    for j, (_, n, _, _) in enumerate(line):
+        total += n
+        if total < min_words:
+            continue
+        # Runs that end here: those that only this sentence makes long enough, and the shortest one.
+        before = total - n
+        while total >= min_words:
+            if before < min_words or total - line[first][1] < min_words:
+                words = line[j][0] if first == j else b" ".join([s[0] for s in line[first : j + 1]])
+                digest = hashlib.blake2b(words, digest_size=16).digest()
+                out.append((digest, line[first][2], line[j][3], line[j if n >= min_words else first][2]))
+            if total - line[first][1] < min_words:
+                break
+            total -= line[first][1]
+            before -= line[first][1]
+            first += 1
 
 
 def text_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[bytes, int, int]]:
@@ -64,8 +74,9 @@ def text_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[bytes, i
 
 
 def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per unit: ``doc_id, rank, high, low, start, end, cut_from, again``. ``again``: an equal
-    unit of the same text ends before it. ``rank`` orders documents: by id, those without one after the others by text hash."""
+    """One row per unit: ``doc_id, rank, text_hash, high, low, start, end, cut_from, again``. ``again``: an
+    equal unit of the same text ends before it. ``rank`` and ``text_hash`` order documents: by id, those without
+    one after the others, by text hash among equals."""
 
     @F.arrow_udf(UNIT_TYPE)
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -98,13 +109,14 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             yield pa.ListArray.from_arrays(pa.array(offsets), rows)
 
     unnamed = F.lit(2**62) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), 2)
-    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id"), unnamed).alias("rank"), found("text").alias("units"))
-    return keyed.select("doc_id", "rank", F.explode("units").alias("u")).select("doc_id", "rank", "u.*")
+    rank = F.coalesce(F.col("doc_id"), unnamed).alias("rank")
+    keyed = docs.select("doc_id", rank, F.xxhash64("text").alias("text_hash"), found("text").alias("units"))
+    return keyed.select("doc_id", "rank", "text_hash", F.explode("units").alias("u")).select("doc_id", "rank", "text_hash", "u.*")
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The units to remove: ``doc_id, rank, start, end, cut_from, first_rank`` with the rank of the document
-    that keeps it.
+    """The units to remove: ``doc_id, rank, text_hash, start, end, cut_from, first_rank`` with the rank of
+    the document that keeps it.
 
     Every unit that an earlier document has, or an earlier place of the same text. Rows equal in id and text
     count as one document, so their units are removed from all or none of them. Digests are grouped after
@@ -112,16 +124,17 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     digests are stored, so that the join with the occurrences is shuffled on both sides and Spark can split it.
     """
     found = units(docs.select("doc_id", "text"), min_words)
+    place = F.struct("rank", "text_hash")
     shared = (
         found.groupBy("high", "low")
-        .agg(F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"), F.max("again").alias("any_again"))
-        .where((F.col("first_rank") < F.col("last_rank")) | F.col("any_again"))
-        .select("high", "low", "first_rank")
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.max("again").alias("any_again"))
+        .where((F.col("first") < F.col("last")) | F.col("any_again"))
+        .select("high", "low", F.col("first.rank").alias("first_rank"), F.col("first.text_hash").alias("first_hash"))
     )
     return (
         found.join(checkpointed(shared), ["high", "low"])
-        .where((F.col("rank") > F.col("first_rank")) | F.col("again"))
-        .select("doc_id", "rank", "start", "end", "cut_from", "first_rank")
+        .where((place > F.struct("first_rank", "first_hash")) | F.col("again"))
+        .select("doc_id", "rank", "text_hash", "start", "end", "cut_from", "first_rank")
     )
 
 
@@ -167,12 +180,13 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     pass through; an existing ``removed`` is replaced.
     """
     docs = docs.drop("removed")
-    hashed, rank, spans = fresh(docs, "rank_hash", "span_rank", "spans")
+    hashed, text_hash, rank, span_hash, spans = fresh(docs, "rank_hash", "text_hash", "span_rank", "span_hash", "spans")
     removed = repeated_units(docs, min_words)
     found = F.collect_set(F.struct(F.col("cut_from").alias("start"), "end"))
-    by_doc = removed.groupBy(F.col("rank").alias(rank)).agg(_merged(found).alias(spans))
+    by_doc = removed.groupBy(F.col("rank").alias(rank), F.col("text_hash").alias(span_hash)).agg(_merged(found).alias(spans))
     unnamed = F.lit(2**62) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), 2)
-    joined = docs.withColumn(hashed, F.coalesce(F.col("doc_id"), unnamed)).join(by_doc, F.col(hashed) == F.col(rank), "left")
+    keyed = docs.withColumn(hashed, F.coalesce(F.col("doc_id"), unnamed)).withColumn(text_hash, F.xxhash64("text"))
+    joined = keyed.join(by_doc, (F.col(hashed) == F.col(rank)) & (F.col(text_hash) == F.col(span_hash)), "left")
     cut = joined.withColumn("text", _cut(F.col("text"), F.col(spans)))
     return cut.select(*docs.columns, F.col(spans).alias("removed"))
 
