@@ -163,3 +163,10 @@ def test_rows_of_one_id_with_different_texts_are_documents_of_their_own(spark):
     docs = spark.createDataFrame([(1, f"a\n{line}", "x"), (1, f"b\n{line}", "x"), (2, f"b\n{line}", "x"), (2, f"b\n{line}", "y")], DOCS)
     kept = sorted(r["text"] for r in repeats.remove_repeats(docs).collect())
     assert [t.endswith(line) for t in kept].count(True) == 1 and len(kept) == 4
+
+
+def test_items_rich_in_slots_match_when_copied(spark):
+    short = "Compute 12 + 35 - 4 * 7 + 9"
+    table = "Add " + ", ".join(f"{n} and {n * n} and" for n in range(11, 40)) + " nothing"
+    found = leaks(spark, [f"Now: {short} please", f"see {table}", short.replace("9", "8"), " ".join(map(str, range(60)))], [short, table])
+    assert set(found) == {(0, 0), (1, 1), (2, 0)} and found[2, 0] and not found[0, 0]
