@@ -170,3 +170,14 @@ def test_items_rich_in_slots_match_when_copied(spark):
     table = "Add " + ", ".join(f"{n} and {n * n} and" for n in range(11, 40)) + " nothing"
     found = leaks(spark, [f"Now: {short} please", f"see {table}", short.replace("9", "8"), " ".join(map(str, range(60)))], [short, table])
     assert set(found) == {(0, 0), (1, 1), (2, 0)} and found[2, 0] and not found[0, 0]
+
+
+def test_one_contradiction_spoils_its_own_windows_only(spark):
+    rng = random.Random(11)
+    words = [f"word{rng.randrange(10**6)}x" for _ in range(200)]
+    for at, word in ((5, "Anna"), (120, "Anna"), (60, "17"), (180, "17")):
+        words[at] = word
+    typo = [*words[:120], "Ana", *words[121:]]
+    edit = [*words[:180], "18", *words[181:]]
+    found = leaks(spark, [" ".join(typo), " ".join(edit)], [" ".join(words)])
+    assert set(found) == {(0, 0), (1, 0)} and not any(found.values())

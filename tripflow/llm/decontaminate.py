@@ -282,7 +282,8 @@ def counted(item: tuple[list, list, list], doc: tuple[list, list, list], lead: i
             key[p], value[p] = (slot, ours), theirs
             slots.setdefault(key[p], Counter())[theirs] += 1
     contradicted = sum(len(c) > 1 for c in slots.values())
-    trusted = not contradicted
+    held = sum(len(c) == 1 and c.total() > 1 for c in slots.values())
+    trusted = contradicted == 0 or held > contradicted
     covered, changed = {p for run in _runs(equal, least) for p in run}, False
     if trusted:
         kept = {k: c.most_common(1)[0][0] for k, c in slots.items()}
@@ -306,7 +307,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     Windows of documents and items are joined by hash; each document, item and shift that match somewhere are
     one alignment, whose tokens are then compared. Windows that are equal in all values count always. Others
     count if their template is the item's and each slot value of the item stands for one value of the document,
-    throughout;
+    apart from a minority of slots, whose rarer values no window may hold;
     half of a window's tokens must be equal or repeat a slot, in the window or in one linked to it by others
     that match. The windows of all alignments must cover ``coverage`` of the item's tokens. ``changed``: some
     slot has another value than in the item. Items of fewer than four tokens match documents that are nothing
