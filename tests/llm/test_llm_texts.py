@@ -181,3 +181,10 @@ def test_one_contradiction_spoils_its_own_windows_only(spark):
     edit = [*words[:180], "18", *words[181:]]
     found = leaks(spark, [" ".join(typo), " ".join(edit)], [" ".join(words)])
     assert set(found) == {(0, 0), (1, 0)} and not any(found.values())
+
+
+def test_what_stands_before_a_copy_does_not_matter(spark):
+    items = ["What is the capital of France?", "Minutes per working day", "Say yes", "Paris"]
+    docs = ["Question What is the capital of France?", "Geography\nWhat is the capital of France?", "5 Minutes per working day", "say yes!", "They say yes", "Paris"]
+    found = leaks(spark, docs, items)
+    assert set(found) == {(0, 0), (1, 0), (2, 1), (3, 2), (5, 3)} and not any(found.values())

@@ -115,8 +115,9 @@ class Templates:
             whole = np.flatnonzero(inside & (self.counts[self.rows[:n]] == length))
             return whole, _mixed([self.exact[whole + i] for i in range(length)], length)
         firsts, hashes = [], []
-        for kinds in (self.kinds,):
-            head = kinds
+        for kinds in (self.kinds, self.titled):
+            # The first token of a window has nothing before it: no unit, and by sentence no name.
+            head = np.where((kinds == UNIT) | ((kinds == NAME) & (kinds is self.kinds)), LITERAL, kinds)
             literal = np.zeros(n, np.int8)
             for i in range(length):
                 literal += (kinds if i else head)[i : i + n] == LITERAL
