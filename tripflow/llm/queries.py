@@ -12,6 +12,7 @@ from .repeats import op9_substring_dedup
 from .rules import op6_quality_rules
 from .secrets import op3_secrets
 from .sharding import op8_sharding
+from .tokens import op11_token_blocks
 
 QUERIES = {
     "op1_mixing": op1_mixing,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_licenses": op10_licenses,
+    "op11_token_blocks": op11_token_blocks,
 }
 
 ORACLE: dict[str, str] = {}
