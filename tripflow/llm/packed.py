@@ -29,10 +29,12 @@ def _bit_lengths(values: np.ndarray) -> np.ndarray:
     return np.frexp(values.astype(np.float64))[1].astype(np.int64)
 
 
-def _low_bits(low: np.ndarray, width: int) -> np.ndarray:
+def _low_bits(values: np.ndarray, width: int) -> np.ndarray:
     """The low ``width`` bits of each row's values, packed row by row."""
-    bits = (low[:, :, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-    return np.packbits(bits.astype(np.uint8).reshape(len(low), -1), axis=1, bitorder="little")
+    size = 2 if width <= 16 else 4
+    whole = np.ascontiguousarray(values.astype(f"<u{size}")).ravel().view(np.uint8)
+    bits = np.unpackbits(whole, bitorder="little").reshape(*values.shape, 8 * size)[:, :, :width]
+    return np.packbits(bits.reshape(len(values), -1), axis=1, bitorder="little")
 
 
 def pack_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> list[bytes]:
@@ -54,15 +56,14 @@ def pack_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> list[bytes]:
             rows = np.flatnonzero(widths == width)
             for row, bits in zip(rows, _low_bits(above[rows], int(width)), strict=True):
                 packed[row] = bits.tobytes()
-        high = above.astype(np.uint64) >> widths.astype(np.uint64)[:, None]
+        high = np.where(widths < 32, above.T >> np.minimum(widths, 31).astype(np.uint32), 0).T
+        rows, places = np.nonzero(high)
+        exceptions, places = high[rows, places].astype("<u4"), places.astype("<u2")
+        ends = np.searchsorted(rows, np.arange(len(part) + 1))
         for row in range(len(part)):
-            at = np.flatnonzero(high[row])
-            out.append(
-                struct.pack(BLOCK_HEADER, int(least[row]), n, len(at), int(widths[row]))
-                + packed[row]
-                + at.astype("<u2").tobytes()
-                + high[row, at].astype("<u4").tobytes()
-            )
+            here = slice(ends[row], ends[row + 1])
+            head = struct.pack(BLOCK_HEADER, int(least[row]), n, here.stop - here.start, int(widths[row]))
+            out.append(head + packed[row] + places[here].tobytes() + exceptions[here].tobytes())
     return out
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ END_ID = 0
 PART_BYTES = 48 << 20
 FILE_IDS = 1 << 21
 # Different pieces whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 
 _IMAGES = "image binary"
 _DOCUMENTS = "part int, number int, place int, doc_id long, ids binary"
@@ -74,6 +76,10 @@ def piece_starts(data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+# Pieces that are surely one match of the pattern, with a space in front: letters up to U+024F only.
+ONE_WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ɏ]+")
+
+
 class Encoder:
     """Ids of texts by a tokenizer file. Pieces between safe cuts are encoded once and remembered."""
 
@@ -86,8 +92,29 @@ class Encoder:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.bounds = np.zeros(REMEMBERED + 1, np.int64)
+        # Ids of the remembered pieces one after the other, and where each one's start.
+        self.flat, self.bounds = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int32)
+
+    def _store(self, ids: np.ndarray, sizes: np.ndarray, at: int) -> None:
+        start, stop = int(self.bounds[at]), int(self.bounds[at]) + len(ids)
+        while stop > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while at + len(sizes) >= len(self.bounds):
+            self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
+        self.flat[start:stop] = ids
+        self.bounds[at + 1 : at + 1 + len(sizes)] = start + np.cumsum(sizes)
+
+    def _encode(self, pieces: list[str], joined: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per piece). Words with a space in front can be encoded as one text: none joins the next."""
+        if joined:
+            found = self.tokenizer.encode("".join(pieces), add_special_tokens=False)
+            sizes = np.bincount(found.word_ids, minlength=len(pieces))
+            if len(sizes) != len(pieces):
+                raise ValueError("the tokenizer does not split at spaces")
+            return np.array(found.ids, np.int32), sizes
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
 
     def _remember(self, pieces: list[str]) -> np.ndarray:
         """The numbers of the pieces; new ones are encoded first."""
@@ -95,41 +122,36 @@ class Encoder:
         if len(self.known) + len(new) > REMEMBERED:
             self.forget()
             new = pieces
-            if len(new) >= len(self.bounds):
-                self.bounds = np.zeros(len(new) + 1, np.int64)
-        at = len(self.known)
-        for lot in range(0, len(new), 4096):
-            found = self.tokenizer.encode_batch_fast(new[lot : lot + 4096], add_special_tokens=False)
-            ids = [e.ids for e in found]
-            ends = self.bounds[at] + np.cumsum([len(i) for i in ids])
-            while ends[-1] > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.bounds[at] : ends[-1]] = [i for one in ids for i in one]
-            self.bounds[at + 1 : at + 1 + len(ids)] = ends
-            at += len(ids)
-        self.known.update(zip(new, range(len(self.known), at), strict=True))
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        words = [p for p in new if ONE_WORD.fullmatch(p)]
+        others = [p for p in new if not ONE_WORD.fullmatch(p)]
+        for some, joined in ((words, True), (others, False)):
+            for first in range(0, len(some), 2048):
+                lot = some[first : first + 2048]
+                self._store(*self._encode(lot, joined), len(self.known))
+                self.known.update(zip(lot, range(len(self.known), len(self.known) + len(lot)), strict=True))
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int32, len(pieces))
 
     def ids(self, texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text) of large strings; ``end`` is appended to each text if given."""
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-        text_starts = offsets[:-1] - offsets[0]
-        cuts = piece_starts(data, text_starts)
+        starts = offsets[:-1] - offsets[0]
+        cuts = piece_starts(data, starts)
         bounds = pa.py_buffer(np.append(cuts, len(data)).astype(np.int64))
         pieces = pa.LargeStringArray.from_buffers(len(cuts), bounds, pa.py_buffer(np.ascontiguousarray(data)))
         coded = pieces.dictionary_encode()
-        numbers = self._remember(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
-        sizes = self.bounds[numbers + 1] - self.bounds[numbers]
-        # Ids of the pieces one after the other: each id's place is its piece's start and its place in the piece.
-        stops = np.cumsum(sizes)
-        flat = self.flat[np.repeat(self.bounds[numbers] - (stops - sizes), sizes) + np.arange(stops[-1] if len(stops) else 0)]
-        of_text = np.searchsorted(text_starts, cuts, side="right") - 1
+        numbers = self._remember(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy(zero_copy_only=False)]
+        sizes = np.diff(self.bounds)[numbers]
+        of_text = np.searchsorted(starts, cuts, side="right") - 1
         counts = np.bincount(of_text, sizes, len(texts)).astype(np.int64) if len(cuts) else np.zeros(len(texts), np.int64)
-        if end is not None:
-            flat = np.insert(flat, np.cumsum(counts), np.uint32(end))
+        used = self.bounds[: len(self.known) + 1]
+        flat, bounds = self.flat, used
+        if end is not None:  # one more remembered piece, behind the last one of each text
+            flat, bounds = np.append(flat[: used[-1]], np.int32(end)), np.append(used, used[-1] + 1)
+            numbers = np.insert(numbers, np.searchsorted(cuts, np.append(starts[1:], len(data))), np.int32(len(self.known)))
             counts = counts + 1
-        return flat, counts
+        lists = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pa.array(flat))
+        return lists.take(pa.array(numbers)).flatten().to_numpy(zero_copy_only=False).view(np.uint32), counts
 
 
 def _images(path: str, end: int | None, file_ids: int):
