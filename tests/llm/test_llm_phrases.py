@@ -1,0 +1,114 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tripflow.llm import phrases
+
+
+def grams(rows, longest=4):
+    """Counts of (lang, phrase) by a plain walk over all pieces."""
+    counts, totals = Counter(), Counter()
+    for lang, text in rows:
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", low):
+            words = re.findall("[^\x20\x09]+", piece)
+            totals[lang or "und"] += len(words)
+            for size in range(1, longest + 1):
+                for i in range(len(words) - size + 1):
+                    counts[lang or "und", " ".join(words[i : i + size])] += 1
+    return counts, {k: v for k, v in totals.items() if v}
+
+
+def best(rows, least, top):
+    counts, totals = grams(rows)
+    often = {k: n for k, n in counts.items() if n >= least}
+    scored = []
+    for (lang, phrase), a in often.items():
+        words = phrase.split(" ")
+        cuts = []
+        for k in range(1, len(words)):
+            l, r = counts[lang, " ".join(words[:k])], counts[lang, " ".join(words[k:])]
+            cuts.append((2_000_000 * a // (l + r), k, l, r))
+        around = any(
+            lang == other and len(long.split(" ")) > len(words) and f" {phrase} " in f" {long} " and 100 * n >= 80 * a
+            for (other, long), n in often.items()
+        )
+        if cuts and not around:
+            score, _, l, r = min(cuts)
+            scored.append((lang, -score, -a, phrase.encode(), phrase, a, l, r, totals[lang], score))
+    out, ranks = [], Counter()
+    for lang, _, _, _, phrase, a, l, r, n, score in sorted(scored):
+        ranks[lang] += 1
+        if ranks[lang] <= top:
+            out.append((lang, ranks[lang], phrase, a, l, r, n, score))
+    return sorted(out)
+
+
+def corpus(seed, documents=300):
+    draw = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(40)] + ["É", "é", "Ab", "aB", "x-y", "\x00", "a b"]
+    fixed = ["New York city HALL", "in spite of", "as well as the", "once upon a time there"]
+    rows = []
+    for _ in range(documents):
+        words = []
+        for _ in range(draw.randint(0, 40)):
+            words.append(draw.choice(fixed) if draw.random() < 0.2 else draw.choice(vocabulary[: draw.choice([5, 20, 47])]))
+            words.append(draw.choice([" ", " ", " ", "  ", "\t", ". ", ", ", "\n", "\r\n", ";"]))
+        rows.append((draw.choice(["en", "en", "fr", None]), "".join(words)))
+    return rows + [(None, None), ("de", ""), ("de", "  .,"), ("sv", "alone")]
+
+
+SCHEMA = "lang string, text string"
+
+
+@pytest.mark.parametrize("sample, bits", [(0.25, 29), (0.0, 15), (1.0, 15)])
+def test_frequent_phrases_are_exact_for_any_sample(spark, sample, bits):
+    rows = corpus(5)
+    counts, totals = grams(rows)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    found = phrases.frequent_phrases(docs, least=9, sample=sample, most_bits=bits).collect()
+    want = {k: n for k, n in counts.items() if n >= 9}
+    assert len(want) > 200 and any(len(p.split(" ")) == 4 for _, p in want)
+    assert Counter((r["lang"], r["phrase"], r["n"]) for r in found if r["size"]) == Counter((*k, n) for k, n in want.items())
+    assert {r["lang"]: r["n"] for r in found if not r["size"]} == totals
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    rows = corpus(8, 2500)
+    long = ("en", "deep learning model. " * 30_000)
+    rows += [long] + [("en", "Copies Of One Line")] * 40
+    frame = spark.createDataFrame([(*r, i, "x") for i, r in enumerate(rows)], f"{SCHEMA}, n int, phrase string")
+    frame.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    found = phrases.op13_collocations(spark, str(tmp_path)).collect()
+    want = best(rows, 30, 2000)
+    assert len(want) > 40
+    assert sorted(tuple(r) for r in found) == want
+
+
+def test_products_beyond_64_bits_are_exact(spark):
+    a = 2**60 + 1
+    rows = [("en", "x y", 2, a), ("en", "x", 1, 2**61 + 3), ("en", "y", 1, 2**62 - 9)]
+    found = phrases.collocations(spark.createDataFrame(rows, "lang string, phrase string, size int, n long")).first()
+    assert found["score"] == 2_000_000 * a // (2**61 + 3 + 2**62 - 9)
+
+
+def test_filter_misses_nothing_and_hashes_agree(spark):
+    rows = [("en", f"w{i} v{i % 7}") for i in range(3000)] + [("und", "é"), ("fr", "w1 v1")]
+    bits = phrases.phrase_filter(spark.createDataFrame(rows, "lang string, phrase string").repartition(5))
+    for lang, phrase in rows[::97] + rows[-2:]:
+        here = phrases.Pieces(pa.array([lang]), pa.array([phrase]))
+        assert phrases._in_filter(bits, here.hashes(len(phrase.split(" "))))[0]
+    others = phrases.Pieces(pa.array(["en"] * 2000), pa.array([f"other{i} v" for i in range(2000)]))
+    assert np.mean(phrases._in_filter(bits, others.hashes(2))) < 0.1
+
+
+def test_empty_tables(spark, tmp_path):
+    for name, rows in (("none", []), ("blank", [(None, None), ("en", "")])):
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(rows, SCHEMA).write.parquet(f"{folder}/documents.parquet")
+        found = phrases.op13_collocations(spark, folder)
+        assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and found.collect() == []

@@ -8,6 +8,7 @@ from .langid import op7_language_id
 from .licenses import op10_licenses
 from .mixing import op1_mixing
 from .near import op5_ngram_jaccard
+from .phrases import ORACLE_OP13, op13_collocations
 from .repeats import op9_substring_dedup
 from .rules import op6_quality_rules
 from .secrets import op3_secrets
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_licenses": op10_licenses,
     "op11_token_blocks": op11_token_blocks,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op13_collocations": ORACLE_OP13}
