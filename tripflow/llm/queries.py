@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .classifier import op2_quality
+from .conversations import op12_conversation_repair
 from .decontaminate import op4_decontamination
 from .langid import op7_language_id
 from .licenses import op10_licenses
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_licenses": op10_licenses,
     "op11_token_blocks": op11_token_blocks,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_collocations": op13_collocations,
 }
 
