@@ -51,9 +51,9 @@ def _hashes(strings: pa.Array) -> np.ndarray:
     if not len(strings):
         return np.zeros(0, np.uint64)
     strings = strings.cast(pa.large_string())
-    ends = np.cumsum(pc.binary_length(strings).to_numpy(zero_copy_only=False).astype(np.int64))
-    lengths = np.diff(ends, prepend=0)
-    data = np.frombuffer(pc.binary_join(pa.array([strings.to_pylist()]), "")[0].as_buffer(), np.uint8)
+    bounds = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    data = np.frombuffer(strings.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    ends, lengths = bounds[1:] - bounds[0], np.diff(bounds)
     powers = np.cumprod(np.full(int(lengths.max()) + 1, _STEP))
     place = np.arange(len(data)) - np.repeat(ends - lengths, lengths)
     total = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[place]) if len(data) else np.zeros(0, np.uint64)
@@ -90,6 +90,7 @@ class Pieces:
         ).dictionary_encode()
         langs = langs.fill_null(NO_LANGUAGE).dictionary_encode()
         lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[self.rows]
+        self.languages, self.n_words = langs.dictionary.cast(pa.string()), np.bincount(lang, minlength=len(langs.dictionary))
         code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.ids, found = pd.factorize(code * max(1, len(langs.dictionary)) + lang)
         self.lang = langs.dictionary.take(pa.array(found % max(1, len(langs.dictionary))))
@@ -112,7 +113,7 @@ class Pieces:
             codes = pd.factorize(codes * (len(self.words) + 1) + self.ids[at + i])[0]
         if size == 1:
             codes = pd.factorize(codes)[0]
-        counts = np.bincount(codes) if len(codes) else np.zeros(0, np.int64)
+        counts = np.bincount(codes)
         some = np.zeros(len(counts), np.int64)
         some[codes] = at
         return some, counts
@@ -222,18 +223,11 @@ def count_phrases(
                     if len(at):
                         yield here.batch(at, size, counts)
                     if size == 1:
-                        of_lang = pa.table({"lang": here.lang.take(pa.array(here.ids)).cast(pa.string())}).group_by("lang")
-                        totals = of_lang.aggregate([([], "count_all")]).combine_chunks()
-                        n = len(totals)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                totals["lang"].combine_chunks(),
-                                pa.array([""] * n, pa.string()),
-                                pa.array([0] * n, pa.int32()),
-                                totals["count_all"].combine_chunks().cast(pa.int64()),
-                            ],
-                            ["lang", "phrase", "size", "n"],
-                        )
+                        of = np.flatnonzero(here.n_words)
+                        none, zero = pa.array([""] * len(of), pa.string()), pa.array([0] * len(of), pa.int32())
+                        n_words = pa.array(here.n_words[of].astype(np.int64))
+                        totals = [here.languages.take(pa.array(of)), none, zero, n_words]
+                        yield pa.RecordBatch.from_arrays(totals, ["lang", "phrase", "size", "n"])
 
     counted = docs.select("lang", "text").mapInArrow(run, _COUNTS)
     return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
