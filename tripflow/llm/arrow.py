@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,3 +39,21 @@ def tokens(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
     values, rows = pc.list_flatten(lists), pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
     keep = pc.greater(pc.binary_length(values), 0)
     return values.filter(keep), rows[keep.to_numpy(zero_copy_only=False)]
+
+
+def sparing(run: Callable) -> Callable:
+    """``run``, a generator over batches, that hands freed memory back to the system when it ends.
+
+    Python workers wait for more tasks, and what they keep meanwhile counts against the executor.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return wrapped

@@ -182,7 +182,7 @@ def item_windows(items: DataFrame) -> DataFrame:
                         ["item", "tokens", *found.schema.names],
                     )
 
-    return items.select("item", "text").mapInArrow(run, f"item long, tokens int, {WINDOW_COLUMNS}")
+    return items.select("item", "text").mapInArrow(arrow.sparing(run), f"item long, tokens int, {WINDOW_COLUMNS}")
 
 
 def item_tokens(items: DataFrame) -> DataFrame:
@@ -198,7 +198,7 @@ def item_tokens(items: DataFrame) -> DataFrame:
                     [*ids, *_token_columns(t, spans)], ["item", "item_id", "values", "kinds", "titled"]
                 )
 
-    return items.select("item", "item_id", "text").mapInArrow(run, f"item long, item_id long, {TOKEN_COLUMNS}")
+    return items.select("item", "item_id", "text").mapInArrow(arrow.sparing(run), f"item long, item_id long, {TOKEN_COLUMNS}")
 
 
 def _bits(used: DataFrame, column: str) -> np.ndarray:
@@ -226,7 +226,7 @@ def doc_windows(docs: DataFrame, bits: np.ndarray, lengths: list[int]) -> DataFr
                         [ids.take(at), hashes.take(at), *found.columns], ["doc_id", "text_hash", *found.schema.names]
                     )
 
-    return docs.mapInArrow(run, f"doc_id long, text_hash long, {WINDOW_COLUMNS}")
+    return docs.mapInArrow(arrow.sparing(run), f"doc_id long, text_hash long, {WINDOW_COLUMNS}")
 
 
 def doc_stretches(docs: DataFrame) -> DataFrame:
@@ -254,7 +254,7 @@ def doc_stretches(docs: DataFrame) -> DataFrame:
                             ["doc_id", "text_hash", "item", "lead", "values", "kinds", "titled"],
                         )
 
-    return docs.mapInArrow(run, f"doc_id long, text_hash long, item long, lead int, {TOKEN_COLUMNS}")
+    return docs.mapInArrow(arrow.sparing(run), f"doc_id long, text_hash long, item long, lead int, {TOKEN_COLUMNS}")
 
 
 def _runs(flags: list[bool], least: int) -> Iterator[range]:
@@ -325,6 +325,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     bits = _bits(spans, "text_hash")
 
     @F.arrow_udf("boolean")
+    @arrow.sparing
     def known(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bitmap = np.unpackbits(bits).astype(bool)
         for batch in batches:
@@ -355,7 +356,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
             )
 
     compared = aligned.mapInArrow(
-        compare, "doc_id long, text_hash long, item_id long, item long, tokens int, covered array<int>, changed boolean"
+        arrow.sparing(compare), "doc_id long, text_hash long, item_id long, item long, tokens int, covered array<int>, changed boolean"
     ).where(F.size("covered") > 0)
     return (
         compared.groupBy("doc_id", "text_hash", "item_id", "item", "tokens")

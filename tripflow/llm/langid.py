@@ -184,7 +184,7 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY, docs_per_language: int
 
     sample = training_rows(docs.select("doc_id", "lang", "text"), docs_per_language)
     counts = checkpointed(
-        sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+        sample.mapInArrow(arrow.sparing(count), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     )
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     words = counts.groupBy("word").agg(F.collect_list(F.struct("lang", "n")).alias("by_lang"))
@@ -216,7 +216,7 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY, docs_per_language: int
 
     for _ in range(ROUNDS):
         summed = (
-            words.mapInArrow(expect(chances), "piece long, language long, uses double")
+            words.mapInArrow(arrow.sparing(expect(chances)), "piece long, language long, uses double")
             .groupBy("piece", "language")
             .agg(F.sum("uses").alias("uses"))
             .toPandas()
@@ -235,9 +235,10 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     go to the first by name. Existing columns of those names are replaced. Workers hold a bounded cache
     of scored words and take long texts apart in bounded slices; one text is the smallest slice.
     """
-    most_cached = 400_000
+    most_cached = 300_000
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
+    @arrow.sparing
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lattice = Lattice(model.pieces)
         places: dict[str, int] = {}

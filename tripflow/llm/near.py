@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrow import slices, tokens
+from .arrow import slices, sparing, tokens
 from .common import checkpointed, fresh, table
 from .components import components
 
@@ -21,8 +21,10 @@ THRESHOLD = 0.8
 TREES = 24
 MAX_DEPTH = 8
 TARGET_RECALL = 0.999
-# Texts are compared in blocks of about so many shingles; a larger group is cut into several.
+# Texts are compared in blocks of about so many shingles and texts; a larger group is cut into several. Memory
+# grows with the square of the texts, so short ones need the second bound.
 BLOCK_SHINGLES = 100_000
+BLOCK_TEXTS = 800
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -88,19 +90,21 @@ def signatures(docs: DataFrame, width: int, trees: int, depth: int) -> DataFrame
     """``doc_id, text_hash, node, size, labels``: the node is a 64-bit digest of the text's shingle set, so
     texts with the same set are one node. Null and empty texts have no node."""
 
-    def sign(batch: pa.Array) -> pa.Array:
-        nodes, sizes, labels = [], [], []
-        for _, texts in slices(batch):
-            sets = shingle_sets(texts, width)
-            for s in sets:
-                nodes.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None)
-            sizes += [len(s) for s in sets]
-            labels.append(forest_labels(sets, trees, depth))
-        flat_labels = np.concatenate(labels) if labels else np.zeros((0, trees), np.uint64)
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.arange(len(nodes) + 1, dtype=np.int32) * trees), pa.array(flat_labels.view(np.int64).ravel())
-        )
-        return pa.StructArray.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), lists], ["node", "size", "labels"])
+    @sparing
+    def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            nodes, sizes, labels = [], [], [np.zeros((0, trees), np.uint64)]
+            for _, texts in slices(batch):
+                sets = shingle_sets(texts, width)
+                for s in sets:
+                    digest = hashlib.blake2b(s.tobytes(), digest_size=8).digest()
+                    nodes.append(int.from_bytes(digest, "little", signed=True) if len(s) else None)
+                sizes += [len(s) for s in sets]
+                labels.append(forest_labels(sets, trees, depth))
+            flat = pa.array(np.concatenate(labels).view(np.int64).ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1, dtype=np.int32) * trees), flat)
+            columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), lists]
+            yield pa.StructArray.from_arrays(columns, ["node", "size", "labels"])
 
     signed = F.arrow_udf(sign, "struct<node: long, size: long, labels: array<long>>")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), signed("text").alias("s"))
@@ -161,7 +165,7 @@ def verified_links(docs: DataFrame, signed: DataFrame, groups: DataFrame, width:
     of the block, and the number of documents of the block that it is linked with.
 
     All texts of a group are compared with each other, not only those that shared a prefix. A group of more
-    than ``BLOCK_SHINGLES`` shingles is cut into parts, and every two parts meet in a block of their own, so
+    than ``BLOCK_SHINGLES`` shingles or ``BLOCK_TEXTS`` texts is cut into parts, and every two parts meet in a block of their own, so
     that no task holds a whole large group. What a block gives back has one row per text, not per pair.
     """
     named = signed.groupBy("node").agg(
@@ -171,7 +175,8 @@ def verified_links(docs: DataFrame, signed: DataFrame, groups: DataFrame, width:
         F.max("size").alias("size"),
     )
     members = checkpointed(groups.join(named, "node"))
-    cuts = members.groupBy("root").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("cuts"))
+    cuts = F.greatest(F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS))
+    cuts = members.groupBy("root").agg(cuts.cast("int").alias("cuts"))
     members = members.join(checkpointed(cuts), "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     with_text = texts.join(
@@ -215,7 +220,7 @@ def verified_links(docs: DataFrame, signed: DataFrame, groups: DataFrame, width:
     # Comparing costs far more than its bytes suggest, so the blocks are not left to be gathered by size.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = blocks.repartition(parts, *key).sortWithinPartitions(*key)
-    return laid.mapInArrow(run, "node long, peer long, links long")
+    return laid.mapInArrow(sparing(run), "node long, peer long, links long")
 
 
 def near_duplicates(
