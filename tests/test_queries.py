@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_points
-from tripflow.plans.catalog import QUERIES
-from tripflow.plans.oracle import ORACLE
 from compare import compare, duck
+from tripflow.plans import catalog, oracle, stored
+
+QUERIES = catalog.QUERIES | stored.QUERIES
+ORACLE = oracle.ORACLE | stored.ORACLE
 
 SF = "/root/testdata/sf0.001"
 # At this scale one pair of rows shares the whole row key.

@@ -84,14 +84,13 @@ def read_green(spark, sf_dir):
 
 
 def read_kinds(spark, sf_dir):
-    """Rows as the kind-agnostic reader gives them, and how many it can tell apart by origin."""
-    root = scratch_dir(spark, "any")
-    trip_files(spark, sf_dir, "green").write.parquet(f"{root}/trips")
-    trip_files(spark, sf_dir, "green").drop("cbd_congestion_fee").limit(0).write.mode("append").parquet(f"{root}/trips")
-    return read_any(spark, f"{root}/trips", with_origin=True).agg(
+    """Rows as the kind-agnostic reader gives them, and how many it can tell apart by origin. Files differ in
+    columns and in types."""
+    return read_any(spark, _mixed_files(spark, sf_dir, "green"), with_origin=True).agg(
         F.count(F.lit(1)).alias("trips"),
         F.count_distinct("source_file", "source_row").alias("origins"),
         F.sum("cbd_congestion_fee").alias("fees"),
+        F.sum("passenger_count").alias("passengers"),
     )
 
 
@@ -405,7 +404,8 @@ def row_counts(spark, sf_dir):
 
 def footer_counts(spark, sf_dir):
     found = files.listing_frame(spark, sf_dir).where(F.lower("path").endswith(".parquet"))
-    probe = footers.probe_footers(found)
+    # The listing is one task's; footers are read by as many as a shuffle has.
+    probe = footers.probe_footers(spread(found, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return probe.select(names.derive_table_name("path").alias("table_name"), F.col("num_rows").alias("n_rows"))
 
 

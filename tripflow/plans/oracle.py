@@ -185,8 +185,9 @@ _SQL = {
         as cbd_congestion_fee) from yellow_trips""",
     "read_green": f"""select {_GREEN_COLUMNS} replace (case when o_orderkey % 2 = 1 then cbd_congestion_fee end
         as cbd_congestion_fee) from green_trips""",
-    "read_kinds": """select count(*) as trips, count(*) as origins, cast(count(*) * 0.75 as double) as fees
-      from green_trips""",
+    "read_kinds": """select count(*) as trips, count(*) as origins,
+        cast(count(*) filter (o_orderkey % 2 = 1) * 0.75 as double) as fees,
+        cast(sum(passenger_count) as double) as passengers from green_trips""",
     "feature_files": f"""select cast(lpep_pickup_datetime as date) as pickup_date, count(*) as n_features,
         count({_PU_POINT}) as n_points, min({_PU_POINT}) as first_geom
       from raw_green t left join zones p on t.PULocationID = p.zone_id

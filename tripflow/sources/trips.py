@@ -8,11 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from ..operators.normalize import check_schema, normalize
 from ..operators.selection import filter_trips, keep_valid, pushable, rules_apply
-from ..schemas import TripKind, kind_of
+from ..schemas import SchemaValidationError, TripKind, kind_of
 from . import files
-from .footers import probe_footers
+from .footers import probe_footers, probe_paths
 
 ORIGIN = ("source_file", "source_row")
 ZONE_SCHEMA = "zone_id int, lon double, lat double"
@@ -39,9 +41,59 @@ def scan(
     return df
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The type that holds the values of both: whole numbers become 64-bit, whole and floating ones doubles,
+    which are exact up to 2**53. None where there is no such type."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, _WHOLE) and isinstance(b, _WHOLE):
+        return T.LongType()
+    floating = (T.FloatType, T.DoubleType)
+    return T.DoubleType() if isinstance(a, _WHOLE + floating) and isinstance(b, _WHOLE + floating) else None
+
+
+def united(frames: Sequence[DataFrame], names: Sequence[str]) -> DataFrame:
+    """The rows of all frames with the columns of all, null where a frame lacks one, of the wider type each.
+
+    Columns go by name without regard to case. A column of types that nothing holds raises an error that gives
+    the first of the two frames' ``names``.
+    """
+    first: dict[str, tuple[str, T.DataType, str]] = {}
+    for frame, where in zip(frames, names, strict=True):
+        for field in frame.schema:
+            column, dtype, known = first.get(field.name.lower(), (field.name, field.dataType, where))
+            wider = wider_type(dtype, field.dataType)
+            if wider is None:
+                raise SchemaValidationError(
+                    f"column {column} is {dtype.simpleString()} in {known} and {field.dataType.simpleString()} in {where}"
+                )
+            first[field.name.lower()] = (column, wider, known)
+
+    def aligned(frame: DataFrame) -> DataFrame:
+        present = {c.lower(): c for c in frame.columns}
+        return frame.select(
+            *[
+                (F.col(f"`{present[key]}`") if key in present else F.lit(None)).cast(dtype).alias(column)
+                for key, (column, dtype, _) in first.items()
+            ]
+        )
+
+    return reduce(DataFrame.unionByName, [aligned(f) for f in frames])
+
+
 def read_any(spark: SparkSession, path: str | Sequence[str], with_origin: bool = False) -> DataFrame:
-    """``scan`` with the columns of all files, for which a file set without rows is an error."""
-    df = scan(spark, path, with_origin, merge=True)
+    """Rows of files of any kind, with the columns of all of them; a file set without rows is an error.
+
+    Footers are looked at by tasks. Each distinct schema gets a scan of its own, and columns of unlike types are
+    widened (see ``united``), or refused with the names of two files.
+    """
+    groups = _schema_groups(spark, _as_list(path))
+    df = united([scan(spark, group, with_origin) for group in groups], [group[0] for group in groups])
     if df.select(df.columns[0]).isEmpty():
         raise ValueError(f"no rows in {path}")
     return df
@@ -111,6 +163,20 @@ def read_trips(
     return reduce(DataFrame.unionByName, frames)
 
 
+def read_listed(spark: SparkSession, paths: Sequence[str], kind: str | TripKind, **options) -> DataFrame:
+    """Typed trips of listed files, whatever their schemas: footers by tasks, then a scan per schema.
+
+    Meant for the files of a micro-batch; their names come to the driver. ``options`` as for ``typed_trips``.
+    """
+    groups: dict[str, list[str]] = {}
+    for path, shape, error in probe_paths(spark, paths).select("path", "fingerprint", "error").collect():
+        if error:
+            raise OSError(f"unreadable Parquet file {path}: {error}")
+        groups.setdefault(shape, []).append(files.literal(path))
+    frames = [typed_trips(scan(spark, sorted(groups[shape])), kind, **options) for shape in sorted(groups)]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def read_yellow(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
     return read_trips(spark, paths, "yellow", **options)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -70,6 +70,9 @@ class IngestConfig:
     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER
     max_file_age: str = MAX_FILE_AGE
     trigger_seconds: int = TRIGGER_SECONDS
+    # Called with "sink", "ledger" or "moves" and the micro-batch's number when that step is done. What it raises
+    # ends the stream there, as a crash would.
+    after_step: Callable[[str, int], None] | None = None
 
 
 def _now() -> datetime:
@@ -125,12 +128,16 @@ def ingest_batch(
     Only file names, kinds and counts come to the driver, and no more of them than one
     micro-batch holds. Rows are read, converted and written by tasks.
     """
+    after_step = cfg.after_step or (lambda step, number: None)
     committed = L.read_batch(spark, cfg.ledger_dir, ingest_id)
     if committed is None:
         rows = _ingest_files(spark, listing, cfg, ingest_id, batch_id)
+        after_step("sink", batch_id)
         L.write_batch(spark.createDataFrame(rows, LEDGER_SCHEMA), cfg.ledger_dir, ingest_id)
+        after_step("ledger", batch_id)
         committed = L.read_batch(spark, cfg.ledger_dir, ingest_id)
     move_files(spark, committed, cfg)
+    after_step("moves", batch_id)
     return committed
 
 

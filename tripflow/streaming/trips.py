@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.coerce import epoch_micros, from_epoch_micros
 from ..operators.normalize import normalize
 from ..operators.selection import RETENTION_DAYS
 from ..schemas import TripKind, kind_of
+from ..sources import files
+from ..sources.trips import read_listed
+
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+FILES_PER_TRIGGER = 1000
+# The file source forgets files older than the newest one by more than this.
+MAX_FILE_AGE = "36500d"
 
 
 def stream_trips(
     spark: SparkSession, directory: str, kind: str | TripKind, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Typed trips from a folder that receives files of one kind."""
+    """Typed trips from a folder that receives files of one kind and one schema.
+
+    The stream is read with the kind's file schema; a file of other types ends it. ``unify_files`` takes such files.
+    """
     kind = kind_of(kind)
     reader = spark.readStream.schema(kind.file_schema)
     if max_files_per_trigger is not None:
@@ -22,6 +35,59 @@ def stream_trips(
     return normalize(reader.parquet(directory), kind)
 
 
+def unify_files(
+    spark: SparkSession,
+    directory: str,
+    kind: str | TripKind,
+    table_dir: str,
+    checkpoint_dir: str,
+    *,
+    max_files_per_trigger: int = FILES_PER_TRIGGER,
+    available_now: bool = False,
+    trigger_seconds: int = 30,
+    change: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
+    """Follow a folder of files of one kind but of unlike schemas, and append their typed trips to a table.
+
+    The stream is one of paths. Tasks read the footers of a micro-batch's files, and each schema among them gets
+    one scan, so types and optional columns may change from file to file. Every micro-batch is a folder of
+    ``table_dir``; one that was completed is not written again when the stream repeats it after a restart, one that
+    was not is replaced. The table has one schema, so it can be streamed from in turn (``unified_trips``).
+    ``change`` is applied to the trips before they are written, such as a filter. A file without a readable footer
+    fails the micro-batch; folders where such files turn up are a case for ingestion, which moves them away.
+    """
+    kind = kind_of(kind)
+    files.make_dirs(spark, directory)
+    files.make_dirs(spark, table_dir)
+    paths = (
+        spark.readStream.format("binaryFile")
+        .schema(LISTING)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("maxFileAge", MAX_FILE_AGE)
+        .option("pathGlobFilter", "*.parquet")
+        .load(directory)
+        .select("path")
+    )
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        target = f"{table_dir.rstrip('/')}/batch={batch_id}"
+        listed = [r.path for r in batch.collect()]
+        if not listed or files.exists(batch.sparkSession, f"{target}/_SUCCESS"):
+            return
+        trips = read_listed(batch.sparkSession, listed, kind)
+        (change(trips) if change else trips).write.mode("overwrite").parquet(target)
+
+    writer = paths.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_dir)
+    trigger = {"availableNow": True} if available_now else {"processingTime": f"{trigger_seconds} seconds"}
+    return writer.trigger(**trigger).start()
+
+
+def unified_trips(spark: SparkSession, table_dir: str, kind: str | TripKind, stream: bool = False) -> DataFrame:
+    """The trips that ``unify_files`` has written, at once or as a stream."""
+    reader = spark.readStream if stream else spark.read
+    return reader.schema(kind_of(kind).trip_schema).parquet(table_dir).drop("batch")
+
+
 def windowed_counts(
     trips: DataFrame, time_col: str, window: str = "1 hour", late_days: int = RETENTION_DAYS, by: tuple[str, ...] = ()
 ) -> DataFrame:
