@@ -80,10 +80,11 @@ def test_mix_repeats_rows_and_keeps_other_columns(spark):
     docs = spark.createDataFrame(rows, DOC + ", copies long, text_hash string")
     mixed = mixing.mix(docs, max_repeat=3)
     assert mixed.columns == docs.columns
-    plan = {(r["doc_id"], r["source"], r["size"]): r["copies"] for r in mixing.mix_plan(docs.select("doc_id", "text", "source")).collect()}
+    plan = mixing.mix_plan(docs.select("doc_id", "text", "source")).collect()
+    plan = {(r["doc_id"], r["source"], r["size"]): r["copies"] * r["rows"] + r["more"] for r in plan}
     counted = Counter((r["doc_id"], r["source"], len((r["text"] or "").split())) for r in mixed.collect())
     originals = Counter((r[0], r[2], len((r[1] or "").split())) for r in rows)
-    assert counted == Counter({k: n * plan[k] for k, n in originals.items() if plan[k]})
+    assert counted == Counter({k: n for k, n in plan.items() if n}) and set(plan) == set(originals)
 
 
 def test_empty_and_wordless_tables(spark):
@@ -105,3 +106,17 @@ def test_main_path_is_native(spark, tmp_path):
     docs_of(spark, [(1, "a b", "s")]).write.parquet(f"{tmp_path}/documents.parquet")
     plan = mixing.op1_mixing(spark, str(tmp_path))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_equal_rows_land_on_the_target(spark, tmp_path):
+    text = " ".join(["w"] * 10)
+    rows = [(7, text, "a")] * 1000 + [(100 + i, text, "b") for i in range(1000)] + [(8, None, "a")] * 5
+    docs_of(spark, rows).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    found = mixing.op1_mixing(spark, str(tmp_path)).toPandas()
+    assert len(found) == len(rows)
+    for first, target in ((found.doc_id < 100, 20_000 / 3), (found.doc_id >= 100, 40_000 / 3)):
+        assert found[first].target.iloc[0] == pytest.approx(target)
+        assert abs(found[first].taken.sum() - target) <= 10
+    assert set(found[found.doc_id == 7].taken) == {0, 10}
+    mixed = Counter(r["source"] for r in mixing.mix(docs_of(spark, rows)).where("text is not null").collect())
+    assert abs(mixed["a"] - 2000 / 3) <= 1 and abs(mixed["b"] - 4000 / 3) <= 1

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, checkpointed, fresh, table, unit_interval
+from .ranks import gapless_rank
 
 # Children of a node of the reduction tree.
 FAN = 64
@@ -137,11 +138,13 @@ def pivotal_rounding(units: DataFrame, seed: int) -> DataFrame:
 def mix_plan(
     docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_repeat: int = 3, seed: int = 17
 ) -> DataFrame:
-    """Copies of every distinct row: ``source, doc_id, text_hash, size, rows, source_size, target, copies``.
+    """Copies of every distinct row: ``source, doc_id, text_hash, size, rows, source_size, target, copies, more``.
 
-    ``rows`` rows of one source with the same id and text are one unit and get the same number of copies.
-    Each unit takes the whole part of target / source_size, and one more with the fractional part as its
-    chance. A row without words takes part with a draw of its own. Only digests are shuffled, never texts.
+    ``rows`` rows of one source with the same id and text are one unit: each is taken ``copies`` times, and ``more``
+    of them, fewer than all, once more. The whole part of target / source_size goes to every row. Of rows times the
+    fractional part, the whole part is taken for sure; what remains is the chance of one more row, so a unit enters
+    the rounding with the size of a single row however often it is repeated. A row without words takes part with a draw of its own. Only
+    digests are shuffled, never texts.
     """
     digests = checkpointed(
         docs.select("source", "doc_id", F.xxhash64("text").alias("text_hash"), word_count().alias("size"))
@@ -154,17 +157,19 @@ def mix_plan(
         .drop("s")
         .withColumn("share", F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0)))
         .withColumn("base", F.floor(F.col("share") + EPS))
-        .withColumn("chance", F.col("share") - F.col("base"))
+        .withColumn("more", (F.col("share") - F.col("base")) * F.col("rows"))
+        .withColumn("sure", F.floor(F.col("more") + EPS))
+        .withColumn("chance", F.col("more") - F.col("sure"))
         .withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "text_hash", "source"))
     )
-    units = checkpointed(units.drop("share"))
+    units = checkpointed(units.drop("share", "more"))
     chancy = F.col("chance") > EPS
     rounded = pivotal_rounding(
         units.where(chancy & (F.col("size") > 0)).select(
             "source",
             F.struct(*KEY).alias("id"),
             "draw",
-            (F.col("size") * F.col("rows")).cast("double").alias("size"),
+            F.col("size").cast("double").alias("size"),
             "chance",
             F.ceil(F.col("source_rows") / FAN).alias("blocks"),
         ),
@@ -180,7 +185,16 @@ def mix_plan(
             "rows",
             "source_size",
             "target",
-            (F.col("base") + F.coalesce(F.col("extra"), alone, F.lit(0))).cast("int").alias("copies"),
+            F.col("base"),
+            (F.col("sure") + F.coalesce(F.col("extra"), alone, F.lit(0))).alias("extra"),
+        )
+        .select(
+            *KEY,
+            "rows",
+            "source_size",
+            "target",
+            (F.col("base") + F.floor(F.col("extra") / F.col("rows"))).cast("int").alias("copies"),
+            (F.col("extra") % F.col("rows")).alias("more"),
         )
     )
 
@@ -188,17 +202,32 @@ def mix_plan(
 def mix(docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_repeat: int = 3, seed: int = 17) -> DataFrame:
     """The mixed documents: every row as often as the mix takes it, with the columns of ``docs``.
 
-    Needs ``doc_id``, ``text`` and ``source``. Null sources are a source, null and empty texts have size 0,
-    equal rows get the same number of copies. An empty table stays empty. Other columns pass through.
+    Needs ``doc_id``, ``text`` and ``source``. Null sources are a source, null and empty texts have size 0. Which of
+    several equal rows (id, source and text) are taken once more is a matter of their physical place; only rows that
+    are repeated are put in order for that. An empty table stays empty. Other columns pass through.
     """
-    hashed, copies, doc, source, again = fresh(docs, "text_hash", "copies", "key_doc", "key_source", "copy")
-    plan = mix_plan(docs.select("doc_id", "text", "source"), weights, max_repeat, seed).select(
-        F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("text_hash").alias(hashed), F.col("copies").alias(copies)
-    )
+    names = fresh(docs, "text_hash", "copies", "key_doc", "key_source", "copy", "more", "rows", "unit", "place")
+    hashed, copies, doc, source, again, more, rows, unit, place = names
+    plan = mix_plan(docs.select("doc_id", "text", "source"), weights, max_repeat, seed)
+    plan = plan.withColumnsRenamed({"doc_id": doc, "source": source, "text_hash": hashed, "copies": copies, "more": more, "rows": rows})
+    plan = checkpointed(plan.select(doc, source, hashed, copies, more, rows).where((F.col(copies) > 0) | (F.col(more) > 0)))
     keyed = docs.withColumn(again, F.xxhash64("text"))
-    on = keyed["doc_id"].eqNullSafe(plan[doc]) & keyed["source"].eqNullSafe(plan[source]) & (keyed[again] == plan[hashed])
-    taken = keyed.join(plan.where(F.col(copies) > 0), on)
-    return taken.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
+
+    def joined(some: DataFrame) -> DataFrame:
+        on = keyed["doc_id"].eqNullSafe(some[doc]) & keyed["source"].eqNullSafe(some[source]) & (keyed[again] == some[hashed])
+        return keyed.join(some, on)
+
+    def taken(found: DataFrame, times: Column) -> DataFrame:
+        return found.withColumn(again, F.explode(F.sequence(F.lit(1), times.cast("int")))).select(*docs.columns)
+
+    once = taken(joined(plan.where(F.col(rows) == 1)), F.col(copies))
+    repeated = plan.where(F.col(rows) > 1)
+    if repeated.isEmpty():
+        return once
+    found = joined(repeated).withColumn(unit, F.xxhash64(source, doc, hashed))
+    found = gapless_rank(found, unit, [], place)
+    times = F.col(copies) + (F.col(place) < F.col(more)).cast("int")
+    return once.unionByName(taken(found.where(times > 0), times))
 
 
 def op1_mixing(spark, sf_dir):
@@ -209,6 +238,13 @@ def op1_mixing(spark, sf_dir):
         "size",
         "source_size",
         "target",
-        (F.col("size") * F.col("copies")).alias("taken"),
+        "copies",
+        "more",
         F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("row"),
-    ).drop("row")
+    ).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * (F.col("copies") + (F.col("row") <= F.col("more")).cast("int"))).alias("taken"),
+    )
