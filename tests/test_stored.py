@@ -7,6 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripflow.operators import spacetime as st
+from tripflow.schemas import LEDGER_SCHEMA
+from tripflow.sources import files
+from tripflow.streaming import ledger as L
 from tripflow.operators.stored_stats import DISTINCT_BOUND, compact_stats, read_stats, store_stats
 from tripflow.schemas import SchemaValidationError
 from tripflow.sources import skip_index as si
@@ -160,3 +163,45 @@ def test_statistics_of_appends_add_up(spark, tmp_path):
         assert found["name"].low is None
     with pytest.raises(FileNotFoundError):
         read_stats(spark, f"{tmp_path}/absent")
+
+
+def _book(spark, ledger_dir, batches, query="q"):
+    at = datetime(2024, 1, 1)
+    for b in batches:
+        rows = [(f"/in/{b}-{i}.parquet", f"{b}-{i}.parquet", "green", L.PROCESSED, 1, b, at, at, None) for i in range(2)]
+        L.write_batch(spark.createDataFrame(rows, LEDGER_SCHEMA), ledger_dir, f"{query}-{b}")
+
+
+def _paths(spark, ledger_dir):
+    return sorted(r.path for r in L.read_ledger(spark, ledger_dir).collect())
+
+
+def test_snapshots_of_the_ledger_lose_and_double_nothing(spark, tmp_path, monkeypatch):
+    folder = f"{tmp_path}/ledger"
+    assert L.read_ledger(spark, folder).count() == 0 and L.compact_ledger(spark, folder, "q") is None
+    _book(spark, folder, range(14))
+    _book(spark, folder, range(3), query="other")
+    everything = _paths(spark, folder)
+    assert len(everything) == 34
+    # Ended before the rename: nothing has changed.
+    with monkeypatch.context() as m:
+        m.setattr(L.files, "move_file", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            L.compact_ledger(spark, folder, "q", recent=2)
+    assert _paths(spark, folder) == everything
+    # Ended after it: covered folders are passed over, and deleted by the next call.
+    with monkeypatch.context() as m:
+        m.setattr(L.files, "delete_tree", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            L.compact_ledger(spark, folder, "q", recent=2)
+    assert len(files.list_dirs(spark, f"{folder}/query=q")) == 15 and _paths(spark, folder) == everything
+    assert L.compact_ledger(spark, folder, "q", recent=2) is None
+    assert len(files.list_dirs(spark, f"{folder}/query=q")) == 3
+    _book(spark, folder, range(14, 20))
+    assert L.compact_ledger(spark, folder, "q", recent=2) == 17
+    assert _paths(spark, folder) == sorted(everything + [f"/in/{b}-{i}.parquet" for b in range(14, 20) for i in range(2)])
+    assert len(files.list_dirs(spark, f"{folder}/query=q")) == 3
+    assert L.read_batch(spark, folder, "q-19").count() == 2
+    listing = spark.createDataFrame([("/in/3-1.parquet", 1), ("/in/19-0.parquet", 1), ("/in/new.parquet", 1)], "path string, length long")
+    assert [r.path for r in L.pending_files(listing, L.read_ledger(spark, folder)).collect()] == ["/in/new.parquet"]
+    assert L.read_other_ledgers(spark, folder, "other-1").count() == 40

@@ -19,9 +19,11 @@ from ..session import scratch_dir
 from ..sinks.ingest_sinks import TripTables
 from ..sources import files
 from ..sources.skip_index import build_skip_index, candidate_files, pruned_scan
+from ..streaming.live import LiveTotals, observed
 from ..streaming.ingest import IngestConfig, run_once
-from ..streaming.trips import unified_trips, unify_files
+from ..streaming.trips import stream_trips, unified_trips, unify_files
 from .catalog import _kept, trips
+from .oracle import _VALID
 from .testbed import raw_trips, trip_files, with_ctes, zones
 
 EXTENT = Extent((-74.5, -73.25), (40.25, 41.25), (datetime(1992, 1, 1), datetime(1999, 1, 1)))
@@ -147,8 +149,36 @@ def stored_stats(spark, sf_dir):
     )
 
 
+def live_totals(spark, sf_dir):
+    """What a listener saw of two running streams, kind by kind, beside the rows that they wrote."""
+    root = scratch_dir(spark, "live")
+    seen = LiveTotals()
+    spark.streams.addListener(seen)
+    try:
+        for kind in KINDS:
+            trip_files(spark, sf_dir, kind).repartition(4).write.parquet(f"{root}/{kind}/in")
+            query = (
+                observed(stream_trips(spark, f"{root}/{kind}/in", kind, max_files_per_trigger=2), kind)
+                .writeStream.format("parquet")
+                .option("checkpointLocation", f"{root}/{kind}/checkpoint")
+                .trigger(availableNow=True)
+                .start(f"{root}/{kind}/out")
+            )
+            query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.streams.removeListener(seen)
+    written = None
+    for kind, spec in KINDS.items():
+        part = spark.read.schema(spec.trip_schema).parquet(f"{root}/{kind}/out").agg(
+            F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("written")
+        )
+        written = part if written is None else written.unionByName(part)
+    return _kept(seen.totals(spark).drop("trips_per_second").join(written, "kind"), root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (stream_mixed, ingest_replay, indexed_range, skipped_files, stored_stats)
+    f.__name__: f for f in (stream_mixed, ingest_replay, indexed_range, skipped_files, stored_stats, live_totals)
 }
 
 
@@ -177,6 +207,11 @@ _SQL = {
         and {_between('tpep_pickup_datetime', BOX['time'], _stamp)} group by VendorID""",
     "skipped_files": f"""select count(*) as trips, sum(fare_amount) as fare_amount, true as most_skipped
       from yellow_trips where PULocationID = {ZONE} and {_between('tpep_pickup_datetime', DAY, _stamp)}""",
+    "live_totals": " union all ".join(
+        f"select '{kind}' as kind, 2::bigint as batches, count(*) as trips, count(*) filter ({_VALID[kind]}) as valid_trips,"
+        f" sum(total_amount) as total_amount, count(*) as written from {kind}_trips"
+        for kind in ("yellow", "green")
+    ),
     "stored_stats": " union all ".join(
         f"select '{c}' as attribute, count(*) as rows, count({c}) as non_null, min({c})::double as low,"
         f" max({c})::double as high, count(distinct {c}) as exact, true as within_bound from green_trips"

@@ -70,6 +70,8 @@ class IngestConfig:
     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER
     max_file_age: str = MAX_FILE_AGE
     trigger_seconds: int = TRIGGER_SECONDS
+    # Micro-batches between snapshots of the ledger.
+    compact_every: int = 100
     # Called with "sink", "ledger" or "moves" and the micro-batch's number when that step is done. What it raises
     # ends the stream there, as a crash would.
     after_step: Callable[[str, int], None] | None = None
@@ -240,6 +242,8 @@ def start_ingest(spark: SparkSession, cfg: IngestConfig, available_now: bool = F
         # The query id is kept in the checkpoint: a replayed batch finds its own rows again.
         query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         ingest_batch(session, batch, cfg, f"{query_id}-{batch_id}", batch_id)
+        if batch_id % cfg.compact_every == cfg.compact_every - 1:
+            L.compact_ledger(session, cfg.ledger_dir, query_id)
 
     writer = listing.writeStream.foreachBatch(on_batch).option("checkpointLocation", cfg.checkpoint_dir)
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{cfg.trigger_seconds} seconds"}

@@ -1,7 +1,14 @@
-"""The ingestion ledger: one row per file that was handled, in one folder per stream and micro-batch."""
+"""The ingestion ledger: one row per file that was handled, in one folder per stream and micro-batch.
+
+Older micro-batches of a stream are gathered in a snapshot, a folder ``batch=upto-N``, so that the number of files
+doesn't grow with the number of micro-batches. A snapshot takes effect when it is renamed into place; from then on
+readers pass over the folders that it covers, whether or not these are deleted yet.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +32,68 @@ def _batch_dir(ledger_dir: str, ingest_id: str) -> str:
     return f"{ledger_dir.rstrip('/')}/query={query}/batch={batch}"
 
 
+_SNAPSHOT = "upto-"
+# Micro-batches that a snapshot leaves alone: the stream may repeat its last one.
+RECENT = 10
+
+
+def _number(folder: str) -> int | None:
+    """The micro-batch of a folder, or the last one of a snapshot; None for other names."""
+    name = folder.rsplit("/", 1)[-1].removeprefix("batch=").removeprefix(_SNAPSHOT)
+    return int(name) if name.isdigit() else None
+
+
+def _is_snapshot(folder: str) -> bool:
+    return folder.rsplit("/", 1)[-1].startswith(f"batch={_SNAPSHOT}") and _number(folder) is not None
+
+
+def _split(folders: list[str]) -> tuple[list[str], list[str]]:
+    """(folders in force, folders that the newest snapshot covers) of one stream."""
+    snapshots = sorted((f for f in folders if _is_snapshot(f)), key=_number)
+    if not snapshots:
+        return folders, []
+    newest = snapshots[-1]
+    covered = [f for f in folders if f != newest and _number(f) is not None and _number(f) <= _number(newest)]
+    return [f for f in folders if f not in set(covered)], covered
+
+
+def _read(spark: SparkSession, query_dirs: list[str]) -> DataFrame:
+    folders = [f for d in query_dirs for f in _split(files.list_dirs(spark, d))[0]]
+    if not folders:
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(*[files.literal(f) for f in folders]).select(*LEDGER_SCHEMA.names)
+
+
 def read_ledger(spark: SparkSession, ledger_dir: str) -> DataFrame:
+    """Rows of all micro-batches: of each stream its snapshot and what came after."""
     files.make_dirs(spark, ledger_dir)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_dir).select(*LEDGER_SCHEMA.names)
+    return _read(spark, [d for d in files.list_dirs(spark, ledger_dir) if d.rsplit("/", 1)[-1].startswith("query=")])
+
+
+def compact_ledger(spark: SparkSession, ledger_dir: str, query: str, recent: int = RECENT, rows_per_file: int = 1_000_000) -> int | None:
+    """Gather a stream's micro-batches, all but the ``recent`` last ones, in a new snapshot; returns its last one.
+
+    The snapshot is written to a hidden folder and renamed, then what it covers is deleted. Ended before the rename,
+    nothing has changed; ended after it, the next call deletes what is left. Tasks move the rows. None if there is
+    nothing to gather. One call at a time per stream, which the stream itself makes between micro-batches.
+    """
+    home = f"{ledger_dir.rstrip('/')}/query={query}"
+    current, covered = _split(files.list_dirs(spark, home))
+    for folder in covered:
+        files.delete_tree(spark, folder)
+    done = [f for f in current if _is_snapshot(f) or _number(f) is not None and files.exists(spark, f"{f}/_SUCCESS")]
+    done = sorted(done, key=_number)[: -recent or None]
+    if len(done) < 2:
+        return None
+    last = _number(done[-1])
+    hidden = f"{ledger_dir.rstrip('/')}/_compacting-{uuid.uuid4().hex}"
+    rows = spark.read.schema(LEDGER_SCHEMA).parquet(*[files.literal(f) for f in done])
+    many = max(1, -(-rows.count() // rows_per_file))
+    rows.repartition(many).write.parquet(hidden)
+    files.move_file(spark, hidden, f"{home}/batch={_SNAPSHOT}{last}")
+    for folder in done:
+        files.delete_tree(spark, folder)
+    return last
 
 
 def read_other_ledgers(spark: SparkSession, ledger_dir: str, ingest_id: str) -> DataFrame | None:
@@ -37,10 +103,11 @@ def read_other_ledgers(spark: SparkSession, ledger_dir: str, ingest_id: str) ->
     own stream has recorded. The driver lists one folder per stream, whatever the number of batches.
     """
     own = f"query={_query_of(ingest_id)[0]}"
-    others = [d for d in files.list_dirs(spark, ledger_dir) if d.rsplit("/", 1)[-1] != own]
+    named = [d for d in files.list_dirs(spark, ledger_dir) if d.rsplit("/", 1)[-1].startswith("query=")]
+    others = [d for d in named if d.rsplit("/", 1)[-1] != own]
     if not others:
         return None
-    return spark.read.schema(LEDGER_SCHEMA).parquet(*others).select(*LEDGER_SCHEMA.names)
+    return _read(spark, others)
 
 
 def read_batch(spark: SparkSession, ledger_dir: str, ingest_id: str) -> DataFrame | None:
