@@ -1,13 +1,16 @@
 """The ingestion ledger: one row per file that was handled, in one folder per stream and micro-batch.
 
-Older micro-batches of a stream are gathered in a snapshot, a folder ``batch=upto-N``, so that the number of files
-doesn't grow with the number of micro-batches. A snapshot takes effect when it is renamed into place; from then on
-readers pass over the folders that it covers, whether or not these are deleted yet.
+Older micro-batches of a stream are gathered in a snapshot, a folder ``query=...@upto-N`` beside the stream's own, so
+that the number of files doesn't grow with the number of micro-batches. A snapshot takes effect when it is renamed
+into place; from then on readers pass over the micro-batches that it covers, whether or not these are deleted yet.
 """
 
 from __future__ import annotations
 
+import copy
 import uuid
+from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,42 +35,46 @@ def _batch_dir(ledger_dir: str, ingest_id: str) -> str:
     return f"{ledger_dir.rstrip('/')}/query={query}/batch={batch}"
 
 
-_SNAPSHOT = "upto-"
+_SNAPSHOT = "@upto-"
 # Micro-batches that a snapshot leaves alone: the stream may repeat its last one.
 RECENT = 10
 
 
-def _number(folder: str) -> int | None:
-    """The micro-batch of a folder, or the last one of a snapshot; None for other names."""
-    name = folder.rsplit("/", 1)[-1].removeprefix("batch=").removeprefix(_SNAPSHOT)
-    return int(name) if name.isdigit() else None
-
-
-def _is_snapshot(folder: str) -> bool:
-    return folder.rsplit("/", 1)[-1].startswith(f"batch={_SNAPSHOT}") and _number(folder) is not None
-
-
-def _split(folders: list[str]) -> tuple[list[str], list[str]]:
-    """(folders in force, folders that the newest snapshot covers) of one stream."""
-    snapshots = sorted((f for f in folders if _is_snapshot(f)), key=_number)
-    if not snapshots:
-        return folders, []
-    newest = snapshots[-1]
-    covered = [f for f in folders if f != newest and _number(f) is not None and _number(f) <= _number(newest)]
-    return [f for f in folders if f not in set(covered)], covered
-
-
-def _read(spark: SparkSession, query_dirs: list[str]) -> DataFrame:
-    folders = [f for d in query_dirs for f in _split(files.list_dirs(spark, d))[0]]
-    if not folders:
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(*[files.literal(f) for f in folders]).select(*LEDGER_SCHEMA.names)
+def _streams(spark: SparkSession, ledger_dir: str) -> dict[str, tuple[str | None, dict[int, str]]]:
+    """By stream its folder and its snapshots by their last micro-batch, from one listing."""
+    found: dict[str, tuple[str | None, dict[int, str]]] = {}
+    for folder in files.list_dirs(spark, ledger_dir):
+        name = folder.rsplit("/", 1)[-1]
+        if not name.startswith("query="):
+            continue
+        query, _, last = name.removeprefix("query=").partition(_SNAPSHOT)
+        own, snapshots = found.get(query, (None, {}))
+        found[query] = (own, {**snapshots, int(last): folder}) if last else (folder, snapshots)
+    return found
+
+
+def _read(spark: SparkSession, streams: Iterable[tuple[str | None, dict[int, str]]]) -> DataFrame:
+    """Rows of the streams' newest snapshots and of the micro-batches behind them."""
+    plain, frames = [], [spark.createDataFrame([], LEDGER_SCHEMA)]
+    for own, snapshots in streams:
+        if snapshots:
+            plain.append(snapshots[max(snapshots)])
+        if own and not snapshots:
+            plain.append(own)
+        elif own:
+            rows = spark.read.schema(copy.deepcopy(LEDGER_SCHEMA).add("batch", "string")).parquet(files.literal(own))
+            behind = F.expr("try_cast(batch as bigint)") > max(snapshots)
+            frames.append(rows.where(F.coalesce(behind, F.lit(True))).select(*LEDGER_SCHEMA.names))
+    if plain:
+        reader = spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", True)
+        frames[0] = reader.parquet(*[files.literal(f) for f in plain])
+    return reduce(DataFrame.unionByName, frames)
 
 
 def read_ledger(spark: SparkSession, ledger_dir: str) -> DataFrame:
     """Rows of all micro-batches: of each stream its snapshot and what came after."""
     files.make_dirs(spark, ledger_dir)
-    return _read(spark, [d for d in files.list_dirs(spark, ledger_dir) if d.rsplit("/", 1)[-1].startswith("query=")])
+    return _read(spark, _streams(spark, ledger_dir).values())
 
 
 def compact_ledger(spark: SparkSession, ledger_dir: str, query: str, recent: int = RECENT, rows_per_file: int = 1_000_000) -> int | None:
@@ -77,23 +84,26 @@ def compact_ledger(spark: SparkSession, ledger_dir: str, query: str, recent: int
     nothing has changed; ended after it, the next call deletes what is left. Tasks move the rows. None if there is
     nothing to gather. One call at a time per stream, which the stream itself makes between micro-batches.
     """
-    home = f"{ledger_dir.rstrip('/')}/query={query}"
-    current, covered = _split(files.list_dirs(spark, home))
-    for folder in covered:
+    own, snapshots = _streams(spark, ledger_dir).get(query, (None, {}))
+    if own is None:
+        return None
+    folders = {int(n): f for f in files.list_dirs(spark, own) if (n := f.rsplit("=", 1)[-1]).isdigit()}
+    newest = max(snapshots, default=-1)
+    for folder in [f for n, f in folders.items() if n <= newest] + [f for n, f in snapshots.items() if n < newest]:
         files.delete_tree(spark, folder)
-    done = [f for f in current if _is_snapshot(f) or _number(f) is not None and files.exists(spark, f"{f}/_SUCCESS")]
-    done = sorted(done, key=_number)[: -recent or None]
-    if len(done) < 2:
+    done = sorted(n for n, f in folders.items() if n > newest and files.exists(spark, f"{f}/_SUCCESS"))
+    done = done[: len(done) - recent] if recent else done
+    if not done:
         return None
-    last = _number(done[-1])
+    gathered = [folders[n] for n in done] + ([snapshots[newest]] if snapshots else [])
+    reader = spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", True)
+    rows = reader.parquet(*[files.literal(f) for f in gathered])
     hidden = f"{ledger_dir.rstrip('/')}/_compacting-{uuid.uuid4().hex}"
-    rows = spark.read.schema(LEDGER_SCHEMA).parquet(*[files.literal(f) for f in done])
-    many = max(1, -(-rows.count() // rows_per_file))
-    rows.repartition(many).write.parquet(hidden)
-    files.move_file(spark, hidden, f"{home}/batch={_SNAPSHOT}{last}")
-    for folder in done:
+    rows.repartition(max(1, -(-rows.count() // rows_per_file))).write.parquet(hidden)
+    files.move_file(spark, hidden, f"{ledger_dir.rstrip('/')}/query={query}{_SNAPSHOT}{done[-1]}")
+    for folder in gathered:
         files.delete_tree(spark, folder)
-    return last
+    return done[-1]
 
 
 def read_other_ledgers(spark: SparkSession, ledger_dir: str, ingest_id: str) -> DataFrame | None:
@@ -102,12 +112,9 @@ def read_other_ledgers(spark: SparkSession, ledger_dir: str, ingest_id: str) ->
     The stream itself never offers a path twice, so a micro-batch need not read back what its
     own stream has recorded. The driver lists one folder per stream, whatever the number of batches.
     """
-    own = f"query={_query_of(ingest_id)[0]}"
-    named = [d for d in files.list_dirs(spark, ledger_dir) if d.rsplit("/", 1)[-1].startswith("query=")]
-    others = [d for d in named if d.rsplit("/", 1)[-1] != own]
-    if not others:
-        return None
-    return _read(spark, others)
+    own = _query_of(ingest_id)[0]
+    others = [streams for query, streams in _streams(spark, ledger_dir).items() if query != own]
+    return _read(spark, others) if others else None
 
 
 def read_batch(spark: SparkSession, ledger_dir: str, ingest_id: str) -> DataFrame | None:
