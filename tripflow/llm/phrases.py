@@ -35,6 +35,8 @@ SAMPLE_SEED = 20
 BITS_PER_PHRASE = 16
 MOST_BITS = 29
 _CHUNK = 15
+# Rows that a worker hands over at once.
+LOT = 1 << 16
 
 _COUNTS = "lang string, phrase string, size int, n long"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -80,14 +82,17 @@ class Pieces:
         first = word.copy()
         first[1:] &= ~word[:-1]
         first[starts[starts < len(data)]] |= word[starts[starts < len(data)]]
-        first = np.flatnonzero(first)
-        kept = np.cumsum(word)  # word bytes up to and with each byte
+        last = word.copy()
+        last[:-1] &= ~word[1:] | first[1:]
+        first, last = np.flatnonzero(first), np.flatnonzero(last)
         self.rows = np.searchsorted(starts, first, side="right") - 1
-        self.piece = np.cumsum(breaks)[first] + self.rows if len(first) else first
-        bounds = np.append(kept[first] - 1 if len(first) else first, kept[-1] if len(kept) else 0)
+        # How many breaks stand before, and how many texts: equal for words of one piece only.
+        self.piece = np.searchsorted(np.flatnonzero(breaks), first) + self.rows
+        bounds = np.concatenate([[0], np.cumsum(last - first + 1)])
         words = pa.LargeStringArray.from_buffers(
             len(first), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[word]))
         ).dictionary_encode()
+        del breaks, word, first, last, bounds
         langs = langs.fill_null(NO_LANGUAGE).dictionary_encode()
         lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[self.rows]
         self.languages, self.n_words = langs.dictionary.cast(pa.string()), np.bincount(lang, minlength=len(langs.dictionary))
@@ -220,8 +225,8 @@ def count_phrases(
                         if latest is not None:
                             good &= np.logical_or.reduce([latest[i : n + i] for i in range(size - part + 1)])
                     at, counts = here.phrases(np.flatnonzero(good), size)
-                    if len(at):
-                        yield here.batch(at, size, counts)
+                    for lot in range(0, len(at), LOT):
+                        yield here.batch(at[lot : lot + LOT], size, counts[lot : lot + LOT])
                     if size == 1:
                         of = np.flatnonzero(here.n_words)
                         none, zero = pa.array([""] * len(of), pa.string()), pa.array([0] * len(of), pa.int32())
@@ -229,7 +234,7 @@ def count_phrases(
                         totals = [here.languages.take(pa.array(of)), none, zero, n_words]
                         yield pa.RecordBatch.from_arrays(totals, ["lang", "phrase", "size", "n"])
 
-    counted = docs.select("lang", "text").mapInArrow(run, _COUNTS)
+    counted = docs.select("lang", "text").mapInArrow(arrow.sparing(run), _COUNTS)
     return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
 
