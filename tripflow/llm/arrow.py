@@ -23,14 +23,15 @@ def flat(texts: pa.Array) -> pa.Array:
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
-    """(first row, rows) of consecutive parts of at most ``most`` bytes, or of one longer text."""
-    texts = flat(texts)
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    """(first row, rows) of consecutive parts of at most ``most`` bytes, or of one longer text; only a part is copied."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(texts):
         before = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
-        yield start, texts.slice(start, stop - start)
+        yield start, flat(texts.slice(start, stop - start))
         start = stop
 
 
