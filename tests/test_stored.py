@@ -14,7 +14,7 @@ from tripflow.operators.stored_stats import DISTINCT_BOUND, compact_stats, read_
 from tripflow.schemas import SchemaValidationError
 from tripflow.sources import skip_index as si
 from tripflow.sources.trips import read_any, read_listed
-from tripflow.streaming.trips import stream_trips, unified_trips, unify_files, windowed_counts
+from tripflow.streaming.trips import expired_trips, stream_trips, unified_trips, unify_files, windowed_counts
 
 EXTENT = st.Extent((0.0, 8.0), (0.0, 8.0), (datetime(2024, 1, 1), datetime(2024, 1, 9)), bits=5)
 
@@ -206,3 +206,31 @@ def test_snapshots_of_the_ledger_lose_and_double_nothing(spark, tmp_path, monkey
     listing = spark.createDataFrame([("/in/3-1.parquet", 1), ("/in/19-0.parquet", 1), ("/in/new.parquet", 1)], "path string, length long")
     assert [r.path for r in L.pending_files(listing, L.read_ledger(spark, folder)).collect()] == ["/in/new.parquet"]
     assert L.read_other_ledgers(spark, folder, "other-1").count() == 40
+
+
+def test_trips_expire_one_by_one_and_state_is_let_go(spark, make_raw, tmp_path):
+    start, day = datetime(2024, 1, 1), timedelta(days=1)
+    folders = (f"{tmp_path}/in", "yellow", f"{tmp_path}/table", f"{tmp_path}/c1")
+
+    def run(*pickups):
+        make_raw("yellow", *[{"tpep_pickup_datetime": p} for p in pickups]).coalesce(1).write.mode("append").parquet(folders[0])
+        unify_files(spark, *folders, available_now=True, clock_col="clock").awaitTermination()
+        old = expired_trips(unified_trips(spark, folders[2], "yellow", True, "clock"), "tpep_pickup_datetime", "clock")
+        query = old.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c2").trigger(availableNow=True)
+        query = query.start(f"{tmp_path}/out")
+        query.awaitTermination()
+        emitted = spark.read.schema(old.schema).parquet(f"{tmp_path}/out").select("tpep_pickup_datetime").collect()
+        return sorted((r[0] for r in emitted), key=str), query.lastProgress.stateOperators[0].numRowsTotal
+
+    assert run(start, start, start + day) == ([], 2)  # copies share a row of state
+    # Exactly 30 days old is not expired; a millisecond more is.
+    assert run(start + 30 * day) == ([], 3)
+    moment = timedelta(milliseconds=1)
+    assert run(start + 30 * day + moment) == ([start, start], 3)
+    # Late trips and those without a time pass at once; what is late but young enough is held.
+    out, held = run(start - 9 * day, None, start + 2 * day)
+    assert out == sorted([start, start, start - 9 * day, None], key=str) and held == 4
+    out, held = run(start + 90 * day)
+    assert len(out) == 8 and held == 1
+    everything = unified_trips(spark, folders[2], "yellow")
+    assert everything.count() == 9

@@ -14,14 +14,14 @@ from ..operators import metrics
 from ..operators.features import attribute_stats, with_zones
 from ..operators.spacetime import Extent, box_files, key_ranges, read_box, write_clustered
 from ..operators.stored_stats import read_stats, store_stats, within_bound
-from ..schemas import KINDS
+from ..schemas import GREEN, KINDS
 from ..session import scratch_dir
 from ..sinks.ingest_sinks import TripTables
 from ..sources import files
 from ..sources.skip_index import build_skip_index, candidate_files, pruned_scan
 from ..streaming.live import LiveTotals, observed
 from ..streaming.ingest import IngestConfig, run_once
-from ..streaming.trips import stream_trips, unified_trips, unify_files
+from ..streaming.trips import expired_trips, stream_trips, unified_trips, unify_files
 from .catalog import _kept, trips
 from .oracle import _VALID
 from .testbed import raw_trips, trip_files, with_ctes, zones
@@ -56,6 +56,23 @@ def stream_mixed(spark, sf_dir):
     return _kept(report, root)
 
 
+def stream_expired(spark, sf_dir):
+    """Green trips as two streams emit them when they turn 30 days old: files come in by years, the oldest ones last."""
+    root, clock = scratch_dir(spark, "expired"), "clock"
+    keyed, at = raw_trips(spark, sf_dir, "green", keys=True), F.col(GREEN.pickup)
+    year = F.coalesce(F.year(at), F.lit(0))
+    for taken in (year == 1994, year > 1995, (year < 1994) | (year == 1995)):  # each run goes on from the one before
+        keyed.where(taken).drop("o_orderkey").write.mode("append").parquet(f"{root}/in")
+        unify_files(spark, f"{root}/in", GREEN, f"{root}/table", f"{root}/c1", available_now=True, clock_col=clock).awaitTermination()
+        old = expired_trips(unified_trips(spark, f"{root}/table", GREEN, True, clock), GREEN.pickup, clock)
+        query = old.writeStream.format("parquet").option("checkpointLocation", f"{root}/c2").outputMode("append")
+        query.trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    report = spark.read.schema(GREEN.trip_schema).parquet(f"{root}/out").groupBy("VendorID").agg(
+        F.count(F.lit(1)).alias("trips"), F.max(GREEN.pickup).alias("latest"), F.sum("fare_amount").alias("fare_amount")
+    )
+    return _kept(report, root)
+
+
 class Crash(RuntimeError):
     """What a test run raises in the middle of a micro-batch."""
 
@@ -178,7 +195,7 @@ def live_totals(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (stream_mixed, ingest_replay, indexed_range, skipped_files, stored_stats, live_totals)
+    f.__name__: f for f in (stream_mixed, stream_expired, ingest_replay, indexed_range, skipped_files, stored_stats, live_totals)
 }
 
 
@@ -194,6 +211,9 @@ _SQL = {
     "stream_mixed": """select VendorID, count(*) as trips, sum(passenger_count)::bigint as passengers,
         count(*) filter (o_orderkey % 2 = 1) as with_fee, sum(fare_amount) as fare_amount
       from green_trips group by VendorID""",
+    "stream_expired": """select VendorID, count(*) as trips, max(lpep_pickup_datetime) as latest, sum(fare_amount) as fare_amount
+      from green_trips, (select max(lpep_pickup_datetime) - interval 30 day as since from green_trips)
+      where lpep_pickup_datetime < since or lpep_pickup_datetime is null group by VendorID""",
     "ingest_replay": " union all ".join(
         f"select '{run}' as run, '{kind}' as kind, 'processed' as status, 2::bigint as files, count(*) as records,"
         f" count(*) as loaded, sum(total_amount) as total_amount, {crashes} as crashes, 4 as moved, 0 as left_over"
