@@ -112,6 +112,55 @@ def test_throttle_limits_the_tasks(spark):
     assert posted.rdd.getNumPartitions() == 2 and posted.filter("ok").count() == 8
 
 
+@pytest.mark.parametrize("barrier", [False, True])
+def test_two_requests_at_once_and_none_waits_for_ever(spark, tmp_path, barrier):
+    folder = str(tmp_path)
+
+    def post(body):
+        """Notes how many requests run; document 7 is turned away twice, 1007 always."""
+        import os
+        import time
+        import uuid
+
+        name = uuid.uuid4().hex
+        open(f"{folder}/run-{name}", "w").close()
+        with open(f"{folder}/seen-{name}", "w") as out:
+            out.write(str(sum(f.startswith("run-") for f in os.listdir(folder))))
+        try:
+            time.sleep(0.05)
+            if '"id":7}' in body and sum(f.startswith("try-") for f in os.listdir(folder)) < 2:
+                open(f"{folder}/try-{name}", "w").close()
+                raise bulk.Busy("429")
+            if '"id":1007}' in body:
+                raise bulk.Busy("429")
+        finally:
+            os.remove(f"{folder}/run-{name}")
+
+    docs = spark.range(6_000, numPartitions=6).select(F.to_json(F.struct("id")).alias("doc"))
+    stored = f"{tmp_path}-bodies"
+    bulk.write_bodies(bulk.bulk_chunks(docs, "yellowtaxi"), stored)
+    posted = bulk.post_chunks(spark.read.parquet(stored), post, 2, 0, max_wait_s=1.5, barrier=barrier)
+    errors = sorted(r.error or "" for r in posted.collect())
+    seen = [int(f.read_text()) for f in tmp_path.iterdir() if f.name.startswith("seen-")]
+    assert max(seen) <= 2 and len(list(tmp_path.glob("try-*"))) == 2
+    assert errors == [""] * 5 + ["TimeoutError: turned away for 1.5 s: 429"]
+
+
+def test_a_request_without_an_answer_keeps_its_turn(spark):
+    def post(body):
+        import time
+
+        if '"id":7}' in body:
+            time.sleep(3)
+
+    docs = spark.range(4_000, numPartitions=1).select(F.to_json(F.struct("id")).alias("doc"))
+    posted = bulk.post_chunks(bulk.bulk_chunks(docs, "yellowtaxi"), post, 1, 0, max_wait_s=1.0, answer_s=0.5)
+    errors = {r.chunk_id: r.error for r in posted.collect()}
+    assert errors["0-0"] == "TimeoutError: no answer in 0.5 s"
+    # The next ones wait for their turn, a second each, until the first request has ended.
+    assert errors["0-1"] == errors["0-2"] == "TimeoutError: waited 1 s for a turn" and errors["0-3"] is None
+
+
 def test_single_document_returns_its_id():
     stored = {}
 
