@@ -48,6 +48,46 @@ def test_expected_counts_weigh_segmentations():
             assert got[PIECES.index(piece), language] == pytest.approx(want)
 
 
+def plain_log(word, language, table):
+    """The forward pass in exact fractions, position by position."""
+    from fractions import Fraction
+
+    sums = [Fraction(1)] + [Fraction(0)] * len(word)
+    for end in range(1, len(word) + 1):
+        for start in range(max(0, end - langid.LONGEST_PIECE), end):
+            if word[start:end] in PIECES or end - start == 1:
+                sums[end] += sums[start] * Fraction(float(chance(word[start:end], language, table)))
+    top = sums[-1]
+    return math.log(top.numerator) - math.log(top.denominator)
+
+
+@pytest.mark.parametrize("length", [1, 15, 16, 17, 31, 32, 33, 47, 48, 49, 100, 517])
+def test_long_runs_are_summed_across_parts(length):
+    rng, table, lattice = np.random.default_rng(length), chances(), langid.Lattice(PIECES)
+    words = ["".join(rng.choice(list("abcx"), length)), "ab" * length, "x" * length]
+    got = langid.LanguageModel(["one", "two"], PIECES, table).word_scores(lattice, words)
+    for word, logs in zip(words, got):
+        for language in range(2):
+            assert logs[language] == pytest.approx(plain_log("▁" + word, language, table), rel=1e-9)
+
+
+def test_pieces_of_sixteen_letters_reach_over_parts(monkeypatch):
+    monkeypatch.setitem(globals(), "PIECES", ["a", "b", "ab" * 8, "ba" * 8, "▁"])
+    monkeypatch.setattr(langid, "PARTS_AT_ONCE", 3)
+    table, lattice = chances(), langid.Lattice(PIECES)
+    words = ["ab" * 30, "ba" * 45 + "b", "a" * 40]
+    got = langid.LanguageModel(["one", "two"], PIECES, table).word_scores(lattice, words)
+    for word, logs in zip(words, got):
+        assert list(logs) == pytest.approx([plain_log("▁" + word, k, table) for k in range(2)], rel=1e-9)
+
+
+def test_too_many_languages_are_refused(spark):
+    docs = spark.range(200).selectExpr("id doc_id", "'some text' text", "concat('l', id % 40) lang")
+    with pytest.raises(ValueError, match="more than 10 languages"):
+        langid.training_rows(docs, 5, most_languages=10)
+    assert langid.training_rows(docs, 1).count() == 40
+
+
 def test_vocabulary_is_the_public_one():
     pieces = langid.read_vocabulary()
     assert len(pieces) > 20_000 and "▁the" in pieces and len(set(pieces)) == len(pieces)

@@ -115,3 +115,15 @@ def test_classifier_without_labels_or_documents(spark, tmp_path):
     assert [(r["score"], r["predicted"]) for r in classifier.op2_quality(spark, folder).collect()] == [(0.5, 1)]
     folder = tables(spark, tmp_path / "b", [], [])
     assert classifier.op2_quality(spark, folder).count() == 0 and rules.op6_quality_rules(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("n, each", [(30, 30), (3_000, 256), (40_000, 256)])
+def test_every_tree_draws_its_rows_from_the_whole_table(spark, n, each):
+    counts = spark.range(n).select(F.col("id").alias("doc_id"), *[F.col("id").alias(c) for c in rules.COUNTS])
+    drawn = rules.tree_rows(counts).toPandas()
+    assert (drawn.groupby("tree").size() == each).all() and drawn["tree"].nunique() == rules.TREES
+    column = rules.COUNTS[0]
+    assert not drawn.duplicated(["tree", column]).any()
+    if n > 30_000:  # far more rows than trees need: they share few, and all of the table is in reach
+        assert drawn[column].nunique() > 0.5 * len(drawn) and drawn[column].max() > 0.99 * n and drawn[column].min() < 0.01 * n
+    assert rules.tree_rows(counts.limit(0)).count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -15,18 +16,21 @@ from . import arrow
 from .common import checkpointed, held_out, learnable, table, unit_interval
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-# The model learns the most frequent languages, each from at most so many documents, those with the lowest
-# hashes. Both bounds are parameters of the fit; every text is scored.
+# The model learns each language from at most so many documents, those with the lowest hashes. The bound is a
+# parameter of the fit; every text is scored.
 DOCS_PER_LANGUAGE = 1000
+# The model is a matrix of pieces and languages. A table with more languages than this is refused.
 MOST_LANGUAGES = 1000
 ROUNDS = 4
 # Weight of the uniform distribution that each language's counts are mixed with, in pieces.
 SMOOTHING = 200.0
 # Probability of a letter that no piece covers.
 UNKNOWN = 1e-8
-# Longer runs of letters are scored in parts of this length, so that no product underflows.
+# Longer runs of letters are taken in parts: for the fit each by itself, for scores with the sums carried over.
 PART = 32
 LONGEST_PIECE = 16
+# Parts of long runs whose transfer matrices are held at once.
+PARTS_AT_ONCE = 1000
 NOT_LETTERS = r"[^\p{L}\p{M}]+"
 NO_LANGUAGE = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -111,8 +115,57 @@ def expected_counts(arcs: dict, length: int, weights: np.ndarray, chances: np.nd
     return out
 
 
+def transfers(lattice: Lattice, windows: list[str], chances: np.ndarray) -> np.ndarray:
+    """For windows of one length, matrices (window, from, to, language) that carry prefix sums over a part.
+
+    A window is a part behind the 15 letters before it. ``from`` are the 16 prefixes that end among those letters or
+    before them, ``to`` the last 16 prefixes of the window.
+    """
+    length, n = len(windows[0]), len(windows)
+    sums = [np.zeros((n, LONGEST_PIECE, chances.shape[1])) for _ in range(length + 1)]
+    for i in range(LONGEST_PIECE):
+        sums[i][:, i] = 1.0
+    for (start, end), piece in sorted(lattice.arcs(windows, length).items(), key=lambda a: a[0][1]):
+        if end >= LONGEST_PIECE:
+            sums[end] += sums[start] * chances[piece][:, None, :]
+    return np.stack(sums[-LONGEST_PIECE:], axis=2)
+
+
+def long_scores(lattice: Lattice, words: list[str], chances: np.ndarray) -> np.ndarray:
+    """Log probability of each marked word of more than ``LONGEST_PIECE`` letters, over all its segmentations.
+
+    The sums of the last 16 prefixes are carried from part to part and rescaled there, so no product underflows
+    and no piece is lost where parts meet. Parts are of 16 letters: a sum that is carried reaches over 31 at most.
+    """
+    logs = np.zeros((len(words), chances.shape[1]))
+    if not words or not chances.shape[1]:
+        return logs
+    step, carried = LONGEST_PIECE, {}
+    heads = [w[:step] for w in words]
+    for at in range(0, len(heads), PARTS_AT_ONCE):
+        some = heads[at : at + PARTS_AT_ONCE]
+        sums = np.stack(forward(lattice.arcs(some, step), step, len(some), chances)[1:], axis=1)
+        carried.update(zip(range(at, at + len(some)), sums))
+    # The parts of all words, one word after the other, so that few sums are under way.
+    places = ((i, p) for i, w in enumerate(words) for p in range(step, len(w), step))
+    most = max(1, PARTS_AT_ONCE // (1 + chances.shape[1] // 16))
+    while some := list(itertools.islice(places, most)):
+        windows = [words[i][p - step + 1 : p + step] for i, p in some]
+        matrices: dict[str, np.ndarray] = {}
+        for same in by_length(set(windows)).values():
+            matrices.update(zip(same, transfers(lattice, same, chances)))
+        for (i, _), window in zip(some, windows):
+            sums = np.einsum("jl,jil->il", carried[i], matrices[window])
+            top = sums.max(axis=0)
+            logs[i] += np.log(top)
+            carried[i] = sums / top
+    for i, sums in carried.items():
+        logs[i] += np.log(sums[-1])
+    return logs
+
+
 def parts(word: str) -> list[str]:
-    """A word with its mark of a word's begin, in parts that can be scored."""
+    """A word with its mark of a word's begin, in parts that the fit takes one by one."""
     marked = "▁" + word
     return [marked[i : i + PART] for i in range(0, len(marked), PART)]
 
@@ -137,25 +190,33 @@ class LanguageModel:
 
     def word_scores(self, lattice: Lattice, words: list[str]) -> np.ndarray:
         """Log probability of each word under each language."""
-        cut = [parts(w) for w in words]
-        scores: dict[str, np.ndarray] = {}
-        for length, strings in by_length({p for c in cut for p in c}).items():
-            for i in range(0, len(strings), 20_000):
-                some = strings[i : i + 20_000]
-                total = forward(lattice.arcs(some, length), length, len(some), self.chances)[length]
-                scores.update(zip(some, np.log(total)))
-        return np.array([scores[c[0]] if len(c) == 1 else sum(scores[p] for p in c) for c in cut])
-
-
-def training_rows(docs: DataFrame, docs_per_language: int) -> DataFrame:
+        marked = ["▁" + w for w in words]
+        scores = np.zeros((len(words), self.chances.shape[1]))
+        places: dict[int, list[int]] = {}
+        for i, w in enumerate(marked):
+            places.setdefault(min(len(w), PART + 1), []).append(i)
+        for length, at in places.items():
+            for low in range(0, len(at), 20_000):
+                some = at[low : low + 20_000]
+                strings = [marked[i] for i in some]
+                if length > PART:
+                    scores[some] = long_scores(lattice, strings, self.chances)
+                else:
+                    scores[some] = np.log(forward(lattice.arcs(strings, length), length, len(some), self.chances)[length])
+        return scores
+
+
+def training_rows(docs: DataFrame, docs_per_language: int, most_languages: int = MOST_LANGUAGES) -> DataFrame:
     """(lang, text) of the learnable documents with the lowest hashes of each language.
 
     Languages are counted first and thinned by hash, so that the ranking sees a bounded number of rows. The
-    counts that are broadcast have ``MOST_LANGUAGES`` rows at most.
+    counts that are broadcast have ``MOST_LANGUAGES`` rows at most; more languages are an error.
     """
     known = docs.where(learnable(F.col("doc_id")) & F.col("lang").isNotNull())
     counts = known.groupBy(F.col("lang").alias("language")).agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.orderBy(F.desc("n"), "language").limit(MOST_LANGUAGES)
+    counts = checkpointed(counts)
+    if counts.limit(most_languages + 1).count() > most_languages:
+        raise ValueError(f"more than {most_languages} languages: the model would not fit in a worker")
     drawn = known.withColumn("draw", F.xxhash64("doc_id"))
     thinned = drawn.join(F.broadcast(counts), F.col("lang") == F.col("language")).where(
         unit_interval(F.col("draw")) * F.col("n") < 3.0 * docs_per_language

@@ -8,15 +8,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_sample, checkpointed, learnable, table
+from .common import checkpointed, learnable, table, unit_interval
 from .statistics import COUNTS, with_counts
 
-# The forest is grown from at most so many documents, those with the lowest hashes.
-FIT_ROWS = 8192
 TREES = 100
 SUBSAMPLE = 256
 # How many times worse it is to lose a share of good documents than to keep the same share of bad ones.
@@ -74,8 +72,16 @@ class Forest:
 
 
 def grow(x: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = 11) -> Forest:
+    """A forest whose trees draw their rows from ``x``."""
     rng = np.random.default_rng(seed)
     size = min(subsample, len(x))
+    return grow_from([x[rng.choice(len(x), size, replace=False)] for _ in range(trees if len(x) else 0)], seed)
+
+
+def grow_from(samples: list[np.ndarray], seed: int = 11) -> Forest:
+    """A forest with one tree for each of the samples."""
+    rng = np.random.default_rng(seed)
+    size = max(map(len, samples), default=0)
     depth = max(1, int(np.ceil(np.log2(max(size, 2)))))
 
     def tree(rows: np.ndarray):
@@ -99,10 +105,27 @@ def grow(x: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, seed: in
         columns = list(zip(*nodes))
         return (*(np.array(columns[i], np.float64 if i in (1, 4) else np.int64) for i in range(5)),)
 
-    if not len(x):
-        return Forest([], depth, 1.0)
-    grown = [tree(x[rng.choice(len(x), size, replace=False)]) for _ in range(trees)]
-    return Forest(grown, depth, max(1.0, float(average_path(size))))
+    return Forest([tree(rows) for rows in samples], depth, max(1.0, float(average_path(size))))
+
+
+def tree_rows(counts: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE) -> DataFrame:
+    """``tree, rank`` and the counts of the rows that each tree is grown from: ``subsample`` of them, drawn by hash
+    from the whole table.
+
+    Each row belongs to one tree, or to as many as it takes for every tree to have enough rows to draw from. The
+    rows of a tree are thinned by hash before they are ranked, so that no task sees more than a bounded number.
+    """
+    n = counts.count()
+    shares = min(trees, -(-2 * trees * subsample // max(n, 1)))
+    hashed, step = F.xxhash64("doc_id", *COUNTS), F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))
+    dealt = (
+        counts.select("doc_id", *COUNTS, hashed.alias("hash"), step.alias("step"))
+        .withColumn("tree", F.pmod(F.pmod("hash", F.lit(trees)) + F.col("step"), F.lit(trees)).cast("int"))
+        .withColumn("draw", F.xxhash64("hash", "tree"))
+        .where(unit_interval(F.col("draw")) * (n * shares / trees) < 3.0 * subsample)
+    )
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy("draw", "doc_id"))
+    return dealt.withColumn("rank", rank).where(F.col("rank") <= subsample).select("tree", "rank", *COUNTS)
 
 
 def score(counts: DataFrame, forest: Forest) -> DataFrame:
@@ -149,11 +172,13 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     A document fails the base rules with fewer than 50 words or more than half of them in repeated windows.
     The others are kept unless the forest finds them as anomalous as labelled junk. Null and empty texts
-    fail the base rules. Counts are stored once; the forest, the threshold and the verdicts read those.
+    fail the base rules. Repeated documents are rows of their own, and of repeated labels each counts in the
+    calibration. Counts are stored once; the forest, the threshold and the verdicts read those.
     """
     counts = checkpointed(with_counts(docs.select("doc_id", "text")).drop("text"))
-    sample = bounded_sample(counts.where("n_words > 0"), ["doc_id", *COUNTS], FIT_ROWS)
-    forest = grow(rates(sample.toPandas()))
+    # At most ``TREES * SUBSAMPLE`` rows of a few numbers.
+    drawn = tree_rows(counts.where("n_words > 0")).toPandas().sort_values(["tree", "rank"])
+    forest = grow_from([rates(rows) for _, rows in drawn.groupby("tree")])
     scored = checkpointed(score(counts, forest))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return scored.withColumn("base_failed", failed).withColumn(
