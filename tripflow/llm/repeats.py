@@ -123,7 +123,8 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     a partial aggregation; a unit that a third of all documents share is one row per task there. The shared
     digests are stored, so that the join with the occurrences is shuffled on both sides and Spark can split it.
     """
-    found = units(docs.select("doc_id", "text"), min_words)
+    # Taking texts apart costs far more than writing the units, which are needed twice.
+    found = checkpointed(units(docs.select("doc_id", "text"), min_words))
     place = F.struct("rank", "text_hash")
     shared = (
         found.groupBy("high", "low")
