@@ -158,6 +158,31 @@ def test_overlapping_repeats_of_one_text_leave_the_first(spark):
     assert found == {1: ("No no no. " * 4).split(), 2: "So it is.".split()}
 
 
+def test_lines_of_any_length_and_runs_of_neighbours(spark):
+    unlike = lambda i, n: " ".join(f"u{i}x{j}" for j in range(n))
+    footer, lines = "Call us on weekdays, thank you", ["one two three four five", "six seven eight nine ten", "a b c d e f"]
+    stock = "this stock sentence of ten words stands in many texts."
+    passage = ". ".join(unlike("p", 9).replace("x", f"y{k}x") for k in range(4)) + "."
+    rows = [(i, f"{unlike(i, 5)}\n{footer}", "x") for i in range(200)]
+    rows += [(300 + i, "\n\n".join([unlike(300 + i, 5), "\n".join(lines)]), "x") for i in range(20)]
+    rows += [(400 + i, f"{unlike(400 + i, 5)}. {stock} {unlike(500 + i, 4)}", "x") for i in range(10)]
+    rows += [(600, f"{unlike(600, 4)}. {passage} {unlike(601, 9)}", "x"), (601, f"{passage} {stock}\n", "x"), (601, f"{passage} {stock}\n", "y")]
+    rows += [(None, None, "x"), (None, footer, "x"), (700, "", "x"), (701, "Again!\nagain", "x"), (702, "word " * 100_000, "x")]
+    docs = spark.createDataFrame(rows, DOCS)
+    texts = {r[0]: r[1] for r in rows}
+    found = {}
+    for r in repeats.repeated_runs(docs).collect():
+        found.setdefault(r["doc_id"], []).append((texts[r["doc_id"]][r["start"] : r["end"]], r["n_words"], r["first_doc_id"]))
+    assert all(found[i] == [(footer, 6, 0)] for i in range(1, 200)) and 0 not in found and found[None][0][1:] == (6, 0)
+    assert all(found[300 + i] == [("\n".join(lines), 16, 300)] for i in range(1, 20)) and 300 not in found
+    assert not any(400 + i in found for i in range(10))  # a stock sentence within lines is left alone
+    assert found[601] == [(f"{passage} {stock}", 46, 400)] and 600 not in found
+    assert found[701] == [("again", 1, 701)] and 700 not in found and 702 not in found
+    plain = {r["doc_id"] for r in repeats.repeated_runs(docs, lines=False).collect()}
+    assert plain == {601}
+    assert repeats.repeated_runs(docs.limit(0)).count() == 0
+
+
 def test_rows_of_one_id_with_different_texts_are_documents_of_their_own(spark):
     line = "both rows of this id hold this very line of words"
     docs = spark.createDataFrame([(1, f"a\n{line}", "x"), (1, f"b\n{line}", "x"), (2, f"b\n{line}", "x"), (2, f"b\n{line}", "y")], DOCS)
