@@ -4,9 +4,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
-from tripflow.llm import phrases
+from tripflow.llm import arrow, phrases
 
 
 def grams(rows, longest=4):
@@ -89,6 +90,24 @@ def test_query_against_brute_force(spark, tmp_path):
     assert sorted(tuple(r) for r in found) == want
 
 
+def test_a_batch_in_several_slices_loses_no_word(spark):
+    # Over 4 MB in one batch without nulls: filling nulls copies a slice, which hides where its offsets start.
+    rows = [("en" if i % 3 else "fr", f"Left Right w{i % 50} v{i % 7}. " * 200) for i in range(1500)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    found = phrases.frequent_phrases(docs, least=9).collect()
+    counts, totals = grams(rows)
+    assert {r["lang"]: r["n"] for r in found if not r["size"]} == totals
+    assert {(r["lang"], r["phrase"]): r["n"] for r in found if r["size"]} == {k: n for k, n in counts.items() if n >= 9}
+
+
+def test_slices_start_at_offset_0():
+    whole = pa.array([f"Aa{i}" for i in range(20)])
+    for texts in (arrow.flat(whole.slice(7, 5)), next(t for start, t in arrow.slices(whole, 12) if start)):
+        assert np.frombuffer(texts.buffers()[1], np.int64)[texts.offset] == 0
+        assert pc.ascii_lower(texts).to_pylist() == [t.lower() for t in texts.to_pylist()]
+    assert arrow.flat(whole.slice(7, 5)).to_pylist() == whole[7:12].to_pylist()
+
+
 def test_products_beyond_64_bits_are_exact(spark):
     a = 2**60 + 1
     rows = [("en", "x y", 2, a), ("en", "x", 1, 2**61 + 3), ("en", "y", 1, 2**62 - 9)]

@@ -16,10 +16,23 @@ SLICE_BYTES = 4 << 20
 
 
 def flat(texts: pa.Array) -> pa.Array:
-    """One array of strings with 64-bit offsets, null replaced by the empty text."""
+    """One array of strings with 64-bit offsets that start at 0, null replaced by the empty text.
+
+    Casting a slice keeps the offsets of the whole, which Arrow's string functions don't all stand: ``ascii_lower``
+    then gives offsets that point behind its data. The bytes are shared, not copied.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    return pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if not len(texts):
+        return texts
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if not offsets[0]:
+        return texts
+    return pa.LargeStringArray.from_buffers(
+        len(texts), pa.py_buffer(offsets - offsets[0]), data.slice(offsets[0], offsets[-1] - offsets[0])
+    )
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
