@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF, YELLOW_ROW, plan_of
+from tripflow.plans import catalog
 from tripflow.functions import names
 from tripflow.operators import documents, schema_ops
 from tripflow.operators.quality import violation_report
@@ -281,3 +282,16 @@ def test_names(spark, function, text, expected):
 
 def test_yellow_row_matches_file_schema():
     assert list(YELLOW_ROW) == YELLOW.file_schema.names
+
+
+def test_rows_of_tables_that_are_folders(spark, tmp_path):
+    spark.range(7).coalesce(1).write.parquet(f"{tmp_path}/staged")
+    (single,) = (tmp_path / "staged").glob("*.parquet")
+    single.rename(tmp_path / "one.parquet")
+    spark.range(100).repartition(5).write.parquet(f"{tmp_path}/many.parquet")
+    spark.range(40).withColumn("k", F.col("id") % 4).write.partitionBy("k").parquet(f"{tmp_path}/deep.parquet")
+    spark.range(3).repartition(2).write.parquet(f"{tmp_path}/torn.parquet")
+    (tmp_path / "torn.parquet" / "part.parquet").write_bytes(b"PAR1 torn")
+    found = {r.table_name: r.n_rows for r in footers.table_rows(spark, str(tmp_path)).collect()}
+    assert found == {"one": 7, "many": 100, "deep": 40, "torn": None}
+    assert catalog.footer_counts(spark, str(tmp_path)).count() == 4
