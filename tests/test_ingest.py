@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from tripflow.operators import metrics
+from tripflow.plans import catalog
 from tripflow.plans.testbed import trip_files
 from tripflow.sinks.bulk import BulkLoadError
 from tripflow.sinks.ingest_sinks import SearchIndex, SqlTables, TripTables
@@ -427,3 +428,15 @@ def test_timer_and_rates(spark):
     }
     status = {(r.kind, r.status): (r.files, r.records) for r in metrics.status_totals(book).collect()}
     assert status == {("yellow", "processed"): (2, 180), (None, "not_parquet"): (1, 0)}
+
+
+def test_query_over_an_input_whose_first_part_is_empty(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    # Parts far smaller than a row group: only the one with its middle has rows.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = catalog.ingest_directory(spark, SF).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r["kind"], r["status"]) for r in found) == [("green", "processed"), ("yellow", "processed")]
+    assert all(r["records"] == r["loaded"] > 0 for r in found)
