@@ -173,9 +173,12 @@ def live_totals(spark, sf_dir):
     spark.streams.addListener(seen)
     try:
         for kind in KINDS:
-            trip_files(spark, sf_dir, kind).repartition(4).write.parquet(f"{root}/{kind}/in")
+            dropped = trip_files(spark, sf_dir, kind)
+            # As many files as the input has parts, half of them per micro-batch: no task gets more as the tables grow.
+            dropped.repartition(max(4, dropped.rdd.getNumPartitions())).write.parquet(f"{root}/{kind}/in")
+            n_files = len([f for f in files.list_files(spark, f"{root}/{kind}/in") if files.is_parquet_name(f.path)])
             query = (
-                observed(stream_trips(spark, f"{root}/{kind}/in", kind, max_files_per_trigger=2), kind)
+                observed(stream_trips(spark, f"{root}/{kind}/in", kind, max_files_per_trigger=-(-n_files // 2)), kind)
                 .writeStream.format("parquet")
                 .option("checkpointLocation", f"{root}/{kind}/checkpoint")
                 .trigger(availableNow=True)
