@@ -6,7 +6,9 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF
 from tripflow.operators import spacetime as st
+from tripflow.plans import stored
 from tripflow.schemas import LEDGER_SCHEMA
 from tripflow.sources import files
 from tripflow.streaming import ledger as L
@@ -234,3 +236,35 @@ def test_trips_expire_one_by_one_and_state_is_let_go(spark, make_raw, tmp_path):
     assert len(out) == 8 and held == 1
     everything = unified_trips(spark, folders[2], "yellow")
     assert everything.count() == 9
+
+
+def test_live_totals_writes_as_many_files_as_its_input_has_parts(spark, monkeypatch):
+    limits = []
+
+    def stream(session, path, kind, max_files_per_trigger):
+        limits.append(max_files_per_trigger)
+        return stream_trips(session, path, kind, max_files_per_trigger=max_files_per_trigger)
+
+    monkeypatch.setattr(stored, "stream_trips", stream)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    try:
+        found = stored.live_totals(spark, SF).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert all(r["batches"] == 2 and r["trips"] == r["written"] > 0 for r in found) and len(found) == 2
+    assert min(limits) > 2
+
+
+@pytest.mark.parametrize("bits", [5, 12, 20])
+def test_keys_interleave_in_few_expressions(spark, bits):
+    extent = st.Extent((0.0, 8.0), (0.0, 8.0), (datetime(2024, 1, 1), datetime(2024, 1, 9)), bits=bits)
+    draw = random.Random(bits)
+    rows = [(draw.uniform(0, 8), draw.uniform(0, 8), datetime(2024, 1, 1) + timedelta(hours=draw.uniform(0, 192))) for _ in range(300)]
+    df = spark.createDataFrame(rows, "lon double, lat double, at timestamp_ntz")
+    key = st.z_key(F.col("lon"), F.col("lat"), F.col("at"), extent)
+    for lon, lat, at, found in df.withColumn("key", key).collect():
+        cells = [st._cell_of(lon, 0.0, 8.0, bits), st._cell_of(lat, 0.0, 8.0, bits)]
+        cells.append(st._cell_of(float(st._micros(at)), *(float(st._micros(t)) for t in extent.time), bits))
+        assert found == sum((c >> b & 1) << 3 * b + 2 - i for i, c in enumerate(cells) for b in range(bits))
+    assert str(key).count("shiftleft") <= 3 * -(-bits // 6)

@@ -18,6 +18,8 @@ KEY = "zkey"
 # Bits per dimension, and the ranges that a box is cut into at most.
 BITS = 12
 MOST_RANGES = 256
+# Bits of a cell that one look into a table sets apart.
+_TABLE_BITS = 6
 
 
 @dataclass(frozen=True)
@@ -57,8 +59,12 @@ def z_key(lon: Column, lat: Column, time: Column, extent: Extent) -> Column:
         _cell(lat, *extent.lat, bits),
         _cell(epoch_micros(time).cast("double"), float(begin), float(end), bits),
     )
+    # Bits are set apart by table, a few at a time: one expression per bit grows past what Spark compiles.
+    apart = F.lit([sum((n >> bit & 1) << 3 * bit for bit in range(_TABLE_BITS)) for n in range(1 << _TABLE_BITS)]).cast("array<long>")
     spread = [
-        F.shiftleft(F.shiftright(cell, bit).bitwiseAND(F.lit(1)), 3 * bit + 2 - i) for i, cell in enumerate(cells) for bit in range(bits)
+        F.shiftleft(F.get(apart, F.shiftright(cell, bit).bitwiseAND(F.lit((1 << _TABLE_BITS) - 1)).cast("int")), 3 * bit + 2 - i)
+        for i, cell in enumerate(cells)
+        for bit in range(0, bits, _TABLE_BITS)
     ]
     return F.coalesce(reduce(Column.bitwiseOR, spread), F.lit(-1).cast("long"))
 
