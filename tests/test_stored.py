@@ -6,7 +6,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF
+from conftest import SF, plan_of
 from tripflow.operators import spacetime as st
 from tripflow.plans import stored
 from tripflow.schemas import LEDGER_SCHEMA
@@ -268,3 +268,18 @@ def test_keys_interleave_in_few_expressions(spark, bits):
         cells.append(st._cell_of(float(st._micros(at)), *(float(st._micros(t)) for t in extent.time), bits))
         assert found == sum((c >> b & 1) << 3 * b + 2 - i for i, c in enumerate(cells) for b in range(bits))
     assert str(key).count("shiftleft") <= 3 * -(-bits // 6)
+
+
+def test_replayed_files_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    plans, write = [], stored.trip_files
+
+    def trip_files(*args):
+        plans.append(plan_of(write(*args).coalesce(1)))
+        return write(*args)
+
+    monkeypatch.setattr(stored, "trip_files", trip_files)
+    rows = stored.ingest_replay(spark, SF).collect()
+    assert len(rows) == 4 and all((r["files"], r["moved"], r["left_over"]) == (2, 4, 0) for r in rows)
+    assert {r["run"]: r["crashes"] for r in rows} == {"calm": 0, "disturbed": 2}
+    # Each of the two files of a kind is made once, from half of the rows.
+    assert len(plans) == 4 and not any("Exchange" in p for p in plans) and all("staged" in p for p in plans)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime
 
@@ -24,7 +25,7 @@ from ..streaming.ingest import IngestConfig, run_once
 from ..streaming.trips import expired_trips, stream_trips, unified_trips, unify_files
 from .catalog import _kept, trips
 from .oracle import _VALID
-from .testbed import raw_trips, trip_files, with_ctes, zones
+from .testbed import KEYS, SOURCE, raw_trips, table, trip_files, with_ctes, zones
 
 EXTENT = Extent((-74.5, -73.25), (40.25, 41.25), (datetime(1992, 1, 1), datetime(1999, 1, 1)))
 BOX = {"lon": (-74.25, -74.0), "lat": (40.5, 40.65625), "time": (datetime(1994, 3, 1), datetime(1995, 9, 30, 12))}
@@ -85,15 +86,46 @@ def _crash_after(step: str) -> Callable[[str, int], None]:
     return after
 
 
+def _stage_halves(spark: SparkSession, sf_dir: str, kind: str, folder: str) -> None:
+    """The source rows of a kind as two tables, written by all tasks, ``folder/0`` and ``folder/1``."""
+    rows, half = table(spark, sf_dir, SOURCE[kind]), F.pmod(F.xxhash64(KEYS[kind][0]), F.lit(2))
+    for number in (0, 1):
+        rows.where(half == number).write.option("compression", "zstd").parquet(f"{folder}/{number}/{SOURCE[kind]}.parquet")
+
+
+def _move_files(spark: SparkSession, source: str, target: str) -> None:
+    files.make_dirs(spark, target)
+    for file in files.list_files(spark, source):
+        files.move_file(spark, file.path, f"{target}/{file.path.rsplit('/', 1)[-1]}")
+
+
+def _two_files_each(spark: SparkSession, sf_dir: str, folder: str, inbox: str) -> None:
+    """Two trip files per kind, each by one task, side by side. The tasks read columns of staged Parquet files: a
+    fraction of what trips are when they are shuffled."""
+
+    def write(half: tuple[str, int]) -> None:
+        kind, number = half
+        trip_files(spark, f"{folder}/{number}", kind).coalesce(1).write.parquet(f"{folder}/{kind}-{number}")
+
+    halves = [(kind, number) for kind in KINDS for number in (0, 1)]
+    for kind in KINDS:
+        _stage_halves(spark, sf_dir, kind, folder)
+    with ThreadPoolExecutor(len(halves)) as pool:
+        list(pool.map(write, halves))
+    for kind, number in halves:
+        _move_files(spark, f"{folder}/{kind}-{number}", inbox)
+
+
 def ingest_replay(spark, sf_dir):
     """The same folder ingested undisturbed, and with a crash after the sink and one after the ledger: ledger, tables
     and folders of both."""
     root = scratch_dir(spark, "replay")
+    _two_files_each(spark, sf_dir, f"{root}/staged", f"{root}/calm/in")
     reports = []
     for run, crashes in (("calm", ()), ("disturbed", ("sink", "ledger"))):
         base = f"{root}/{run}"
-        for kind in KINDS:
-            trip_files(spark, sf_dir, kind).repartition(2).write.mode("append").parquet(f"{base}/in")
+        if run == "disturbed":  # the very files that the first run has archived
+            _move_files(spark, f"{root}/calm/processed", f"{base}/in")
         tables = TripTables(f"{base}/tables")
         folders = [f"{base}/{name}" for name in ("in", "processed", "error", "ledger", "checkpoint")]
         cfg = IngestConfig(*folders, sink=tables, max_files_per_trigger=1000)
