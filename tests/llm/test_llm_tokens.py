@@ -82,6 +82,72 @@ def test_remembered_pieces_are_bounded(monkeypatch, tokenizer):
         assert k == 4 or len(encoder.known) <= 50
 
 
+@given(st.lists(st.text(st.sampled_from("abé1#$%&*'( \n\t.ÿД文|"), max_size=40), max_size=8))
+@settings(max_examples=40, deadline=None)
+def test_words_beside_marks_give_the_ids_of_whole_texts(tokenizer, texts):
+    import pyarrow as pa
+
+    texts = [*texts, "word### 5% a&b $$$x c*d'l é$ ÿ&&& ×% Word", "a", " a", "é", ""]
+    flat, counts = tokens.Encoder(tokens.default_tokenizer()).ids(pa.array(texts, pa.large_string()), 0)
+    want = direct(tokenizer, texts)
+    assert list(counts) == [len(w) for w in want]
+    assert flat.tolist() == [i for w in want for i in w]
+
+
+def test_a_new_word_is_encoded_without_the_steps_around_the_model(monkeypatch):
+    import pyarrow as pa
+
+    encoder, others = tokens.Encoder(tokens.default_tokenizer()), []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.model, self.tokenizer = tokenizer.model, tokenizer
+
+        def encode_batch_fast(self, pieces, **options):
+            others.extend(pieces)
+            return self.tokenizer.encode_batch_fast(pieces, **options)
+
+        def encode(self, piece, **options):
+            others.append(piece)
+            return self.tokenizer.encode(piece, **options)
+
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    texts = ["Some words### and, Éclair$$$ more%%%\nLines 12 "] * 2
+    encoder.ids(pa.array(texts, pa.large_string()), 0)
+    assert sorted(others) == ["\n", " ", " 12", "###", "$$$", "%%%", ","]
+
+
+def test_forgotten_pieces_are_those_a_text_does_not_hold(monkeypatch, tokenizer):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 12)
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    for text in ("kept one two three four five", "kept one six seven eight nine ten", "kept eleven twelve ten thirteen"):
+        flat, _ = encoder.ids(pa.array([text], pa.large_string()), None)
+        assert flat.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert {"kept", " ten", " thirteen"} <= set(encoder.known.to_pylist())
+    assert len(encoder.known) <= 12
+
+
+def test_a_tokenizer_with_other_steps_is_followed(tmp_path, tokenizer):
+    import pyarrow as pa
+    from tokenizers import AddedToken, Tokenizer
+
+    other = Tokenizer.from_str(tokenizer.to_str())
+    other.add_tokens([AddedToken("hello", normalized=False)])
+    other.save(f"{tmp_path}/other.json")
+    texts = ["hello there", "say hello, you", "other hellos"]
+    flat, _ = tokens.Encoder(f"{tmp_path}/other.json").ids(pa.array(texts, pa.large_string()), None)
+    assert flat.tolist() == [i for t in texts for i in other.encode(t, add_special_tokens=False).ids]
+
+
+def test_files_end_behind_the_document_that_fills_them(spark, tmp_path, tokenizer):
+    docs = spark.createDataFrame([(i, "a b c d") for i in range(50)], "doc_id long, text string").coalesce(1)
+    tokens.write_tokens(docs, f"{tmp_path}/t", file_ids=12)
+    found = tokens.read_tokens(spark, f"{tmp_path}/t").orderBy("number", "place").collect()
+    assert [(r["doc_id"], r["number"], r["place"]) for r in found] == [(i, i // 3, i % 3) for i in range(50)]
+
+
 def expected(tokenizer, rows):
     rows = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0))
     out, start = [], 0

@@ -72,11 +72,12 @@ def unpack_block(image: memoryview | bytes, start: int) -> np.ndarray:
     least, n, exceptions, width = struct.unpack_from(BLOCK_HEADER, image, start)
     at = start + struct.calcsize(BLOCK_HEADER)
     size = (n * width + 7) // 8
-    spread = np.zeros((n, 32), np.uint8)
+    wide = 16 if width <= 16 else 32
+    spread = np.zeros((n, wide), np.uint8)
     if width:
         packed = np.frombuffer(image, np.uint8, size, at)
         spread[:, :width] = np.unpackbits(packed, count=n * width, bitorder="little").reshape(n, width)
-    values = np.packbits(spread, axis=1, bitorder="little").view("<u4").ravel()
+    values = np.packbits(spread.ravel(), bitorder="little").view(f"<u{wide // 8}").astype("<u4")
     if exceptions:
         where = np.frombuffer(image, "<u2", exceptions, at + size)
         high = np.frombuffer(image, "<u4", exceptions, at + size + 2 * exceptions)
