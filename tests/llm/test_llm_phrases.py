@@ -78,6 +78,36 @@ def test_frequent_phrases_are_exact_for_any_sample(spark, sample, bits):
     assert {r["lang"]: r["n"] for r in found if not r["size"]} == totals
 
 
+@pytest.mark.parametrize("sample", [0.0, 0.1])
+def test_two_passes_over_all_texts_are_enough(spark, monkeypatch, sample):
+    # A sample that misses words misses their pairs, triples and longer phrases too, each in one more pass if they follow one another.
+    passes, count = [], phrases.count_phrases
+
+    def counted(docs, sizes, *rest):
+        passes.append(len(rest) and rest[1] == phrases.LONGEST - 1)
+        return count(docs, sizes, *rest)
+
+    monkeypatch.setattr(phrases, "count_phrases", counted)
+    rows = corpus(11)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    found = phrases.frequent_phrases(docs, least=9, sample=sample).collect()
+    want = {k: n for k, n in grams(rows)[0].items() if n >= 9}
+    assert any(len(p.split(" ")) == 4 for _, p in want)
+    assert Counter((r["lang"], r["phrase"], r["n"]) for r in found if r["size"]) == Counter((*k, n) for k, n in want.items())
+    assert sum(passes) == 2
+
+
+def test_the_last_pass_counts_no_phrase_with_a_rare_part(spark):
+    docs = spark.createDataFrame([("en", "a b c. a b d. x b c. a q")] * 3 + [("en", "a z")], SCHEMA).coalesce(1)
+    known = phrases.phrase_filter(spark.createDataFrame([("en", "a"), ("en", "b"), ("en", "q")], SCHEMA.replace("text", "phrase")))
+    found = phrases.phrase_filter(
+        spark.createDataFrame([("en", p) for p in ("a", "b", "c", "d", "x", "a b")], SCHEMA.replace("text", "phrase"))
+    )
+    counted = phrases.count_phrases(docs, [1, 2, 3], known, 2, found).collect()
+    # Words were all counted, and of pairs "a b" and "a q"; q and z are rare.
+    assert {(r["phrase"], r["n"]) for r in counted} == {("b c", 6), ("b d", 3), ("x b", 3), ("a b c", 3), ("a b d", 3), ("x b c", 3)}
+
+
 def test_query_against_brute_force(spark, tmp_path):
     rows = corpus(8, 2500)
     long = ("en", "deep learning model. " * 30_000)

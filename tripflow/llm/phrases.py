@@ -2,12 +2,13 @@
 
 A sample proposes phrases. One pass over all texts counts them and their negative border: phrases that were not
 proposed, but whose beginning and end, one word shorter, were. Every word is in one of the two. Border phrases that
-prove frequent may have frequent extensions, which further passes count until none is new; then no frequent phrase
-is missing, whatever the sample held.
+prove frequent may have frequent extensions. One more pass counts every phrase left out of which no part is known to
+be rare; then no frequent phrase is missing, whatever the sample held.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -192,47 +193,58 @@ def phrase_filter(phrases: DataFrame, most_bits: int = MOST_BITS) -> np.ndarray:
 
 
 def count_phrases(
-    docs: DataFrame, sizes: list[int], known: np.ndarray | None = None, parts: int = 0, fresh: np.ndarray | None = None
+    docs: DataFrame, sizes: list[int], known: np.ndarray | None = None, parts: int = 0, found: np.ndarray | None = None
 ) -> DataFrame:
     """``lang, phrase, size, n``: how often phrases of these sizes stand in pieces of ``docs`` (lang, text).
 
     With the filter ``known`` only phrases whose own parts, of ``parts`` words or one word fewer than the phrase,
-    are all in it are counted, and with ``fresh`` only if one part is in that one too. What is counted, is counted
-    fully: a filter decides by phrase, not by place. A row of size 0 and no phrase has the language's words.
+    are all in it are counted. What is counted, is counted fully: a filter decides by phrase, not by place. A row of
+    size 0 and no phrase has the language's words.
+
+    With ``found`` too, a filter of the frequent phrases among those counted with ``known``, the phrases that were not
+    counted are, unless a part of them is known to be rare. Sizes then go up from 1 by 1, and words are not counted.
     """
     context = docs.sparkSession.sparkContext
-    held, new = context.broadcast(known), context.broadcast(fresh)
+    held, proved = context.broadcast(known), context.broadcast(found)
+
+    def counts_of(here: Pieces) -> Iterator[pa.RecordBatch]:
+        known, found = held.value, proved.value
+        hashes, inside = functools.cache(here.hashes), {}
+        # Where a phrase of the size before starts that may be frequent.
+        maybe = np.ones(len(here.ids) + 1, bool)
+        for size in sizes:
+            n = len(here.ids) - size + 1
+            if n <= 0:
+                continue
+            good = here.piece[:n] == here.piece[size - 1 :]
+            part = min(size - 1, parts)
+            if part and part not in inside:
+                inside[part] = _in_filter(known, hashes(part))
+            counted = np.ones(n, bool)
+            for i in range(size - part + 1 if part else 0):
+                counted &= inside[part][i : n + i]
+            if found is None:
+                good &= counted
+            else:
+                good &= maybe[:n] & maybe[1 : n + 1]
+                if size < sizes[-1]:
+                    maybe = good & (~counted | _in_filter(found, hashes(size)))
+                good &= ~counted
+            at, counts = here.phrases(np.flatnonzero(good), size)
+            for lot in range(0, len(at), LOT):
+                yield here.batch(at[lot : lot + LOT], size, counts[lot : lot + LOT])
+            if size == 1 and found is None:
+                of = np.flatnonzero(here.n_words)
+                none, zero = pa.array([""] * len(of), pa.string()), pa.array([0] * len(of), pa.int32())
+                n_words = pa.array(here.n_words[of].astype(np.int64))
+                totals = [here.languages.take(pa.array(of)), none, zero, n_words]
+                yield pa.RecordBatch.from_arrays(totals, ["lang", "phrase", "size", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, fresh = held.value, new.value
         for batch in batches:
             for start, texts in arrow.slices(batch.column("text")):
-                here = Pieces(batch.column("lang").slice(start, len(texts)), texts)
-                inside: dict[int, tuple[np.ndarray, np.ndarray | None]] = {}
-                for size in sizes:
-                    n = len(here.ids) - size + 1
-                    if n <= 0:
-                        continue
-                    good = here.piece[:n] == here.piece[size - 1 :]
-                    part = min(size - 1, parts)
-                    if part and part not in inside:
-                        h = here.hashes(part)
-                        inside[part] = (_in_filter(known, h), None if fresh is None else _in_filter(fresh, h))
-                    if part:
-                        old, latest = inside[part]
-                        for i in range(size - part + 1):
-                            good &= old[i : n + i]
-                        if latest is not None:
-                            good &= np.logical_or.reduce([latest[i : n + i] for i in range(size - part + 1)])
-                    at, counts = here.phrases(np.flatnonzero(good), size)
-                    for lot in range(0, len(at), LOT):
-                        yield here.batch(at[lot : lot + LOT], size, counts[lot : lot + LOT])
-                    if size == 1:
-                        of = np.flatnonzero(here.n_words)
-                        none, zero = pa.array([""] * len(of), pa.string()), pa.array([0] * len(of), pa.int32())
-                        n_words = pa.array(here.n_words[of].astype(np.int64))
-                        totals = [here.languages.take(pa.array(of)), none, zero, n_words]
-                        yield pa.RecordBatch.from_arrays(totals, ["lang", "phrase", "size", "n"])
+                # Nothing of a slice is held when the next one is taken apart.
+                yield from counts_of(Pieces(batch.column("lang").slice(start, len(texts)), texts))
 
     counted = docs.select("lang", "text").mapInArrow(arrow.sparing(run), _COUNTS)
     return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
@@ -263,15 +275,11 @@ def frequent_phrases(
         proposed = proposed.union(longer)
     known = phrase_filter(proposed, most_bits)
     found = often(count_phrases(docs, list(range(1, longest + 1)), known, longest - 1), least)
-    extensible = F.col("size").between(1, longest - 1)
-    fresh = checkpointed(found.where(extensible).join(proposed, ["lang", "phrase"], "left_anti"))
-    while not fresh.isEmpty():
-        known, new = phrase_filter(found.where(extensible), most_bits), phrase_filter(fresh, most_bits)
-        counted = count_phrases(docs, list(range(2, longest + 1)), known, longest - 1, new)
-        more = checkpointed(often(counted, least).join(found, ["lang", "phrase"], "left_anti"))
-        found = found.union(more)
-        fresh = more.where(extensible)
-    return found
+    extensible = found.where(F.col("size").between(1, longest - 1))
+    if extensible.join(proposed, ["lang", "phrase"], "left_anti").isEmpty():
+        return found  # what was left out has a part that was not proposed, hence one that is rare
+    left_out = count_phrases(docs, list(range(1, longest + 1)), known, longest - 1, phrase_filter(extensible, most_bits))
+    return found.union(often(left_out, least))
 
 
 def _joined(words: Column, first: Column | int, count: Column | int) -> Column:
